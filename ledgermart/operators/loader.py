@@ -85,13 +85,13 @@ def load_files(
         batch = [p for p in planned if p["target_table"] == table]
         try:
             _commit_files(mart, table, batch, schemas[table], run_id, run_ts, multiline)
-        except Exception:
-            log.exception("loading %s failed; trying its files one by one", table)
+        except Exception as error:
+            log.warning("loading %s failed, trying its files one by one: %s", table, _first_line(error))
             for one in batch:
                 try:
                     _commit_files(mart, table, [one], schemas[table], run_id, run_ts, multiline)
-                except Exception:
-                    log.exception("loading %s failed", one["filepath"])
+                except Exception as again:
+                    log.error("loading %s failed: %s", one["filepath"], _first_line(again))
                     results.append((one["filepath"], table, lg.FAILED))
     failed = spark.createDataFrame(results, RESULT)
     done = spark.createDataFrame([(p["filepath"],) for p in planned], "filepath string")
@@ -99,6 +99,10 @@ def load_files(
     return loaded.select("filepath", "target_table", "status").unionByName(failed)
 
 
+def _first_line(error: Exception) -> str:
+    return str(error).partition("\n")[0]
+
+
 def _commit_files(mart, table, batch, schema, run_id, run_ts, multiline) -> None:
     rows = [(p["filepath"], p["target_table"], p["audit_id"], p["audit_ts"]) for p in batch]
     plan = mart.spark.createDataFrame(rows, "filepath string, target_table string, audit_id string, audit_ts string")

@@ -1,6 +1,6 @@
 """Mart tables as Parquet folders with a commit file per write.
 
-Layout: ``<root>/<table>/v=<n>/part=<p>/*.parquet``. A part is a batch, a hash
+Layout: ``<root>/<table>/mart_version=<n>/mart_part=<p>/*.parquet``. A part is a batch, a hash
 bucket, or the open or closed half of a history. Every write makes a new version
 folder and then one small commit file that names the live version of each part, so
 
@@ -30,7 +30,7 @@ from ledgermart.operators.keys import latest_per_key
 from ledgermart.operators.sizing import broadcast_if_small
 from ledgermart.session import new_work_dir
 
-VERSION, PART = "v", "part"
+VERSION, PART = "mart_version", "mart_part"
 WHOLE, OPEN, CLOSED = "whole", "open", "closed"
 _FROM_DELTA = "_from_delta"
 

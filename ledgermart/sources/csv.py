@@ -22,7 +22,7 @@ ERROR = (BAD_COLUMN, BAD_VALUE)
 
 # The date and time layouts accepted besides ISO.
 DATE_FORMATS = ("dd-MMM-yyyy", "MM/dd/yyyy")
-TIMESTAMP_FORMATS = ("MM/dd/yyyy HH:mm:ss", "EEE MMM dd HH:mm:ss Z yyyy")
+TIMESTAMP_FORMATS = ("MM/dd/yyyy HH:mm:ss",)
 
 
 def read_batch_csv(
