@@ -40,12 +40,6 @@ def identity_key(
     return F.coalesce(own_id, hash_key(norm_cols, raw_cols))
 
 
-def blank_to_null(c: Column | str, tokens: Sequence[str] = NULL_TOKENS) -> Column:
-    """Trimmed text, with the null tokens turned into NULL."""
-    text = F.trim(_column(c))
-    return F.when(~text.isin(*tokens), text)
-
-
 def equals_ignoring_case(c: Column | str, value: str) -> Column:
     return F.lower(_column(c)) == F.lit(value.lower())
 

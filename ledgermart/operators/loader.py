@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import logging
+import threading
 from collections.abc import Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgermart.operators import ledger as lg
+from ledgermart.operators.parallel import run_together
 from ledgermart.operators.store import Mart
 from ledgermart.sources import csv
 from ledgermart.sources.files import readable_path, route_paths
@@ -17,6 +20,7 @@ from ledgermart.sources.files import readable_path, route_paths
 log = logging.getLogger(__name__)
 
 REJECTED = "-rejected"
+_LEDGER_WRITER = threading.Lock()
 RESULT = "filepath string, target_table string, status string"
 
 
@@ -62,7 +66,8 @@ def load_files(
 ) -> DataFrame:
     """Loads the files the ledger does not know yet; returns one status per file.
 
-    All new files of a raw table are read by one Spark job. Its rows become visible
+    All new files of a raw table are read by one Spark job, and the tables load side
+    by side. A table's rows become visible
     only when their ledger rows are appended, which is the last step; a load that
     dies before it leaves nothing a reader can see. If a table's job fails, its
     files are tried once more one by one, so that one unreadable file does not hold
@@ -80,9 +85,9 @@ def load_files(
     # file names only: the driver needs them as reader paths
     planned = wanted.select(*fields).withColumn("audit_ts", F.col("audit_ts").cast("string")).collect()
 
-    results: list[tuple[str, str, str]] = []
-    for table in sorted({p["target_table"] for p in planned}):
+    def load_one(table: str) -> list[tuple[str, str, str]]:
         batch = [p for p in planned if p["target_table"] == table]
+        failed = []
         try:
             _commit_files(mart, table, batch, schemas[table], run_id, run_ts, multiline)
         except Exception as error:
@@ -92,7 +97,11 @@ def load_files(
                     _commit_files(mart, table, [one], schemas[table], run_id, run_ts, multiline)
                 except Exception as again:
                     log.error("loading %s failed: %s", one["filepath"], _first_line(again))
-                    results.append((one["filepath"], table, lg.FAILED))
+                    failed.append((one["filepath"], table, lg.FAILED))
+        return failed
+
+    tables = sorted({p["target_table"] for p in planned})
+    results = [f for found in run_together(spark, [partial(load_one, t) for t in tables]) for f in found]
     failed = spark.createDataFrame(results, RESULT)
     done = spark.createDataFrame([(p["filepath"],) for p in planned], "filepath string")
     loaded = lg.read_ledger(mart).filter(F.col("dag_run_id") == run_id).join(done, "filepath", "left_semi")
@@ -110,7 +119,8 @@ def _commit_files(mart, table, batch, schema, run_id, run_ts, multiline) -> None
     paths = [readable_path(p["filepath"]) for p in batch]
     stats = _load_table(mart, table, plan, paths, schema, run_ts, multiline)
     label = f"{batch[0]['audit_id']}-{batch[-1]['audit_id']}-{table}"
-    lg.append_ledger(mart, lg.record_load(plan, stats, run_id), label)
+    with _LEDGER_WRITER:
+        lg.append_ledger(mart, lg.record_load(plan, stats, run_id), label)
 
 
 def purge_unaudited(mart: Mart, table: str) -> list[str]:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgermart.functions.text import identity_key
 from ledgermart.operators import kpi, quality
 from ledgermart.operators.incremental import newer_than
-from ledgermart.operators.keys import entity_delta, latest_per_key
+from ledgermart.operators.keys import entity_delta, latest_per_key, union_conformed
 from ledgermart.operators.ledger import LEDGER
 
 BATCH = "audit_ts"
@@ -187,6 +187,11 @@ def property_delta(staged: Sequence[DataFrame], after: str | None = None) -> Dat
     )
 
 
+def property_delta_input(staged: Sequence[DataFrame]) -> DataFrame:
+    """Staged certificates of all domains in the property shape."""
+    return union_conformed(staged, PROPERTY_COLUMNS)
+
+
 def fact_energy(staged: DataFrame, domain: str) -> DataFrame:
     """Narrow energy fact: keys, batch and measures."""
     key = identity_key("uprn", IDENTITY_COLUMNS, IDENTITY_RAW_COLUMNS).alias(PROPERTY_KEY)

@@ -7,6 +7,8 @@ about to process, so no step rewrites or rescans old batches.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +16,7 @@ from pyspark.sql import types as T
 from ledgermart.operators import kpi, quality
 from ledgermart.operators.ledger import LEDGER, gate_loads, join_audit, read_ledger
 from ledgermart.operators.loader import load_files, purge_unaudited, raw_table
+from ledgermart.operators.parallel import run_together
 from ledgermart.operators.store import Mart
 from ledgermart.plans import certificates as spec
 from ledgermart.plans.schemas import FILE_COLUMNS, file_schema
@@ -41,9 +44,8 @@ class CertificateMart:
         return self.load_listed(files, run_id, run_ts, multiline)
 
     def load_listed(self, files: DataFrame, run_id: str, run_ts: str | None = None, multiline: bool = True) -> DataFrame:
-        for table in self.schemas:
-            if self.mart.exists(table):
-                purge_unaudited(self.mart, table)
+        loaded = [t for t in self.schemas if self.mart.exists(t)]
+        run_together(self.spark, [partial(purge_unaudited, self.mart, t) for t in loaded])
         return load_files(self.mart, files, self.schemas, run_id, run_ts, multiline=multiline)
 
     def raw(self, table: str, ledger: DataFrame | None = None) -> DataFrame:
@@ -64,14 +66,16 @@ class CertificateMart:
     def stage(self) -> None:
         """Adds the new batches of all six raw tables to staging."""
         ledger = read_ledger(self.mart)
-        for domain in spec.DOMAINS:
-            for kind in KINDS:
-                raw, staged = spec.raw_name(domain, kind), spec.staging_name(domain, kind)
-                after = self.mart.watermark(staged)
-                fresh = ledger.filter(F.col("target_table") == raw)
-                if after is not None:
-                    fresh = fresh.filter(F.col(spec.BATCH) > F.lit(after))
-                self.mart.append_new(staged, join_audit(self.raw(raw, fresh), fresh), spec.BATCH)
+
+        def add(domain: str, kind: str) -> None:
+            raw, staged = spec.raw_name(domain, kind), spec.staging_name(domain, kind)
+            after = self.mart.watermark(staged)
+            fresh = ledger.filter(F.col("target_table") == raw)
+            if after is not None:
+                fresh = fresh.filter(F.col(spec.BATCH) > F.lit(after))
+            self.mart.append_new(staged, join_audit(self.raw(raw, fresh), fresh), spec.BATCH)
+
+        run_together(self.spark, [partial(add, d, k) for d in spec.DOMAINS for k in KINDS])
 
     def staged(self, domain: str, kind: str, after: str | None = None) -> DataFrame:
         """A staging table as readers see it, optionally only its newer batches."""
@@ -98,12 +102,13 @@ class CertificateMart:
     # -- facts and KPIs ----------------------------------------------------------
 
     def facts(self) -> None:
-        for domain in spec.DOMAINS:
-            for kind in KINDS:
-                name = spec.fact_name(domain, kind)
-                rows = self.staged(domain, kind, self.mart.watermark(name))
-                fact = spec.fact_energy(rows, domain) if kind == "certificates" else spec.fact_recommendations(rows)
-                self.mart.append_new(name, fact, spec.BATCH)
+        def add(domain: str, kind: str) -> None:
+            name = spec.fact_name(domain, kind)
+            rows = self.staged(domain, kind, self.mart.watermark(name))
+            fact = spec.fact_energy(rows, domain) if kind == "certificates" else spec.fact_recommendations(rows)
+            self.mart.append_new(name, fact, spec.BATCH)
+
+        run_together(self.spark, [partial(add, d, k) for d in spec.DOMAINS for k in KINDS])
 
     def kpis(self, refresh_globals: bool = False) -> None:
         """Adds the new batches' partials, then the KPI rows of those batches.
@@ -112,7 +117,8 @@ class CertificateMart:
         read again. Older KPI rows keep the figures of the run that wrote them,
         unless ``refresh_globals``.
         """
-        for name, metrics in spec.METRICS.items():
+
+        def add(name: str, metrics: list[kpi.Metric]) -> None:
             split, partials = spec.SPLIT_BY.get(name), f"{name}_partials"
             fact = self.mart.table(spec.FACT_OF_KPI[name], self.mart.watermark(partials))
             stored = self.mart.append_new(partials, kpi.kpi_partials(fact, spec.BATCH, metrics, split), spec.BATCH)
@@ -120,6 +126,8 @@ class CertificateMart:
             report = kpi.kpi_from_partials(stored, spec.BATCH, metrics, split, since)
             self.mart.replace_batches(name, report, spec.BATCH)
 
+        run_together(self.spark, [partial(add, n, m) for n, m in spec.METRICS.items()])
+
     def kpi(self, name: str) -> DataFrame:
         """A KPI table in its reading order."""
         split = spec.SPLIT_BY.get(name)

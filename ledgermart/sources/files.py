@@ -18,7 +18,7 @@ ROUTES = (
     ("recommendations", "domestic", "raw_domestic_recommendations"),
     ("recommendations", "non_domestic", "raw_non_domestic_recommendations"),
 )
-ROUTE_PATTERN = r"/(certificates|recommendations)/(display|domestic|non_domestic)/"
+ROUTE_PATTERN = r"/(?:kind=)?(certificates|recommendations)/(?:domain=)?(display|domestic|non_domestic)/"
 MONTH_PATTERN = r"[_=](\d{4}-(?:0[1-9]|1[0-2]))(?:\.csv|/)"
 
 
