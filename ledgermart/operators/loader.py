@@ -28,14 +28,22 @@ def accepted(part: str) -> bool:
     return not part.endswith(REJECTED)
 
 
-def raw_table(mart: Mart, name: str, schema: T.StructType, audit_ids: Sequence[str] | None = None) -> DataFrame:
+def raw_table(
+    mart: Mart,
+    name: str,
+    schema: T.StructType,
+    audit_ids: Sequence[str] | None = None,
+    position: bool = False,
+) -> DataFrame:
     """Loaded rows of a raw table: file columns, ``audit_id`` and ``load_ts``.
 
-    Given audit ids, only their partitions are listed and read.
+    Given audit ids, only their partitions are listed and read. ``position`` adds
+    the place of the row in its file.
     """
     ids = None if audit_ids is None else set(audit_ids)
     rows = mart.table(name, parts=lambda p: accepted(p) and (ids is None or p in ids))
-    return rows.select(*schema.fieldNames(), "audit_id", "load_ts")
+    place = [csv.BLOCK, csv.SEQ] if position else []
+    return rows.select(*schema.fieldNames(), "audit_id", "load_ts", *place)
 
 
 def rejected_rows(mart: Mart, name: str) -> DataFrame:

@@ -8,12 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermart.operators.keys import orphan_keys
+from ledgermart.operators.parallel import run_together
+from ledgermart.session import new_work_dir
 
 NOT_NULL, UNIQUE, RELATIONSHIPS = "not_null", "unique", "relationships"
 ACCEPTED, IN_SET, BETWEEN = "accepted_values", "distinct_values_in_set", "values_between"
@@ -139,6 +141,29 @@ def _key_check(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
     return _as_rows(found.agg(failures.cast("bigint").alias("f0")), [check])
 
 
+def checked_copies(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> dict[str, DataFrame]:
+    """The columns the checks look at, written once per table to the shared folder.
+
+    For tables that are costly views: several checks then read a narrow copy
+    instead of each computing the view.
+    """
+    used: dict[str, dict[str, None]] = {t: {} for t in tables}
+    for c in checks:
+        used.get(c.table, {}).update(dict.fromkeys(_keys(c)))
+        if c.parent in used:
+            used[c.parent][c.parent_column] = None
+
+    def copy(name: str) -> DataFrame:
+        narrow = tables[name].select(*used[name])
+        folder = new_work_dir(narrow.sparkSession, f"checked-{name}")
+        narrow.write.parquet(folder)
+        return narrow.sparkSession.read.schema(narrow.schema).parquet(folder)
+
+    wanted = [t for t in tables if used[t]]
+    copies = run_together(tables[wanted[0]].sparkSession, [partial(copy, t) for t in wanted])
+    return dict(zip(wanted, copies))
+
+
 def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
     """One row per check: test, table, column and number of failures."""
     checks = list(checks)

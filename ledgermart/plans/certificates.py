@@ -12,6 +12,7 @@ from ledgermart.operators import kpi, quality
 from ledgermart.operators.incremental import newer_than
 from ledgermart.operators.keys import entity_delta, latest_per_key, union_conformed
 from ledgermart.operators.ledger import LEDGER
+from ledgermart.sources.csv import BLOCK, SEQ
 
 BATCH = "audit_ts"
 KEY = "lmk_key"
@@ -164,11 +165,13 @@ def latest_certificates(staged: DataFrame, after: str | None = None) -> DataFram
     """Staged certificates as an upsert by key would leave them, newer than ``after``.
 
     The newest row of a key is newer than the watermark exactly if any of its rows
-    is, so the filter may run first and old batches are never read.
+    is, so the filter may run first and old batches are never read. Inside a batch
+    the later lodgement wins, then the row that stands later in the file: narrow
+    columns, so a reader of two columns does not make Spark sort and move ninety.
     """
     fresh = staged.filter(newer_than(BATCH, after))
-    others = sorted(c for c in staged.columns if c not in (KEY, BATCH, "load_ts"))
-    return latest_per_key(fresh, KEY, BATCH, [F.desc_nulls_last("lodgement_datetime"), *others])
+    ties = [F.desc_nulls_last(c) for c in ("lodgement_datetime", BLOCK, SEQ)]
+    return latest_per_key(fresh, KEY, BATCH, ties).drop(BLOCK, SEQ)
 
 
 def property_delta(staged: Sequence[DataFrame], after: str | None = None) -> DataFrame:

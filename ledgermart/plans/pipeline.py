@@ -20,10 +20,12 @@ from ledgermart.operators.parallel import run_together
 from ledgermart.operators.store import Mart
 from ledgermart.plans import certificates as spec
 from ledgermart.plans.schemas import FILE_COLUMNS, file_schema
+from ledgermart.sources.csv import BLOCK, SEQ
 from ledgermart.sources.files import list_files, select_batch
 
 KINDS = ("certificates", "recommendations")
 STAMP_FIELDS = (T.StructField("audit_id", T.StringType()), T.StructField("load_ts", T.TimestampType()))
+PLACE_FIELDS = (T.StructField(BLOCK, T.LongType()), T.StructField(SEQ, T.LongType()))
 DELTA, DIMENSION = "delta_property", "dim_property"
 
 
@@ -48,14 +50,14 @@ class CertificateMart:
         run_together(self.spark, [partial(purge_unaudited, self.mart, t) for t in loaded])
         return load_files(self.mart, files, self.schemas, run_id, run_ts, multiline=multiline)
 
-    def raw(self, table: str, ledger: DataFrame | None = None) -> DataFrame:
+    def raw(self, table: str, ledger: DataFrame | None = None, position: bool = False) -> DataFrame:
         """Audited raw rows: those whose audit id the ledger lists for this table."""
         known = (read_ledger(self.mart) if ledger is None else ledger).filter(F.col("target_table") == table)
         ids = [r["audit_id"] for r in known.select("audit_id").collect()]
         if not self.mart.exists(table):
-            schema = T.StructType([*self.schemas[table].fields, *STAMP_FIELDS])
-            return self.spark.createDataFrame([], schema)
-        return raw_table(self.mart, table, self.schemas[table], ids)
+            place = PLACE_FIELDS if position else ()
+            return self.spark.createDataFrame([], T.StructType([*self.schemas[table].fields, *STAMP_FIELDS, *place]))
+        return raw_table(self.mart, table, self.schemas[table], ids, position)
 
     def check_raw(self) -> DataFrame:
         tables = {LEDGER: read_ledger(self.mart), **{t: self.raw(t) for t in self.schemas}}
@@ -73,7 +75,8 @@ class CertificateMart:
             fresh = ledger.filter(F.col("target_table") == raw)
             if after is not None:
                 fresh = fresh.filter(F.col(spec.BATCH) > F.lit(after))
-            self.mart.append_new(staged, join_audit(self.raw(raw, fresh), fresh), spec.BATCH)
+            rows = self.raw(raw, fresh, position=kind == "certificates")
+            self.mart.append_new(staged, join_audit(rows, fresh), spec.BATCH)
 
         run_together(self.spark, [partial(add, d, k) for d in spec.DOMAINS for k in KINDS])
 
@@ -84,6 +87,7 @@ class CertificateMart:
 
     def check_staging(self) -> DataFrame:
         tables = {spec.staging_name(d, k): self.staged(d, k) for d in spec.DOMAINS for k in KINDS}
+        tables = quality.checked_copies(tables, spec.STAGING_CHECKS)
         return quality.run_checks({LEDGER: read_ledger(self.mart), **tables}, spec.STAGING_CHECKS)
 
     # -- property history --------------------------------------------------------

@@ -29,8 +29,8 @@ def bi_average_card(spark, sf_dir):
     with m as (select date_trunc('month', l_shipdate) as batch, {MONTHLY} from lineitem group by 1),
          r as (select m.*, g.* from m cross join (select {GLOBAL} from lineitem) g),
          o as (select date_trunc('month', o_orderdate) as batch, count(distinct o_custkey) as c from orders group by 1)
-    select * from (select avg(global_pct_high_band) as avg_global_pct_high_band,
-                          avg(global_avg_quantity) as avg_global_quantity from r),
+    select * from (select round(avg(global_pct_high_band), 2) as avg_global_pct_high_band,
+                          round(avg(global_avg_quantity), 2) as avg_global_quantity from r),
                   (select cast(count(*) * (select count(distinct o_custkey) from orders) as bigint)
                           as total_customers_as_shown from o),
                   (select count(distinct o_custkey) as total_customers_latest from orders)
@@ -44,8 +44,8 @@ def bi_headline_card(spark, sf_dir):
     return bi.headline_card(
         [
             rating.agg(
-                F.avg("global_pct_high_band").alias("avg_global_pct_high_band"),
-                F.avg("global_avg_quantity").alias("avg_global_quantity"),
+                F.round(F.avg("global_pct_high_band"), 2).alias("avg_global_pct_high_band"),
+                F.round(F.avg("global_avg_quantity"), 2).alias("avg_global_quantity"),
             ),
             orders.agg(F.sum("global_customers").alias("total_customers_as_shown")),
             newest.agg(F.max("global_customers").alias("total_customers_latest")),

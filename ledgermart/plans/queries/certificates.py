@@ -17,10 +17,11 @@ from ledgermart.plans.schemas import FILE_COLUMNS
 # -- Spark side ---------------------------------------------------------------------
 
 
-def staged(spark, sf_dir, domain: str, kind: str) -> DataFrame:
-    table = spec.raw_name(domain, kind)
-    rows = lg.join_audit(sample.raw(spark, sf_dir, table), sample.ledger(spark, sf_dir, table), table)
-    return spec.latest_certificates(rows) if kind == "certificates" else rows
+def staged(spark, sf_dir, domain: str, kind: str, after: str | None = None) -> DataFrame:
+    table, keyed = spec.raw_name(domain, kind), kind == "certificates"
+    raw = sample.raw(spark, sf_dir, table, position=keyed)
+    rows = lg.join_audit(raw, sample.ledger(spark, sf_dir, table), table, after)
+    return spec.latest_certificates(rows) if keyed else rows
 
 
 def fact(spark, sf_dir, domain: str, kind: str) -> DataFrame:
@@ -38,16 +39,14 @@ def _columns(table: str) -> list[str]:
 def _staged_sql(domain: str, kind: str) -> str:
     table = spec.raw_name(domain, kind)
     joined = (
-        f"select r.*, a.audit_ts from ({sample.raw_sql(table)}) r "
+        f"select r.*, a.audit_ts from ({sample.raw_sql(table, kind == 'certificates')}) r "
         f"join ({sample.ledger_sql(table)}) a on r.audit_id = a.audit_id"
     )
     if kind == "recommendations":
         return joined
-    rest = sorted({*_columns(table), "audit_id"} - {"lmk_key"})
-    order = ", ".join(["audit_ts desc", "lodgement_datetime desc nulls last", *[f"{c} asc nulls last" for c in rest]])
     return (
-        f"select * exclude (rn) from (select *, row_number() over (partition by lmk_key order by {order}) as rn "
-        f"from ({joined})) where rn = 1"
+        "select * exclude (rn, place) from (select *, row_number() over (partition by lmk_key order by audit_ts desc, "
+        f"lodgement_datetime desc nulls last, place desc) as rn from ({joined})) where rn = 1"
     )
 
 
@@ -213,16 +212,14 @@ for _table in sample.DERIVED:
     query(_table, sample.raw_sql(_table))(partial(_raw_query, _table))
 
 
-def _certificates(spark, sf_dir, after=None, until=None) -> list[DataFrame]:
-    frames = [staged(spark, sf_dir, d, "certificates") for d in spec.DOMAINS]
-    if until is not None:
-        frames = [f.filter(F.col(spec.BATCH) <= F.lit(until)) for f in frames]
-    return frames
+def _certificates(spark, sf_dir, after=None) -> list[DataFrame]:
+    return [staged(spark, sf_dir, d, "certificates", after) for d in spec.DOMAINS]
 
 
 @query("delta_property", _latest_property_sql(f"select * from ({_property_rows_sql()}) where audit_ts > timestamp '1996-06-15'"))
 def delta_property(spark, sf_dir):
-    return naive(spec.property_delta(_certificates(spark, sf_dir), after="1996-06-15"))
+    after = "1996-06-15"
+    return naive(spec.property_delta(_certificates(spark, sf_dir, after), after))
 
 
 # three runs of the history: cut points of the batch axis and the run's timestamp
@@ -309,12 +306,14 @@ _STAGED_BODIES = {
 @query("checks_raw", _checks_sql(spec.RAW_CHECKS, _RAW_BODIES))
 def checks_raw(spark, sf_dir):
     tables = {lg.LEDGER: sample.ledger(spark, sf_dir), **{t: sample.raw(spark, sf_dir, t) for t in sample.DERIVED}}
+    tables[lg.LEDGER] = quality.checked_copies({lg.LEDGER: tables[lg.LEDGER]}, spec.RAW_CHECKS)[lg.LEDGER]
     return quality.run_checks(tables, spec.RAW_CHECKS)
 
 
 @query("checks_staging", _checks_sql(spec.STAGING_CHECKS, _STAGED_BODIES))
 def checks_staging(spark, sf_dir):
     tables = {spec.staging_name(d, k): staged(spark, sf_dir, d, k) for d in spec.DOMAINS for k in _KINDS}
-    return quality.run_checks({lg.LEDGER: sample.ledger(spark, sf_dir), **tables}, spec.STAGING_CHECKS)
+    tables[lg.LEDGER] = sample.ledger(spark, sf_dir)
+    return quality.run_checks(quality.checked_copies(tables, spec.STAGING_CHECKS), spec.STAGING_CHECKS)
 
 

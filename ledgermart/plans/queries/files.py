@@ -230,15 +230,20 @@ def adhoc_csv_json(spark, sf_dir):
     return frames[0].unionByName(frames[1])
 
 
-@query("api_dump", "select o_orderkey, o_custkey, o_orderstatus from orders")
+@query(
+    "api_dump",
+    """
+    select o_orderkey, o_custkey, o_orderstatus as note from orders
+    union all select o_orderkey, o_custkey, o_orderpriority as note from orders
+    """,
+)
 def api_dump(spark, sf_dir):
-    """Payload pages of at most a hundred rows each, written and read back."""
+    """Payload pages with a small ``rows`` array each, written and read back."""
     folder = new_work_dir(spark, "api") + "/pages.json"
-    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    page = F.floor(F.col("o_orderkey") / 100).alias("page")  # the key is unique: a page is bounded
-    pages = orders.groupBy(page).agg(F.collect_list(F.struct(*orders.columns)).alias("rows"))
-    pages.select("rows").write.json(folder)
-    return adhoc.read_api_dump(spark, folder, orders.schema)
+    entry = [F.struct("o_orderkey", "o_custkey", F.col(c).alias("note")) for c in ("o_orderstatus", "o_orderpriority")]
+    pages = read(spark, sf_dir, "orders").select(F.array(*entry).alias("rows"))
+    pages.write.json(folder)
+    return adhoc.read_api_dump(spark, folder, T.StructType.fromDDL("o_orderkey bigint, o_custkey bigint, note string"))
 
 
 @query(

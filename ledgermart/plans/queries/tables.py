@@ -346,8 +346,12 @@ def fact_projection(spark, sf_dir):
 
 @query(
     "set_difference",
-    "select c_custkey, c_name from customer where c_custkey not in (select o_custkey from orders)",
+    """
+    select c_custkey, c_name from customer
+    where c_custkey not in (select o_custkey from orders where o_orderdate >= timestamp '2000-06-01')
+    """,
 )
 def set_difference(spark, sf_dir):
-    orders = read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey")).distinct()
+    recent = read(spark, sf_dir, "orders").filter(F.col("o_orderdate") >= F.lit("2000-06-01"))
+    orders = recent.select(F.col("o_custkey").alias("c_custkey")).distinct()
     return missing_keys(read(spark, sf_dir, "customer").select("c_custkey", "c_name"), orders, "c_custkey")

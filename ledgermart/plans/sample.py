@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermart.plans.schemas import FILE_COLUMNS
+from ledgermart.sources.csv import BLOCK, SEQ
 
 _ORDER_KEY = "concat('D', cast(o_orderkey - o_orderkey % 2 as string))"
 _LINE_DOMESTIC_KEY = "concat('D', cast(l_orderkey - l_orderkey % 2 as string))"
@@ -27,6 +28,7 @@ class Derived:
     ts: str
     offset: int
     columns: dict[str, str]
+    place: str | None = None
     daily: bool = False
 
     def audit(self) -> dict[str, str]:
@@ -87,6 +89,7 @@ DERIVED = {
             "uprn": "case when o_custkey % 3 = 0 then null else o_custkey end",
             "report_type": "100",
         },
+        place="o_orderkey",
     ),
     "raw_non_domestic_certificates": Derived(
         "lineitem", "l_shipdate", 2,
@@ -112,6 +115,7 @@ DERIVED = {
             "uprn": "case when l_suppkey % 4 = 0 then null else l_suppkey end",
             "report_type": "102",
         },
+        place="l_partkey * 1000000 + l_suppkey",
     ),
     "raw_display_certificates": Derived(
         "events", "ts", 3,
@@ -130,6 +134,7 @@ DERIVED = {
             "uprn": "user_id",
             "report_type": "101",
         },
+        place="event_id",
         daily=True,
     ),
     "raw_domestic_recommendations": Derived(
@@ -176,16 +181,18 @@ def _casts(table: str) -> list[tuple[str, str]]:
     return [(f"cast({columns.get(name, 'null')} as {kind})", name) for name, kind in _file_columns(table)]
 
 
-def raw(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+def raw(spark: SparkSession, sf_dir: str, table: str, position: bool = False) -> DataFrame:
     """A raw table as the loader would have written it."""
     d = DERIVED[table]
     source = spark.read.parquet(f"{sf_dir}/{d.source}.parquet")
-    return source.selectExpr(*[f"{e} as {n}" for e, n in _casts(table)], f"{d.audit()['audit_id']} as audit_id")
+    place = [f"0L as {BLOCK}", f"{d.place} as {SEQ}"] if position and d.place else []
+    return source.selectExpr(*[f"{e} as {n}" for e, n in _casts(table)], f"{d.audit()['audit_id']} as audit_id", *place)
 
 
-def raw_sql(table: str) -> str:
+def raw_sql(table: str, position: bool = False) -> str:
     d = DERIVED[table]
     columns = ", ".join(f"{e} as {n}" for e, n in _casts(table))
+    columns += f", {d.place} as place" if position and d.place else ""
     return f"select {columns}, {d.audit()['audit_id']} as audit_id from {d.source}"
 
 
