@@ -20,6 +20,7 @@ from ledgermart.operators.incremental import newer_than
 
 MEASURE, VALUE = "measure", "value"
 TOTAL_LABEL = "ALL"
+ONE = "1L"
 
 
 @dataclass(frozen=True)
@@ -44,7 +45,7 @@ def mean(name: str, total: str | None, expr: str, digits: int | None = 2, total_
 def percent(name: str, total: str | None, predicate: str) -> Metric:
     """Share of all rows that satisfy the predicate; an unknown predicate does not."""
     hits = f"cast(coalesce({predicate}, false) as bigint)"
-    return Metric(name, total, share_percent, (hits, "1L"))
+    return Metric(name, total, share_percent, (hits, ONE))
 
 
 def ratio_of_sums(name: str, total: str | None, numerator: str, denominator: str) -> Metric:
@@ -56,7 +57,7 @@ def weighted_mean(name: str, total: str | None, value: str, weight: str) -> Metr
 
 
 def row_count(name: str, total: str | None) -> Metric:
-    return Metric(name, total, lambda n: n, ("1L",), (), None, None)
+    return Metric(name, total, lambda n: n, (ONE,), (), None, None)
 
 
 def distinct_count(name: str, total: str | None, expr: str) -> Metric:
@@ -70,7 +71,7 @@ def distinct_per_key(name: str, total: str | None, item: str, key: str) -> Metri
 
 def rows_per_key(name: str, total: str | None, key: str) -> Metric:
     """True mean number of rows per distinct key."""
-    return Metric(name, total, ratio, ("1L",), (key,))
+    return Metric(name, total, ratio, (ONE,), (key,))
 
 
 class _Parts:
@@ -94,24 +95,29 @@ def kpi_partials(fact: DataFrame, batch_col: str, metrics: Sequence[Metric], spl
     """Additive partials per batch (and split) — and per distinct value, if any is counted."""
     parts = _Parts(metrics)
     keys = [batch_col] + ([split] if split else [])
+    # a row's own count is a literal; adding it last keeps the plans of all roll-ups
+    # alike, so that they share one scan and one shuffle
+    carried = {text: name for text, name in parts.sums.items() if text != ONE}
     base = fact.select(
         *keys,
-        *[F.expr(text).alias(name) for text, name in parts.sums.items()],
+        *[F.expr(text).alias(name) for text, name in carried.items()],
         *[F.expr(text).cast("string").alias(name) for text, name in parts.distinct.items()],
     )
     names = list(parts.distinct.values())
     if not names:
-        # a constant keeps the aggregation valid for a spec without sums
-        return base.groupBy(*keys).agg(*parts.merge_sums())
+        counted = base.withColumns({n: F.lit(1) for t, n in parts.sums.items() if t == ONE})
+        return counted.groupBy(*keys).agg(*parts.merge_sums())
     if len(names) == 1:
         long = base.withColumn(MEASURE, F.lit(names[0])).withColumnRenamed(names[0], VALUE)
     else:
-        # every row appears once per measure; its sums count under the first only
-        long = base.unpivot([*keys, *parts.sums.values()], names, MEASURE, VALUE)
-        first = F.col(MEASURE) == F.lit(names[0])
-        long = long.withColumns({s: F.when(first, F.col(s)) for s in parts.sums.values()})
-    sums = parts.merge_sums() or [F.count(F.lit(1)).alias("n_rows")]
-    return long.groupBy(*keys, MEASURE, VALUE).agg(*sums)
+        pairs = [F.struct(F.lit(n).alias(MEASURE), F.col(n).alias(VALUE)) for n in names]
+        long = base.select(*keys, *carried.values(), F.inline(F.array(*pairs)))
+    # every row appears once per measure; its sums count under the first only
+    first = F.col(MEASURE) == F.lit(names[0])
+    sums = [
+        F.sum(F.when(first, F.lit(1) if text == ONE else F.col(name))).alias(name) for text, name in parts.sums.items()
+    ]
+    return long.groupBy(*keys, MEASURE, VALUE).agg(*(sums or [F.count(F.lit(1)).alias("n_rows")]))
 
 
 def _roll_up(partials: DataFrame, parts: _Parts, keys: Sequence[str]) -> DataFrame:

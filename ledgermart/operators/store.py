@@ -195,14 +195,19 @@ class Mart:
         """Adds parts, replacing any of the same name."""
         return self._write(name, df, F.lit(part) if isinstance(part, str) else part)
 
-    def append_new(self, name: str, df: DataFrame, ts_col: str = "audit_ts") -> DataFrame:
+    def append_new(self, name: str, df: DataFrame, ts_col: str = "audit_ts", regroup: bool = False) -> DataFrame:
         """Appends the batches newer than the table's watermark; older rows are ignored.
 
         Running it again with the same input writes nothing new. Repeated keys
-        inside a batch are kept.
+        inside a batch are kept. ``regroup`` is for input whose tasks each hold many
+        batches: rows are first brought together by batch, so that a batch is a few
+        files of a proper size. A batch that holds much of the data is split over
+        several tasks.
         """
         watermark = self.watermark(name)
         fresh = df if watermark is None else df.filter(F.col(ts_col) > F.lit(watermark))
+        if regroup:
+            fresh = fresh.hint("rebalance", ts_col)
         self._write(name, fresh, batch_id(F.col(ts_col)))
         return self.table(name)
 

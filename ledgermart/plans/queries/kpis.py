@@ -167,7 +167,8 @@ def kpi_stored_partials(spark, sf_dir):
     mart, fact = new_mart(spark, "partials"), order_fact(spark, sf_dir)
     for part in (fact.filter(F.col("batch") < F.lit("1999-01-01")), fact):
         fresh = part.filter(F.col("batch") > F.lit(mart.watermark("partials") or "1900-01-01"))
-        mart.append_new("partials", kpi.kpi_partials(fresh, "batch", SPLIT, "o_orderpriority"), "batch")
+        partials = kpi.kpi_partials(fresh, "batch", SPLIT, "o_orderpriority")
+        mart.append_new("partials", partials, "batch", regroup=True)
     return kpi.kpi_from_partials(mart.table("partials"), "batch", SPLIT, "o_orderpriority")
 
 

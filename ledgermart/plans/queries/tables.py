@@ -244,9 +244,9 @@ def incremental_append(spark, sf_dir):
     """Months before 1999, then everything, then everything again: equals one full load."""
     mart = new_mart(spark, "append")
     fact = line_fact(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_quantity", "batch")
-    mart.append_new("fact", fact.filter(F.col("batch") < F.lit("1999-01-01")), "batch")
-    mart.append_new("fact", fact, "batch")
-    return mart.append_new("fact", fact, "batch")
+    mart.append_new("fact", fact.filter(F.col("batch") < F.lit("1999-01-01")), "batch", regroup=True)
+    mart.append_new("fact", fact, "batch", regroup=True)
+    return mart.append_new("fact", fact, "batch", regroup=True)
 
 
 def _customer_state(spark, sf_dir) -> DataFrame:
@@ -289,8 +289,8 @@ def schema_sync(spark, sf_dir):
     """The second batch brings a column and drops another; the table follows it."""
     mart, fact = new_mart(spark, "sync"), order_fact(spark, sf_dir)
     cut = F.col("batch") < F.lit("1998-01-01")
-    mart.append_new("t", fact.filter(cut).select("o_orderkey", "batch", "o_totalprice"), "batch")
-    return mart.append_new("t", fact.filter(~cut).select("o_orderkey", "batch", "o_orderstatus"), "batch")
+    mart.append_new("t", fact.filter(cut).select("o_orderkey", "batch", "o_totalprice"), "batch", regroup=True)
+    return mart.append_new("t", fact.filter(~cut).select("o_orderkey", "batch", "o_orderstatus"), "batch", regroup=True)
 
 
 @query(
