@@ -52,7 +52,7 @@ def rejected_rows(mart: Mart, name: str) -> DataFrame:
 
 
 def _load_table(mart: Mart, table: str, plan: DataFrame, paths: Sequence[str], schema: T.StructType,
-                run_ts: str, multiline: bool) -> DataFrame:
+                run_ts: str, multiline: bool | None) -> DataFrame:
     """Reads and writes the table's new files in one job; statistics come from what was written."""
     rows = csv.typed(csv.read_batch_csv(mart.spark, paths, schema, multiline), schema)
     stamped = lg.stamp(rows, plan).withColumn("load_ts", F.lit(run_ts).cast("timestamp"))
@@ -70,7 +70,7 @@ def load_files(
     run_id: str,
     run_ts: str | None = None,
     reload: Sequence[str] = (),
-    multiline: bool = True,
+    multiline: bool | None = None,
 ) -> DataFrame:
     """Loads the files the ledger does not know yet; returns one status per file.
 

@@ -1,7 +1,7 @@
 """Declarative data checks as gates between layers.
 
-All row checks of a table are one aggregation, all value-set checks a second; key
-checks aggregate by the key first, so hot keys are combined before they travel.
+All row and value-set checks of a table are one pass over it; key checks aggregate
+by the key first, so hot keys are combined before they travel.
 """
 
 from __future__ import annotations
@@ -120,19 +120,24 @@ def _as_rows(one_row: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return one_row.select(F.inline(F.array(*cells)))
 
 
-def _row_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    return _as_rows(df.agg(*[F.count_if(_row_fails(c)).alias(f"f{i}") for i, c in enumerate(checks)]), checks)
+def _table_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """All row and value-set checks of a table in one pass.
 
-
-def _value_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """Failures are distinct offending values. Clean rows end in the scan's own stage."""
-    cells = [
-        F.when(_value_fails(c), F.struct(F.lit(i).alias("check"), F.col(c.column).cast("string").alias("value")))
-        for i, c in enumerate(checks)
-    ]
-    bad = df.select(F.explode(F.array_compact(F.array(*cells))).alias("bad")).select("bad.*").distinct()
-    counts = [F.count_if(F.col("check") == i).alias(f"f{i}") for i in range(len(checks))]
-    return _as_rows(bad.agg(*counts), checks)
+    A failing cell becomes (check, offending value); a row check keeps no value.
+    These are counted per check and value where they are found, so clean rows never
+    leave the scan's stage and frequent failures travel as one row per task. A row
+    check's failures are rows, a set check's are distinct values.
+    """
+    cells, failures = [], []
+    for i, c in enumerate(checks):
+        by_value = c.test in (ACCEPTED, IN_SET)
+        fails = _value_fails(c) if by_value else _row_fails(c)
+        value = F.col(c.column).cast("string") if by_value else F.lit(None).cast("string")
+        cells.append(F.when(fails, F.struct(F.lit(i).alias("check"), value.alias("value"))))
+        mine = F.when(F.col("check") == i, F.lit(1) if by_value else F.col("n"))
+        failures.append(F.coalesce(F.sum(mine), F.lit(0)).cast("bigint").alias(f"f{i}"))
+    found = df.select(F.inline(F.array_compact(F.array(*cells))))
+    return _as_rows(found.groupBy("check", "value").agg(F.count(F.lit(1)).alias("n")).agg(*failures), checks)
 
 
 def _key_check(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -170,12 +175,9 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> Data
     results = []
     for table in dict.fromkeys(c.table for c in checks):
         mine = [c for c in checks if c.table == table]
-        by_row = [c for c in mine if c.test in (NOT_NULL, BETWEEN)]
-        by_value = [c for c in mine if c.test in (ACCEPTED, IN_SET)]
-        if by_row:
-            results.append(_row_checks(tables[table], by_row))
-        if by_value:
-            results.append(_value_checks(tables[table], by_value))
+        of_rows = [c for c in mine if c.test not in (UNIQUE, RELATIONSHIPS)]
+        if of_rows:
+            results.append(_table_checks(tables[table], of_rows))
         results += [_key_check(c, tables) for c in mine if c.test in (UNIQUE, RELATIONSHIPS)]
     return reduce(DataFrame.unionByName, results)
 

@@ -40,12 +40,12 @@ class CertificateMart:
     # -- raw -------------------------------------------------------------------
 
     def load(self, landing: str, run_id: str, month_tag: str | None = None, paths: DataFrame | None = None,
-             run_ts: str | None = None, multiline: bool = True) -> DataFrame:
+             run_ts: str | None = None, multiline: bool | None = None) -> DataFrame:
         """Loads one month's (or the listed) files below the landing folder."""
         files = select_batch(list_files(self.spark, landing), month_tag, paths)
         return self.load_listed(files, run_id, run_ts, multiline)
 
-    def load_listed(self, files: DataFrame, run_id: str, run_ts: str | None = None, multiline: bool = True) -> DataFrame:
+    def load_listed(self, files: DataFrame, run_id: str, run_ts: str | None = None, multiline: bool | None = None) -> DataFrame:
         loaded = [t for t in self.schemas if self.mart.exists(t)]
         run_together(self.spark, [partial(purge_unaudited, self.mart, t) for t in loaded])
         return load_files(self.mart, files, self.schemas, run_id, run_ts, multiline=multiline)

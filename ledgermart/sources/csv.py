@@ -8,6 +8,8 @@ and long rows are accepted.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +22,10 @@ POSITION = (FILE, BLOCK, SEQ)
 BAD_COLUMN, BAD_VALUE = "_bad_column", "_bad_value"
 ERROR = (BAD_COLUMN, BAD_VALUE)
 
+# one field: quoted with doubled quotes inside, or free of quotes; possessive, so linear
+_FIELD = r'(?:"(?:[^"]++|"")*+"|[^",]*+)'
+COMPLETE_LINE = f"^{_FIELD}(?:,{_FIELD})*+$"
+
 # The date and time layouts accepted besides ISO.
 DATE_FORMATS = ("dd-MMM-yyyy", "MM/dd/yyyy")
 TIMESTAMP_FORMATS = ("MM/dd/yyyy HH:mm:ss",)
@@ -29,23 +35,54 @@ def read_batch_csv(
     spark: SparkSession,
     paths: Sequence[str],
     schema: T.StructType,
-    multiline: bool = True,
+    multiline: bool | None = True,
 ) -> DataFrame:
     """All-text rows of the files in ``schema`` order, with their position.
 
-    Quoted line breaks need ``multiline``; a file is then read by one task. Data
-    without them should pass ``multiline=False``, which lets large files split.
-    Compressed files are recognised by extension.
+    A quoted line break needs ``multiline``, and a file is then read by one task.
+    ``None`` decides per file: large files are first scanned as lines, in parallel,
+    and those whose every line is complete in itself are read in splits. The result
+    is the same either way. Compressed files are recognised by extension.
     """
+    if multiline is not None:
+        return with_position(_all_text(spark, paths, schema, multiline))
+    whole = set(line_complete_files(spark, paths, split_bytes(spark)))
+    split = [p for p in paths if p in whole]
+    rest = [p for p in paths if p not in whole]
+    if not split:
+        return with_position(_all_text(spark, rest, schema, True))
+    frames = [with_position(_all_text(spark, split, schema, False))]
+    if rest:
+        frames.append(with_position(_all_text(spark, rest, schema, True)))
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _all_text(spark: SparkSession, paths: Sequence[str], schema: T.StructType, multiline: bool) -> DataFrame:
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-    raw = (
-        spark.read.schema(text)
-        .option("header", "true")
-        .option("escape", '"')
-        .option("multiLine", str(multiline).lower())
-        .csv(list(paths))
+    reader = spark.read.schema(text).option("header", "true").option("escape", '"')
+    return reader.option("multiLine", str(multiline).lower()).csv(list(paths))
+
+
+def split_bytes(spark: SparkSession) -> int:
+    """Size up to which a file is one read task anyway."""
+    return int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+
+
+def line_complete_files(spark: SparkSession, paths: Sequence[str], min_bytes: int = 0) -> list[str]:
+    """Of the files larger than ``min_bytes``, those without a record over several lines.
+
+    Each line must be a sequence of whole fields: quoted ones closed, unquoted ones
+    without a quote. A file of such lines is outside quotes at every line break.
+    """
+    lines = (
+        spark.read.text(list(paths))
+        .select("value", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_size").alias("size"))
+        .filter(F.col("size") > min_bytes)
     )
-    return with_position(raw)
+    partial = F.col("value").contains('"') & ~F.col("value").rlike(COMPLETE_LINE)
+    kept = lines.groupBy(FILE).agg(F.max(partial).alias("partial")).filter(~F.col("partial"))
+    names = {unquote(r[FILE]) for r in kept.select(FILE).collect()}
+    return [p for p in paths if p in names]
 
 
 def with_position(raw: DataFrame) -> DataFrame:

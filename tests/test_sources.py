@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import rows
+from ledgermart.operators.ledger import load_stats
 from ledgermart.sources import adhoc, csv, files
 
 SCHEMA = (
@@ -119,3 +120,40 @@ def test_listing_does_not_read_contents(spark, tmp_path):
     assert sorted(r["file_size"] for r in got.collect()) == [3, 6]
     assert "content" not in got._jdf.queryExecution().executedPlan().toString()
     assert got.filter(F.col("filepath").startswith("file:")).count() == 2
+
+
+def test_large_files_split_only_where_every_line_is_complete(spark, tmp_path):
+    plain = write(tmp_path, "plain.csv", HEADER + '1,1,,,,"a ""b"", c"\n2,2,,,,\n')
+    broken = write(tmp_path, "broken.csv", HEADER + '3,3,,,,"line\nbreak"\n4,4,,,,x\n')
+    stray = write(tmp_path, "stray.csv", HEADER + '5,5,,,,5" pipe\n6,6,,,,x\n')
+    # quotes of two fields over two lines: each line has an even number
+    even = write(tmp_path, "even.csv", HEADER + '7,7,,,5" a,"open\n6" rest"\n')
+    paths = [f"file:{p}" for p in (plain, broken, stray, even)]
+    assert csv.line_complete_files(spark, paths) == [paths[0]]
+    assert csv.line_complete_files(spark, paths, min_bytes=10_000) == []
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16")
+    try:
+        auto = csv.read_batch_csv(spark, paths[:3], SCHEMA, multiline=None)
+        whole = csv.read_batch_csv(spark, paths[:3], SCHEMA, multiline=True)
+        names = SCHEMA.fieldNames()
+        assert rows(auto.select(*names)) == rows(whole.select(*names))
+        assert auto.filter(F.col(csv.FILE).endswith("plain.csv")).select(csv.BLOCK).distinct().count() > 1
+        assert auto.filter(F.col(csv.FILE).endswith("broken.csv")).select(csv.BLOCK).distinct().count() == 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_first_error_line_across_splits(spark, tmp_path):
+    body = "".join(f"{i},{'bad' if i in (37, 80) else i},,,,note {i}\n" for i in range(100))
+    path = write(tmp_path, "long.csv", HEADER + body)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        read = csv.read_batch_csv(spark, [f"file:{path}"], SCHEMA, multiline=None)
+        assert read.select(csv.BLOCK).distinct().count() > 5
+        stats = load_stats(csv.typed(read, SCHEMA)).first()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert (stats["rows_parsed"], stats["errors_seen"], stats["first_error_line"]) == (100, 2, 39)
+    assert stats["first_error_column_name"] == "n" and stats["status"] == "PARTIALLY_LOADED"
