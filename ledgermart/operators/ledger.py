@@ -37,10 +37,19 @@ def read_ledger(mart: Mart) -> DataFrame:
     return mart.spark.createDataFrame([], LEDGER_COLUMNS)
 
 
-def append_ledger(mart: Mart, rows: DataFrame, label: str) -> None:
-    """Adds ledger rows under a label of their own. This is a load's commit point."""
+def append_ledger(mart: Mart, rows: DataFrame, label: str, reloaded: bool = False) -> None:
+    """Adds ledger rows under a label of their own. This is a load's commit point.
+
+    Rows of reloaded files take the place of the files' earlier rows, in the same
+    commit; what was loaded under the earlier audit ids is then no longer visible.
+    """
     names = [c.split()[0] for c in LEDGER_COLUMNS.split(", ")]
-    mart.append_part(LEDGER, rows.select(*names).coalesce(1), label)
+    rows = rows.select(*names)
+    if reloaded:
+        kept = read_ledger(mart).join(rows.select("filepath"), "filepath", "left_anti")
+        mart.write_full(LEDGER, kept.select(*names).unionByName(rows).coalesce(1))
+    else:
+        mart.append_part(LEDGER, rows.coalesce(1), label)
 
 
 def unprocessed(files: DataFrame, ledger: DataFrame, reload: Sequence[str] = (), path_col: str = "filepath") -> DataFrame:

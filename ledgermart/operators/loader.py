@@ -58,9 +58,8 @@ def _load_table(mart: Mart, table: str, plan: DataFrame, paths: Sequence[str], s
     stamped = lg.stamp(rows, plan).withColumn("load_ts", F.lit(run_ts).cast("timestamp"))
     bad = F.col(csv.BAD_COLUMN).isNotNull()
     part = F.when(bad, F.concat("audit_id", F.lit(REJECTED))).otherwise(F.col("audit_id"))
-    mart.append_part(table, stamped, part)
-    ids = {r["audit_id"] for r in plan.select("audit_id").collect()}
-    return lg.load_stats(mart.table(table, parts=lambda p: p.removesuffix(REJECTED) in ids))
+    state = mart.append_part(table, stamped, part)
+    return lg.load_stats(mart.table(table, parts=lambda p: state.live.get(p) == state.version))
 
 
 def load_files(
@@ -75,11 +74,11 @@ def load_files(
     """Loads the files the ledger does not know yet; returns one status per file.
 
     All new files of a raw table are read by one Spark job, and the tables load side
-    by side. A table's rows become visible
-    only when their ledger rows are appended, which is the last step; a load that
-    dies before it leaves nothing a reader can see. If a table's job fails, its
-    files are tried once more one by one, so that one unreadable file does not hold
-    back the others; it is reported as FAILED and gets no ledger row.
+    by side. A table's rows become visible only when their ledger rows are appended,
+    which is the last step; a load that dies before it leaves nothing a reader can
+    see. If a table's job fails, its files are tried once more one by one, so that one
+    unreadable file does not hold back the others; it is reported as FAILED and gets
+    no ledger row. Files in ``reload`` are loaded although the ledger knows them.
     """
     spark = mart.spark
     run_ts = run_ts or spark.sql("select cast(current_timestamp() as string)").first()[0]
@@ -97,18 +96,20 @@ def load_files(
         batch = [p for p in planned if p["target_table"] == table]
         failed = []
         try:
-            _commit_files(mart, table, batch, schemas[table], run_id, run_ts, multiline)
+            _commit_files(mart, table, batch, schemas[table], run_id, run_ts, multiline, bool(reload))
         except Exception as error:
             log.warning("loading %s failed, trying its files one by one: %s", table, _first_line(error))
             for one in batch:
                 try:
-                    _commit_files(mart, table, [one], schemas[table], run_id, run_ts, multiline)
+                    _commit_files(mart, table, [one], schemas[table], run_id, run_ts, multiline, bool(reload))
                 except Exception as again:
                     log.error("loading %s failed: %s", one["filepath"], _first_line(again))
                     failed.append((one["filepath"], table, lg.FAILED))
         return failed
 
     tables = sorted({p["target_table"] for p in planned})
+    # what an earlier load left without a ledger row goes first, as its audit id may come again
+    run_together(spark, [partial(purge_unaudited, mart, t) for t in tables if mart.exists(t)])
     results = [f for found in run_together(spark, [partial(load_one, t) for t in tables]) for f in found]
     failed = spark.createDataFrame(results, RESULT)
     done = spark.createDataFrame([(p["filepath"],) for p in planned], "filepath string")
@@ -120,15 +121,18 @@ def _first_line(error: Exception) -> str:
     return str(error).partition("\n")[0]
 
 
-def _commit_files(mart, table, batch, schema, run_id, run_ts, multiline) -> None:
+def _commit_files(mart, table, batch, schema, run_id, run_ts, multiline, reloaded) -> None:
     rows = [(p["filepath"], p["target_table"], p["audit_id"], p["audit_ts"]) for p in batch]
     plan = mart.spark.createDataFrame(rows, "filepath string, target_table string, audit_id string, audit_ts string")
     plan = plan.withColumn("audit_ts", F.col("audit_ts").cast("timestamp"))
     paths = [readable_path(p["filepath"]) for p in batch]
     stats = _load_table(mart, table, plan, paths, schema, run_ts, multiline)
     label = f"{batch[0]['audit_id']}-{batch[-1]['audit_id']}-{table}"
+    entries = lg.record_load(plan, stats, run_id)
+    # one row per file: computed side by side, so that only the append itself waits its turn
+    ready = mart.spark.createDataFrame(entries.toArrow(), entries.schema)
     with _LEDGER_WRITER:
-        lg.append_ledger(mart, lg.record_load(plan, stats, run_id), label)
+        lg.append_ledger(mart, ready, label, reloaded)
 
 
 def purge_unaudited(mart: Mart, table: str) -> list[str]:

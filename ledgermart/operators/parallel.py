@@ -17,6 +17,8 @@ def run_together(spark: SparkSession, tasks: Sequence[Callable[[], Any]], thread
 
     All steps are finished before the first error, if any, is raised.
     """
+    if not tasks:
+        return []
     with ThreadPoolExecutor(max_workers=max(1, min(threads, len(tasks)))) as pool:
         running = [pool.submit(inheritable_thread_target(spark)(task)) for task in tasks]
     return [r.result() for r in running]

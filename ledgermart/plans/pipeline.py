@@ -7,6 +7,7 @@ about to process, so no step rewrites or rescans old batches.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import partial
 
 from pyspark.sql import DataFrame
@@ -15,7 +16,7 @@ from pyspark.sql import types as T
 
 from ledgermart.operators import kpi, quality
 from ledgermart.operators.ledger import LEDGER, gate_loads, join_audit, read_ledger
-from ledgermart.operators.loader import load_files, purge_unaudited, raw_table
+from ledgermart.operators.loader import load_files, raw_table
 from ledgermart.operators.parallel import run_together
 from ledgermart.operators.store import Mart
 from ledgermart.plans import certificates as spec
@@ -40,15 +41,18 @@ class CertificateMart:
     # -- raw -------------------------------------------------------------------
 
     def load(self, landing: str, run_id: str, month_tag: str | None = None, paths: DataFrame | None = None,
-             run_ts: str | None = None, multiline: bool | None = None) -> DataFrame:
-        """Loads one month's (or the listed) files below the landing folder."""
+             run_ts: str | None = None, reload: Sequence[str] = (), multiline: bool | None = None) -> DataFrame:
+        """Loads one month's (or the listed) files below the landing folder.
+
+        ``reload`` names files to load again, such as a corrected one that was only
+        partly loaded before.
+        """
         files = select_batch(list_files(self.spark, landing), month_tag, paths)
-        return self.load_listed(files, run_id, run_ts, multiline)
+        return self.load_listed(files, run_id, run_ts, reload, multiline)
 
-    def load_listed(self, files: DataFrame, run_id: str, run_ts: str | None = None, multiline: bool | None = None) -> DataFrame:
-        loaded = [t for t in self.schemas if self.mart.exists(t)]
-        run_together(self.spark, [partial(purge_unaudited, self.mart, t) for t in loaded])
-        return load_files(self.mart, files, self.schemas, run_id, run_ts, multiline=multiline)
+    def load_listed(self, files: DataFrame, run_id: str, run_ts: str | None = None, reload: Sequence[str] = (),
+                    multiline: bool | None = None) -> DataFrame:
+        return load_files(self.mart, files, self.schemas, run_id, run_ts, reload, multiline)
 
     def raw(self, table: str, ledger: DataFrame | None = None, position: bool = False) -> DataFrame:
         """Audited raw rows: those whose audit id the ledger lists for this table."""

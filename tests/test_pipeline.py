@@ -183,6 +183,16 @@ def test_bad_rows_are_counted_and_block_the_gate(spark, tmp_path):
     with pytest.raises(quality.CheckFailure, match="accepted_values"):
         built.transform("2025-02-03 08:00:00")
 
+    first_month(tmp_path)  # the corrected file
+    results = built.load(str(tmp_path), "fixed", JAN, reload=[entry["filepath"]])
+    assert results.count() == 1
+    lg.gate_loads(results)
+    ledger = lg.read_ledger(built.mart)
+    assert ledger.count() == 6 and rows(lg.status_counts(ledger)) == [("LOADED", 6)]
+    assert built.raw("raw_domestic_certificates").count() == 3
+    quality.gate(built.check_raw())
+    assert len(purge_unaudited(built.mart, "raw_domestic_certificates")) == 2  # the earlier load's two parts
+
 
 def test_empty_load_fails_the_gate(spark, tmp_path, mart):
     first_month(tmp_path)
