@@ -123,11 +123,14 @@ def _as_rows(one_row: DataFrame, checks: Sequence[Check]) -> DataFrame:
 def _table_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """All row and value-set checks of a table in one pass.
 
-    A failing cell becomes (check, offending value); a row check keeps no value.
+    Row checks alone are one aggregation. Otherwise a failing cell becomes (check, offending value); a row check keeps no value.
     These are counted per check and value where they are found, so clean rows never
     leave the scan's stage and frequent failures travel as one row per task. A row
     check's failures are rows, a set check's are distinct values.
     """
+    if all(c.test in (NOT_NULL, BETWEEN) for c in checks):
+        counts = [F.count_if(_row_fails(c)).alias(f"f{i}") for i, c in enumerate(checks)]
+        return _as_rows(df.agg(*counts), checks)
     cells, failures = [], []
     for i, c in enumerate(checks):
         by_value = c.test in (ACCEPTED, IN_SET)

@@ -160,10 +160,11 @@ class Mart:
 
         return self._read(name, state, wanted)
 
-    def batches(self, name: str) -> list[str]:
-        """Live parts of a table in order."""
+    def batches(self, name: str, after: str | None = None) -> list[str]:
+        """Live parts of a table in order; ``after`` keeps the batches newer than a watermark."""
         state = self.state(name)
-        return sorted(state.live) if state else []
+        parts = sorted(state.live) if state else []
+        return [p for p in parts if after is None or _batch_time(p) > _padded(after)]
 
     def watermark(self, name: str) -> str | None:
         """Newest batch of a batch table: None before the first run, the epoch when empty."""

@@ -111,10 +111,13 @@ class CertificateMart:
 
     def facts(self) -> None:
         def add(domain: str, kind: str) -> None:
-            name = spec.fact_name(domain, kind)
-            rows = self.staged(domain, kind, self.mart.watermark(name))
-            fact = spec.fact_energy(rows, domain) if kind == "certificates" else spec.fact_recommendations(rows)
-            self.mart.append_new(name, fact, spec.BATCH)
+            name, keyed = spec.fact_name(domain, kind), kind == "certificates"
+            after = self.mart.watermark(name)
+            rows = self.staged(domain, kind, after)
+            fact = spec.fact_energy(rows, domain) if keyed else spec.fact_recommendations(rows)
+            # rows shuffled by key mix the batches; rows read by batch folder do not
+            mixed = keyed and len(self.mart.batches(spec.staging_name(domain, kind), after)) > 1
+            self.mart.append_new(name, fact, spec.BATCH, regroup=mixed)
 
         run_together(self.spark, [partial(add, d, k) for d in spec.DOMAINS for k in KINDS])
 
