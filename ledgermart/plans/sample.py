@@ -37,7 +37,8 @@ class Derived:
         day = d if self.daily else "1"
         return {
             "audit_id": f"cast({1000 + 100000 * self.offset} + {number} as string)",
-            "audit_ts": f"make_timestamp({y}, {m}, {day}, {self.offset}, 0, 0)",
+            # hours of the day that exist in every zone
+            "audit_ts": f"make_timestamp({y}, {m}, {day}, {6 + self.offset}, 0, 0)",
         }
 
 
