@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermart.llm import simhash
+from ledgermart.llm import decontaminate, packing, sharding, simhash, url_filter
 from ledgermart.llm.common import read
 from ledgermart.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -14,3 +14,60 @@ from ledgermart.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query("op5_feistel_sharding")
+def op5_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document."""
+    return sharding.assign(read(spark, sf_dir, "documents"))
+
+
+#: The contract's rules: host, path, verdict.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+@query(
+    "op7_url_rules",
+    r"""
+    with urls as (
+        select page_id, coalesce(translate(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') as host,
+               coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') as path
+        from pages
+    ), rules(rule_host, rule_path, verdict) as (
+        values ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+               ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+    ), judged as (
+        select host, path, arg_max(rule_host || rule_path, length(rule_host || rule_path)) as rule,
+               arg_max(verdict, length(rule_host || rule_path)) as verdict
+        from (select distinct host, path from urls)
+        join rules on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)
+        group by all
+    )
+    select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict
+    from urls left join judged using (host, path)
+    """,
+)
+def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    judged = url_filter.judge(read(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op8_complement_packing")
+def op8_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every document's pieces."""
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
+@query("op10_decontamination")
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hit words and items of every document."""
+    return decontaminate.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
