@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermart.llm import decontaminate, packing, sharding, simhash, url_filter
+from ledgermart.llm import decontaminate, packing, sharding, simhash, substring_dedup, url_filter
 from ledgermart.llm.common import read
 from ledgermart.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -71,3 +71,9 @@ def op8_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hit words and items of every document."""
     return decontaminate.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("op6_superkmer_dedup")
+def op6_superkmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated windows of 20 words, removed from every document."""
+    return substring_dedup.measure(read(spark, sf_dir, "documents"))
