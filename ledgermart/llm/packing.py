@@ -32,7 +32,7 @@ TOKENIZER = "byte_bpe_50k"
 END_ID = 0
 END_OF_TEXT = {"<|endoftext|>": 50256}
 #: Pieces are numbered in groups of about so many, and there are at most so many groups.
-GROUP_PIECES = 20_000
+GROUP_PIECES = 1_000
 MAX_GROUPS = 4096
 
 _loaded: dict[str, tuple] = {}
