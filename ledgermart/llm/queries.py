@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermart.llm import decontaminate, packing, sharding, simhash, substring_dedup, url_filter
+from ledgermart.llm import decontaminate, packing, sharding, simhash, substring_dedup, toxicity, url_filter
 from ledgermart.llm.common import read
 from ledgermart.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -16,6 +16,14 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+@query("op2_ordinal_toxicity")
+def op2_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of every document."""
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.train(docs, read(spark, sf_dir, "labels"), grade="toxic")
+    return toxicity.judge(docs, model)
+
+
 @query("op5_feistel_sharding")
 def op5_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document."""
