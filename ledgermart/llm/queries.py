@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermart.llm import decontaminate, packing, secret_scan, sharding, simhash, substring_dedup, toxicity, url_filter
+from ledgermart.llm import decontaminate, packing, pii, secret_scan, sharding, simhash, substring_dedup, toxicity, url_filter
 from ledgermart.llm.common import read
 from ledgermart.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -30,6 +30,12 @@ def op3_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(read(spark, sf_dir, "documents"))
 
 
+@query("op4_weak_supervision_pii")
+def op4_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.scan(read(spark, sf_dir, "documents"))
+
+
 @query("op5_feistel_sharding")
 def op5_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document."""
