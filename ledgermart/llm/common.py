@@ -14,7 +14,7 @@ from ledgermart.session import new_work_dir
 
 #: Ordered buckets are sized for so many rows, and the list of their bounds is at most so long.
 BUCKET_ROWS = 1024
-MAX_BUCKETS = 8192
+MAX_BUCKETS = 65_536
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

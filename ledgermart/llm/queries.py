@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermart.llm import decontaminate, packing, pii, secret_scan, sharding, simhash, substring_dedup, toxicity, url_filter
+from ledgermart.llm import decontaminate, fingerprint, packing, pii, secret_scan, sharding, simhash, substring_dedup, toxicity, url_filter
 from ledgermart.llm.common import read
 from ledgermart.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -87,6 +87,12 @@ def op8_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+@query("op9_order_minhash")
+def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return fingerprint.with_neighbours(read(spark, sf_dir, "documents"))
+
+
 @query("op10_decontamination")
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hit words and items of every document."""
