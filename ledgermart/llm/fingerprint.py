@@ -21,8 +21,8 @@ from ledgermart.llm.common import order_bounds, order_bucket
 WORDS = 3
 SLOTS = 64
 LANES = 2
-#: Documents in a bucket, about.
-BUCKET_DOCS = 512
+#: Documents in a bucket, about; a task sorts the k-mers of one bucket.
+BUCKET_DOCS = 128
 #: A k-mer's rank in its lane has the hash in the high bits and the place in the text in these low ones.
 PLACE_BITS = 24
 
@@ -95,11 +95,10 @@ def with_neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     known = F.array("doc_id", F.col("guest").cast("long"), F.char_length("text").cast("long"), *sha)
     lists = F.array(known, kmers("own_words", words), kmers("edit_words", words))
     each = sides.select("bucket", "at", F.posexplode(lists).alias("side", "numbers")).select("bucket", "at", "side", F.posexplode("numbers").alias("place", "number"))
-    # led by a hash, which sorts fast; the bucket's partitioning serves
-    key = each.withColumn("key", F.xxhash64("at", "side", "number"))
-    turn = F.row_number().over(Window.partitionBy("key", "bucket", "at", "side").orderBy("place"))
+    # led by the k-mer's hash, which sorts fast; the bucket's partitioning serves
+    turn = F.row_number().over(Window.partitionBy("number", "bucket", "at", "side").orderBy("place"))
     fact = F.col("side") == 0
-    hashed = key.withColumn("hash", F.xxhash64("number", turn))
+    hashed = each.withColumn("hash", F.xxhash64("number", turn))
     place = F.least(F.col("place"), F.lit((1 << PLACE_BITS) - 1)).cast("long")
     rank = F.shiftleft(F.shiftrightunsigned("hash", PLACE_BITS + 1), PLACE_BITS).bitwiseOR(place)  # without sign
     dealt = hashed.select(
