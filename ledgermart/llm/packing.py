@@ -86,10 +86,12 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity
     return docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(work, declared)
 
 
-def _fill(gap: int, counts: np.ndarray) -> tuple[int, ...] | None:
-    """One, two or three lengths still there whose sum is the gap; the most plentiful pair where there are several."""
-    if counts[gap]:
+def _fill(gap: int, counts: np.ndarray, most: int) -> tuple[int, ...] | None:
+    """At most ``most`` (up to three) lengths still there whose sum is the gap; the most plentiful pair where there are several."""
+    if most and counts[gap]:
         return (gap,)
+    if most < 2:
+        return None
 
     def pair(total: int) -> tuple[int, int] | None:
         x = np.arange(1, total // 2 + 1)
@@ -100,6 +102,8 @@ def _fill(gap: int, counts: np.ndarray) -> tuple[int, ...] | None:
 
     if found := pair(gap):
         return found
+    if most < 3:
+        return None
     for z in np.flatnonzero(counts[:gap])[::-1].tolist():
         counts[z] -= 1
         found = pair(gap - z)
@@ -110,7 +114,16 @@ def _fill(gap: int, counts: np.ndarray) -> tuple[int, ...] | None:
 
 
 def plan(counts_by_length: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns of lengths with how many sequences each makes up; all pieces are used."""
+    """Patterns of lengths with how many sequences each makes up; all pieces are used.
+
+    Exact fills spend short pieces, which long ones may need more where they are scarce;
+    so plans with sums of up to three, two, one and no lengths are made, and one with
+    the fewest sequences is taken, the first of equals.
+    """
+    return min((_plan(counts_by_length, capacity, most) for most in (3, 2, 1, 0)), key=lambda p: sum(n for _, n in p))
+
+
+def _plan(counts_by_length: dict[int, int], capacity: int, most: int) -> list[tuple[tuple[int, ...], int]]:
     counts = np.zeros(capacity + 1, dtype=np.int64)
     for length, n in counts_by_length.items():
         counts[length] = n
@@ -120,7 +133,7 @@ def plan(counts_by_length: dict[int, int], capacity: int = CAPACITY) -> list[tup
     for length in range(capacity - 1, 0, -1):
         while counts[length]:
             counts[length] -= 1  # one is the piece whose gap is filled
-            fill = _fill(capacity - length, counts)
+            fill = _fill(capacity - length, counts, most)
             counts[length] += 1
             if fill is None:
                 rest[length], counts[length] = counts[length], 0
