@@ -93,13 +93,68 @@ def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.with_neighbours(read(spark, sf_dir, "documents"))
 
 
-@query("op10_decontamination")
+@query(
+    "op10_decontamination",
+    r"""
+    with texts as (
+        select 'doc' as kind, doc_id as id, text from documents union all select 'item', item_id, text from benchmark
+    ), worded as (
+        select kind, id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+        from texts
+    ), item_windows as (
+        select distinct id as item_id, size, array_to_string(words[i:i + size - 1], ' ') as own
+        from (select id, words, least(13, len(words)) as size, unnest(range(1, len(words) - least(13, len(words)) + 2)) as i
+              from worded where kind = 'item' and len(words) > 0)
+    ), doc_windows as (
+        select id as doc_id, i, size, array_to_string(words[i:i + size - 1], ' ') as own
+        from (select id, words, size, unnest(range(1, len(words) - size + 2)) as i
+              from worded, (select distinct size from item_windows) where kind = 'doc')
+    ), found as (
+        select doc_id, i, size, item_id from doc_windows join item_windows using (size, own)
+    ), hits as (
+        select doc_id, count(*) as n_hit
+        from (select distinct doc_id, unnest(range(i, i + size)) as place from found) group by doc_id
+    ), items as (
+        select doc_id, count(*) as n_items, string_agg(item_id, ',' order by item_id) as items
+        from (select distinct doc_id, item_id::varchar as item_id from found) group by doc_id
+    )
+    select id as doc_id, len(words) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+           sha256(coalesce(items, '')) as items_sha256,
+           coalesce(n_hit > 0 and 20 * n_hit >= len(words), false) as contaminated
+    from worded left join hits on hits.doc_id = id left join items on items.doc_id = id
+    where kind = 'doc'
+    """,
+)
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hit words and items of every document."""
-    return decontaminate.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return decontaminate.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("longest_match")
 
 
-@query("op6_superkmer_dedup")
+@query(
+    "op6_superkmer_dedup",
+    r"""
+    with docs as (
+        select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents
+    ), windows as (
+        select doc_id, i, array_to_string(words[i:i + 19], ' ') as own
+        from (select doc_id, words, unnest(range(1, len(words) - 18)) as i from docs)
+    ), later as (
+        select doc_id, i from windows qualify row_number() over (partition by own order by doc_id, i) > 1
+    ), gone as (
+        select distinct doc_id, unnest(range(i, i + 20)) as place from later
+    ), kept as (
+        select doc_id, string_agg(word, ' ' order by place) as words, count(*) as n
+        from (select doc_id, unnest(words) as word, generate_subscripts(words, 1) as place from docs)
+        anti join gone using (doc_id, place)
+        group by doc_id
+    )
+    select doc_id, len(docs.words) as n_words, len(docs.words) - coalesce(n, 0) as n_removed,
+           sha256(coalesce(kept.words, '')) as kept_sha256
+    from docs left join kept using (doc_id)
+    """,
+)
 def op6_superkmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated windows of 20 words, removed from every document."""
     return substring_dedup.measure(read(spark, sf_dir, "documents"))
