@@ -10,6 +10,13 @@ from ledgermart.llm.common import read
 from ledgermart.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
 
+def _sql_text(pattern: str) -> str:
+    return pattern.replace("'", "''")
+
+
+_ASSIGN_SQL = _sql_text(secret_scan.ASSIGN)
+
+
 @query("op1_simhash_dedup")
 def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
@@ -24,7 +31,49 @@ def op2_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(docs, model)
 
 
-@query("op3_entropy_secrets")
+@query(
+    "op3_entropy_secrets",
+    rf"""
+    with shapes(kind, rank, shape) as (
+        values ('assign', 0, '{_ASSIGN_SQL}'), ('access', 1, 'AKIA[A-Z0-9]{{16,}}'), ('hex', 2, '[0-9a-f]{{24,}}'),
+               ('entropy', 3, '[A-Za-z0-9+/_=-]{{20,}}')
+    ), parts as (
+        select doc_id, kind, rank, shape, regexp_extract_all(coalesce(text, ''), shape) as own,
+               string_split_regex(coalesce(text, ''), shape) as gaps
+        from documents, shapes
+    ), places as (
+        select doc_id, kind, rank, shape, own[i] as value, gaps[i] as gap,
+               (length(array_to_string(gaps[1:i], '')) + length(array_to_string(own[1:i - 1], '')))::bigint as begins
+        from (select *, unnest(range(1, len(own) + 1)) as i from parts)
+    ), spans as (
+        select *, begins + length(value) as ends from places
+        where kind <> 'assign' or length(regexp_extract(value, shape, 1)) >= 6
+    ), windows as (
+        select doc_id, begins, j, sum(round(n * log2(n) * 1048576)) as total
+        from (select doc_id, begins, j, letter, count(*) as n
+              from (select doc_id, begins, j, unnest(string_split(substr(value, j, 20), '')) as letter
+                    from (select doc_id, begins, value, unnest(range(1, length(value) - 18)) as j from spans where kind = 'entropy'))
+              group by all)
+        group by all
+    ), random as (
+        select s.* from spans s join (select doc_id, begins, min(total) as least from windows group by all) w using (doc_id, begins)
+        where kind = 'entropy' and not regexp_matches(value, '{secret_scan.ALLOWED}')
+          and not regexp_matches(right(gap, 40), '{_sql_text(secret_scan.ALLOWED_AFTER)}')
+          and least <= round((20 * log2(20) - 20 * case when regexp_matches(value, '^[0-9]+$') then 3.05
+              when regexp_matches(value, '^([0-9a-f]+|[0-9A-F]+)$') then 3.05 when regexp_matches(value, '^[A-Za-z]+$') then 4.0 else 3.8 end) * 1048576)
+          and not exists (from spans b where b.doc_id = s.doc_id and b.rank < 3 and b.begins < s.ends and s.begins < b.ends)
+    ), listed as (
+        select doc_id, rank, kind, begins, kind || ':' || begins || ':' || ends as span from spans where rank < 3
+        union all select doc_id, rank, kind, begins, kind || ':' || begins || ':' || ends from random
+    )
+    select doc_id, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access,
+           count(*) filter (kind = 'hex') as n_hex, count(*) filter (kind = 'entropy') as n_entropy,
+           sha256(coalesce(string_agg(span, ',' order by begins, rank) filter (rank < 3), '')) as base_sha256,
+           coalesce(string_agg(span, ',' order by begins, rank), '') as spans
+    from documents left join listed using (doc_id)
+    group by doc_id
+    """,
+)
 def op3_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
     return secret_scan.scan(read(spark, sf_dir, "documents"))
