@@ -22,7 +22,7 @@ ALLOW, BLOCK = "allow", "block"
 #: The verdict where no rule fits.
 DEFAULT = ALLOW
 #: A domain with more keys than this is dealt over several tasks, each of which gets its rules.
-KEYS_PER_TASK = 50_000
+KEYS_PER_TASK = 2_000
 
 
 def lower_ascii(c: Column) -> Column:
