@@ -29,5 +29,6 @@ def month_start(ts: Column) -> Column:
 
 
 def batch_id(ts: Column) -> Column:
-    """Partition-safe text of a batch timestamp; sorts as the timestamp does."""
-    return F.concat(F.lit("b"), F.date_format(ts, "yyyyMMdd'T'HHmmssSSSSSS"))
+    """Partition-safe text of a batch timestamp; sorts as the timestamp does. A missing timestamp is an error."""
+    text = F.concat(F.lit("b"), F.date_format(ts, "yyyyMMdd'T'HHmmssSSSSSS"))
+    return F.coalesce(text, F.raise_error(F.lit("a row has no batch timestamp")).cast("string"))

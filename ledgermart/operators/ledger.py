@@ -63,17 +63,22 @@ def allocate_ids(files: DataFrame, ledger: DataFrame, run_ts: str, order_by: Seq
     """Gives each file the next audit id, and a batch timestamp of its own.
 
     The timestamps are microseconds apart in file order, so that every file is a
-    batch. The input is a list of files, small enough for one ordered window.
+    batch, and begin at ``run_ts`` or, where the ledger is already past it, right after
+    the ledger's newest: a batch before a watermark would never be read. The input
+    is a list of files, small enough for one ordered window.
     """
-    last = ledger.agg(F.coalesce(F.max(F.col("audit_id").cast("bigint")), F.lit(FIRST_AUDIT_ID - 1)).alias("_last"))
+    last = ledger.agg(
+        F.coalesce(F.max(F.col("audit_id").cast("bigint")), F.lit(FIRST_AUDIT_ID - 1)).alias("_last"),
+        F.max("audit_ts").alias("_newest"),
+    )
     rank = F.row_number().over(Window.orderBy(*order_by))
-    start = F.unix_micros(F.lit(run_ts).cast("timestamp"))
+    start = F.greatest(F.unix_micros(F.lit(run_ts).cast("timestamp")), F.unix_micros(F.col("_newest").cast("timestamp")) + 1)
     return (
         files.withColumn("_rank", rank)
         .crossJoin(F.broadcast(last))
         .withColumn("audit_id", (F.col("_last") + F.col("_rank")).cast("string"))
         .withColumn("audit_ts", F.timestamp_micros(start + F.col("_rank") - 1))
-        .drop("_rank", "_last")
+        .drop("_rank", "_last", "_newest")
     )
 
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
 
@@ -27,16 +31,27 @@ def delete(spark: SparkSession, path: str) -> bool:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Writes a new small file whole: under a temporary name, then renamed."""
+    """Writes a new small file whole, or fails if there is one: under a name of its own, then renamed without overwriting.
+
+    On file systems whose rename isn't one step, such as object stores, the store's own
+    conditional writes or a lock outside must keep two writers apart.
+    """
     target, fs = _resolve(spark, path)
-    part = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.part")
-    out = fs.create(part, True)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    part = hadoop.Path(f"{path}.{uuid.uuid4().hex}.part")
+    out = fs.create(part, False)
     try:
         out.write(bytearray(text, "utf-8"))
     finally:
         out.close()
-    if fs.exists(target) or not fs.rename(part, target):
-        raise RuntimeError(f"another writer already committed {path}")
+    files = hadoop.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    once = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    once[0] = hadoop.Options.Rename.NONE
+    try:
+        files.rename(files.makeQualified(part), files.makeQualified(target), once)
+    except (Py4JJavaError, PySparkException) as error:
+        fs.delete(part, False)
+        raise RuntimeError(f"another writer already committed {path}") from error
 
 
 def read_text(spark: SparkSession, path: str) -> str:

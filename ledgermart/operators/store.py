@@ -1,21 +1,24 @@
 """Mart tables as Parquet folders with a commit file per write.
 
-Layout: ``<root>/<table>/mart_version=<n>/mart_part=<p>/*.parquet``. A part is a batch, a hash
-bucket, or the open or closed half of a history. Every write makes a new version
-folder and then one small commit file that names the live version of each part, so
+Layout: ``<root>/<table>/mart_version=<n>-<attempt>/mart_part=<p>/*.parquet``. A part is a batch,
+a hash bucket, or the open or closed half of a history. Every write makes a version
+folder of its own and then one small commit file that names the live version of each part, so
 
 * nothing that a reader can see is ever overwritten or half replaced;
-* a job that dies leaves an uncommitted folder, which the next run overwrites;
+* a job that dies, or a writer that comes too late, leaves a folder that no commit names;
 * a watermark or a list of batches comes from the commit, not from a scan;
 * the committed schema is the read schema: added columns read as NULL in older
   files and dropped columns are not read.
 
-One writer per table at a time; a second one fails at its commit.
+One writer per table at a time: of two that start from the same commit the second one
+fails at its own, which can only be created once, and the table stays as the first left it.
 """
 
 from __future__ import annotations
 
 import json
+import re
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -41,14 +44,28 @@ class TableState:
 
     version: int = 0
     schema: str = ""
-    live: dict[str, int] = field(default_factory=dict)
+    live: dict[str, str] = field(default_factory=dict)  # by part: the version folder it lies in
     buckets: int | None = None
     high: str | None = None
+    folder: str = ""  # the version folder that this commit added
 
     def struct(self) -> T.StructType:
         return T.StructType.fromJson(json.loads(self.schema))
 
 
+_BATCH_PART = re.compile(r"b\d{8}T\d{12}")
+
+
+def is_batch(part: str) -> bool:
+    """Whether a part is named after a batch timestamp; a stream's parts aren't."""
+    return _BATCH_PART.fullmatch(part) is not None
+
+
+def _newer(part: str, after: str | None) -> bool:
+    """Whether a part is a batch after the watermark; without one every part is."""
+    return after is None or is_batch(part) and _batch_time(part) > _padded(after)
+
+
 def _batch_time(part: str) -> str:
     """The timestamp text inside a batch id."""
     d, t = part[1:].split("T")
@@ -114,14 +131,12 @@ class Mart:
     ) -> TableState:
         """Writes one version and commits it. ``keep`` says which older parts stay live."""
         old = self.state(name) or TableState()
-        version = old.version + 1
+        version = f"{old.version + 1}-{uuid.uuid4().hex[:12]}"
         folder = f"{self._folder(name)}/{VERSION}={version}"
-        df.withColumn(PART, part).write.mode("overwrite").option(
-            "partitionOverwriteMode", "static"
-        ).partitionBy(PART).parquet(folder)
+        df.withColumn(PART, part).write.partitionBy(PART).parquet(folder)
         written = [c.split("=", 1)[1] for c in paths.children(self.spark, folder) if c.startswith(f"{PART}=")]
         live = {p: v for p, v in old.live.items() if keep(p)} | {p: version for p in written}
-        state = TableState(version, df.schema.json(), live, buckets, high)
+        state = TableState(old.version + 1, df.schema.json(), live, buckets, high, version)
         self._commit(name, state)
         return state
 
@@ -131,7 +146,7 @@ class Mart:
         live = {p: v for p, v in state.live.items() if wanted(p)}
         if not live:
             return self.spark.createDataFrame([], state.struct())
-        schema = state.struct().add(VERSION, T.IntegerType()).add(PART, T.StringType())
+        schema = state.struct().add(VERSION, T.StringType()).add(PART, T.StringType())
         folder = self._folder(name)
         versions = sorted(set(live.values()))
         df = (
@@ -141,7 +156,7 @@ class Mart:
         )
         # both columns are partition columns: this prunes folders and reads no data
         pairs = [f"{v}/{p}" for p, v in live.items()]
-        df = df.filter(F.concat(F.col(VERSION).cast("string"), F.lit("/"), F.col(PART)).isin(pairs))
+        df = df.filter(F.concat(F.col(VERSION), F.lit("/"), F.col(PART)).isin(pairs))
         return df.drop(VERSION)
 
     def table(self, name: str, after: str | None = None, parts: Callable[[str], bool] | None = None) -> DataFrame:
@@ -155,8 +170,7 @@ class Mart:
             raise LookupError(f"no table {name} in {self.root}")
 
         def wanted(p: str) -> bool:
-            newer = after is None or _batch_time(p) > _padded(after)
-            return newer and (parts is None or parts(p))
+            return _newer(p, after) and (parts is None or parts(p))
 
         return self._read(name, state, wanted)
 
@@ -164,14 +178,14 @@ class Mart:
         """Live parts of a table in order; ``after`` keeps the batches newer than a watermark."""
         state = self.state(name)
         parts = sorted(state.live) if state else []
-        return [p for p in parts if after is None or _batch_time(p) > _padded(after)]
+        return [p for p in parts if _newer(p, after)]
 
     def watermark(self, name: str) -> str | None:
-        """Newest batch of a batch table: None before the first run, the epoch when empty."""
+        """Newest batch of a table: None before the first run, the epoch where it has no batches."""
         state = self.state(name)
         if state is None:
             return None
-        return _batch_time(max(state.live)) if state.live else EPOCH
+        return max((_batch_time(p) for p in state.live if is_batch(p)), default=EPOCH)
 
     def high(self, name: str) -> str | None:
         """How far a history has processed its sources: None before the first run."""
@@ -206,7 +220,8 @@ class Mart:
         several tasks.
         """
         watermark = self.watermark(name)
-        fresh = df if watermark is None else df.filter(F.col(ts_col) > F.lit(watermark))
+        # a row without a batch time isn't older: it reaches batch_id, which refuses it
+        fresh = df if watermark is None else df.filter((F.col(ts_col) > F.lit(watermark)) | F.col(ts_col).isNull())
         if regroup:
             fresh = fresh.hint("rebalance", ts_col)
         self._write(name, fresh, batch_id(F.col(ts_col)))

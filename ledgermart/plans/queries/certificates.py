@@ -222,8 +222,8 @@ def delta_property(spark, sf_dir):
     return naive(spec.property_delta(_certificates(spark, sf_dir, after), after))
 
 
-# three runs of the history: cut points of the batch axis and the run's timestamp
-_RUNS = ((None, "1997-12-31"), ("1997-12-31", "1999-12-31"), ("1999-12-31", "2030-01-01"))
+# three runs of the history: what they read of the batch axis, the last one to its end, and their timestamps
+_RUNS = ((None, "1997-12-31", "1997-12-31"), ("1997-12-31", "1999-12-31", "1999-12-31"), ("1999-12-31", None, "2030-01-01"))
 _RUN_SQL = (
     "case when audit_ts <= timestamp '1997-12-31' then timestamp '1997-12-31' "
     "when audit_ts <= timestamp '1999-12-31' then timestamp '1999-12-31' else timestamp '2030-01-01' end"
@@ -247,10 +247,11 @@ def _property_dimension(spark, sf_dir):
     mart = new_mart(spark, "property")
     # the staged certificates are written once; every run reads only its own batches
     mart.write_full("staged", spec.property_delta_input(_certificates(spark, sf_dir)))
-    for after, until in _RUNS:
-        rows = mart.table("staged").filter(F.col(spec.BATCH) <= F.lit(until))
+    for after, until, run in _RUNS:
+        rows = mart.table("staged")
+        rows = rows if until is None else rows.filter(F.col(spec.BATCH) <= F.lit(until))
         delta = spec.property_delta([rows], after)
-        mart.write_snapshot("dim", delta, spec.PROPERTY_KEY, [spec.PROPERTY_STATE], f"{until} 00:00:00")
+        mart.write_snapshot("dim", delta, spec.PROPERTY_KEY, [spec.PROPERTY_STATE], f"{run} 00:00:00")
     return mart
 
 

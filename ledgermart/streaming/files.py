@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ledgermart.operators.ledger import FAILED, LoadGateError
 from ledgermart.operators.loader import load_files
 from ledgermart.operators.store import Mart
 
@@ -17,13 +18,16 @@ _BINARY_FILE = "path string, modificationTime timestamp, length bigint, content
 
 
 def stream_table(stream: DataFrame, mart: Mart, name: str, checkpoint: str) -> StreamingQuery:
-    """Appends everything available to a mart table, one part per micro-batch.
+    """Appends everything available to a mart table, one part per query and micro-batch.
 
-    A replayed micro-batch replaces its own part, so each row lands exactly once.
+    A replayed micro-batch replaces its own part, so each row that the checkpoint hands
+    out lands once. A new checkpoint is another query: it hands out all files again,
+    and its parts stand beside the old ones.
     """
 
     def add(batch: DataFrame, epoch: int) -> None:
-        mart.append_part(name, batch, f"epoch-{epoch:010d}")
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        mart.append_part(name, batch, f"epoch-{query}-{epoch:010d}")
 
     return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -42,7 +46,9 @@ def stream_load(
 
     The stream carries file names only; the files are read by the loader. The
     source's checkpoint knows the files it has handed out, and the ledger those
-    that were loaded, so a replay loads nothing twice.
+    that were loaded, so a replay loads nothing twice. A micro-batch with an
+    unreadable file fails once its other files are loaded: it isn't done for the
+    checkpoint, and the next start tries that file again.
     """
     source = (
         spark.readStream.format("binaryFile")
@@ -55,6 +61,9 @@ def stream_load(
     names = source.load(landing).select(F.col("_metadata.file_path").alias("filepath"))
 
     def add(batch: DataFrame, epoch: int) -> None:
-        load_files(mart, batch, schemas, f"{run_id}-{epoch}")
+        results = load_files(mart, batch, schemas, f"{run_id}-{epoch}")
+        failed = [r["filepath"] for r in results.filter(F.col("status") == FAILED).collect()]  # at most one a file
+        if failed:
+            raise LoadGateError(f"files not loaded: {failed}")
 
     return names.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
