@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgermart.functions.dates import batch_id
 from ledgermart.operators import kpi, quality
-from ledgermart.operators.ledger import LEDGER, gate_loads, join_audit, read_ledger
+from ledgermart.operators.ledger import FAILED, LEDGER, gate_loads, join_audit, read_ledger
 from ledgermart.operators.loader import load_files, raw_table
 from ledgermart.operators.parallel import run_together
 from ledgermart.operators.store import Mart
@@ -45,14 +46,33 @@ class CertificateMart:
         """Loads one month's (or the listed) files below the landing folder.
 
         ``reload`` names files to load again, such as a corrected one that was only
-        partly loaded before.
+        partly loaded before. What later layers made of their earlier batches is taken
+        out with them; the next ``transform`` builds it from the new ones. The property
+        history keeps what it has seen.
         """
         files = select_batch(list_files(self.spark, landing), month_tag, paths)
         return self.load_listed(files, run_id, run_ts, reload, multiline)
 
     def load_listed(self, files: DataFrame, run_id: str, run_ts: str | None = None, reload: Sequence[str] = (),
                     multiline: bool | None = None) -> DataFrame:
-        return load_files(self.mart, files, self.schemas, run_id, run_ts, reload, multiline)
+        before = read_ledger(self.mart).filter(F.col("filepath").isin(list(reload)))
+        replaced = before.select("filepath", "target_table", batch_id(F.col(spec.BATCH)).alias("part")).collect() if reload else []
+        results = load_files(self.mart, files, self.schemas, run_id, run_ts, reload, multiline)
+        if replaced:
+            loaded = {r["filepath"] for r in results.filter(F.col("status") != FAILED).collect()}
+            self._drop_batches([(r["target_table"], r["part"]) for r in replaced if r["filepath"] in loaded])
+        return results
+
+    def _drop_batches(self, batches: Sequence[tuple[str, str]]) -> None:
+        """Takes batches of raw tables out of staging, facts, KPI partials and KPIs."""
+        for domain in spec.DOMAINS:
+            for kind in KINDS:
+                gone = [part for table, part in batches if table == spec.raw_name(domain, kind)]
+                fact = spec.fact_name(domain, kind)
+                kpis = [name for name, of in spec.FACT_OF_KPI.items() if of == fact]
+                for name in (spec.staging_name(domain, kind), fact, *(f"{k}_partials" for k in kpis), *kpis):
+                    if gone and self.mart.exists(name):
+                        self.mart.drop_parts(name, gone)
 
     def raw(self, table: str, ledger: DataFrame | None = None, position: bool = False) -> DataFrame:
         """Audited raw rows: those whose audit id the ledger lists for this table."""

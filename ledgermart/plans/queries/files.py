@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgermart.operators import ledger as lg
-from ledgermart.operators.loader import load_files, raw_table
+from ledgermart.operators.loader import load_files, purge_unaudited, raw_table
 from ledgermart.plans.queries.registry import new_mart, query, read
 from ledgermart.session import new_work_dir
 from ledgermart.sources import adhoc, csv
 from ledgermart.sources.files import list_files, missing_files, readable_path, route_paths, select_batch
-from ledgermart.streaming.files import stream_table
+from ledgermart.streaming.files import stream_load, stream_table
 
 _PART_SCHEMA = "p_partkey bigint, p_name string, p_brand string, p_type string, p_size bigint, p_retailprice double"
 _BAD = "p_partkey % 13 = 0"
@@ -195,7 +197,14 @@ def batch_complete(spark, sf_dir):
 )
 def ledger_load(spark, sf_dir):
     """Landed files of six kinds loaded under the ledger, then summed through it."""
-    mart, landing = new_mart(spark, "load"), new_work_dir(spark, "landing") + "/raw"
+    mart, (landing, schemas) = new_mart(spark, "load"), _landed_orders(spark, sf_dir)
+    lg.gate_loads(load_files(mart, list_files(spark, landing), schemas, "run", multiline=False))
+    return _loaded_by_year(mart, schemas)
+
+
+def _landed_orders(spark, sf_dir):
+    """A landing folder with order files of six kinds by year, and the schema of each raw table."""
+    landing = new_work_dir(spark, "landing") + "/raw"
     columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
     tag = F.date_format("o_orderdate", "yyyy-01").alias("month")
     _write_text(_routed_orders(spark, sf_dir).select(*columns, "kind", "domain", tag), landing, "kind", "domain", "month")
@@ -204,13 +213,15 @@ def ledger_load(spark, sf_dir):
         "o_orderdate timestamp, o_orderpriority string"
     )
     tables = [f"raw_{d}_{k}" for d in ("display", "domestic", "non_domestic") for k in ("certificates", "recommendations")]
-    results = load_files(mart, list_files(spark, landing), dict.fromkeys(tables, schema), "run", multiline=False)
-    lg.gate_loads(results)
+    return landing, dict.fromkeys(tables, schema)
+
+
+def _loaded_by_year(mart, schemas) -> DataFrame:
+    """Rows and key sums by raw table and year of the file, of batches that the ledger vouches for."""
     ledger = lg.read_ledger(mart)
-    loaded = [raw_table(mart, t, schema) for t in tables]
-    rows = loaded[0]
-    for more in loaded[1:]:
-        rows = rows.unionByName(more)
+    known = [r["audit_id"] for r in ledger.select("audit_id").collect()]  # one a file
+    loaded = [raw_table(mart, t, schema, known) for t, schema in schemas.items() if mart.exists(t)]
+    rows = reduce(DataFrame.unionByName, loaded)
     traced = lg.lineage(rows.select("audit_id", "o_custkey"), ledger.drop("status"))
     year = F.regexp_extract("filepath", r"month=(\d{4})-", 1).alias("year")
     return traced.groupBy("target_table", year, F.lit("LOADED").alias("status")).agg(
@@ -218,6 +229,92 @@ def ledger_load(spark, sf_dir):
     )
 
 
+_LOADED_SQL = _ROUTED + """
+    select concat('raw_', domain, '_', kind) as target_table, strftime(o_orderdate, '%Y') as year,
+           'LOADED' as status, count(*) as rows_loaded, cast(sum(o_custkey) as bigint) as keys
+    from o group by 1, 2
+"""
+
+
+@query("ledger_reload", _LOADED_SQL)
+def ledger_reload(spark, sf_dir):
+    """All files loaded, those of one year loaded again: nothing counts twice."""
+    mart, (landing, schemas) = new_mart(spark, "reload"), _landed_orders(spark, sf_dir)
+    files = list_files(spark, landing)
+    lg.gate_loads(load_files(mart, files, schemas, "first"))
+    again = [r["filepath"] for r in files.filter(F.col("filepath").contains("month=1996-")).collect()]
+    lg.gate_loads(load_files(mart, files, schemas, "again", reload=again))
+    return _loaded_by_year(mart, schemas)
+
+
+@query("stream_load", _LOADED_SQL)
+def streamed_load(spark, sf_dir):
+    """The same files handed to the loader by a file stream, some at a time."""
+    mart, (landing, schemas) = new_mart(spark, "stream-load"), _landed_orders(spark, sf_dir)
+    stream_load(spark, landing, mart, schemas, "s", new_work_dir(spark, "stream-state"), files_per_batch=40).awaitTermination()
+    return _loaded_by_year(mart, schemas)
+
+
+@query(
+    "load_purge",
+    _ROUTED + "select concat('raw_', domain, '_', kind) as target_table, count(*) as n from o where year(o_orderdate) <> 1997 group by 1",
+)
+def load_purge(spark, sf_dir):
+    """Batches that lose their ledger row are purged; what is left is counted without the ledger."""
+    mart, (landing, schemas) = new_mart(spark, "purge"), _landed_orders(spark, sf_dir)
+    lg.gate_loads(load_files(mart, list_files(spark, landing), schemas, "run", multiline=False))
+    kept = lg.read_ledger(mart).filter(~F.col("filepath").contains("month=1997-"))
+    mart.write_full(lg.LEDGER, kept)
+    for table in schemas:
+        purge_unaudited(mart, table)
+    counts = [mart.table(t).groupBy(F.lit(t).alias("target_table")).agg(F.count(F.lit(1)).alias("n")) for t in schemas]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query(
+    "load_gate",
+    """
+    select o_orderpriority as run, case when bool_and(o_orderstatus = 'O') then 'passed' else 'failed' end as gate,
+           count(*) filter (o_orderstatus <> 'O') as not_loaded
+    from orders group by 1
+    """,
+)
+def load_gate(spark, sf_dir):
+    """The success gate over results of one run for each priority: orders as files, their status as the load's."""
+    results = read(spark, sf_dir, "orders").select(
+        F.col("o_orderpriority").alias("run"), F.when(F.col("o_orderstatus") == "O", lg.LOADED).otherwise(lg.LOAD_FAILED).alias("status")
+    )
+    bad = lg.not_loaded(results).groupBy("run").agg(F.count(F.lit(1)).alias("not_loaded"))
+    found = results.select("run").distinct().join(bad, "run", "left").withColumn("not_loaded", F.coalesce("not_loaded", F.lit(0).cast("bigint")))
+    return found.select("run", F.when(F.col("not_loaded") == 0, "passed").otherwise("failed").alias("gate"), "not_loaded")
+
+
+@query("csv_line_breaks", "select p_partkey, replace(p_name, ' ', chr(10)) as p_name, cast(p_size as bigint) as p_size from part")
+def csv_line_breaks(spark, sf_dir):
+    """Parts with line breaks in their quoted names, in files whose lines end in three ways."""
+    folder = new_work_dir(spark, "csv-breaks")
+    line = F.concat(F.col("p_partkey").cast("string"), F.lit(',"'), F.replace("p_name", F.lit(" "), F.lit("\n")), F.lit('",'), F.col("p_size").cast("string"))
+    ends = F.element_at(F.array(F.lit("\r\n"), F.lit("\r"), F.lit("\n")), (F.col("p_partkey") % 3 + 1).cast("int"))
+    parts = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("key"), F.concat(line, ends).alias("line"), F.floor(F.col("p_partkey") / 500).alias("file"))
+    # a file is written as one text of at most 500 lines, so that its header comes first
+    whole = parts.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("key", "line"))).alias("lines"))
+    body = F.array_join(F.transform("lines", lambda x: x["line"]), "")
+    whole.select("file", F.concat(F.lit("p_partkey,p_name,p_size\r\n"), body).alias("value")).write.partitionBy("file").text(folder)
+    files = [readable_path(r["filepath"]) for r in list_files(spark, folder, "*.txt").collect()]
+    schema = T.StructType.fromDDL("p_partkey bigint, p_name string, p_size bigint")
+    good, _ = csv.split_good_bad(csv.read_batch_csv(spark, files, schema), schema)
+    return good.drop(*csv.POSITION)
+
+
+@query("table_export", "select o_orderkey, o_custkey, o_totalprice, cast(year(o_orderdate) as integer) as year from orders")
+def table_export(spark, sf_dir):
+    """The import scan of a dashboard over a stored table."""
+    mart = new_mart(spark, "export")
+    orders = read(spark, sf_dir, "orders")
+    mart.write_full("orders", orders.select("o_orderkey", "o_custkey", "o_totalprice", F.year("o_orderdate").alias("year")))
+    return mart.export("orders")
+
+
 @query("adhoc_csv_json", "select c_custkey, c_name, c_acctbal, c_mktsegment from customer")
 def adhoc_csv_json(spark, sf_dir):
     """Half of the customers through CSV, half through JSON, read by extension."""

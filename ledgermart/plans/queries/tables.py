@@ -193,12 +193,13 @@ def unprocessed_files(spark, sf_dir):
     """
     with f as (select distinct concat('raw/orders/', strftime(o_orderdate, '%Y-%m'), '.csv') as filepath from orders)
     select filepath, cast(1041 + row_number() over (order by filepath) as varchar) as audit_id,
-           timestamp '2025-01-01' + to_microseconds(row_number() over (order by filepath) - 1) as audit_ts
+           timestamp '2025-03-01' + to_microseconds(row_number() over (order by filepath)) as audit_ts
     from f
     """,
 )
 def audit_ids(spark, sf_dir):
-    known = spark.range(1).select(F.lit("1041").alias("audit_id"))
+    """The ledger is already past the run's own timestamp."""
+    known = spark.range(1).select(F.lit("1041").alias("audit_id"), F.lit("2025-03-01").cast("timestamp").alias("audit_ts"))
     files = month_ledger(spark, sf_dir).select("filepath")
     return naive(lg.allocate_ids(files, known, "2025-01-01 00:00:00"))
 

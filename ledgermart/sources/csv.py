@@ -11,20 +11,27 @@ from collections.abc import Sequence
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgermart.functions.text import NULL_TOKENS
+from ledgermart.session import new_work_dir
 
 FILE, BLOCK, SEQ = "_file", "_block", "_seq"
 POSITION = (FILE, BLOCK, SEQ)
 BAD_COLUMN, BAD_VALUE = "_bad_column", "_bad_value"
 ERROR = (BAD_COLUMN, BAD_VALUE)
 
-# one field: quoted with doubled quotes inside, or free of quotes; possessive, so linear
-_FIELD = r'(?:"(?:[^"]++|"")*+"|[^",]*+)'
+# One field: quoted with doubled quotes inside, or not begun by a quote; possessive, so linear.
+_FIELD = r'(?:"(?:[^"]++|"")*+"[^,]*+|[^",][^,]*+|)'
+#: Lines after which no quote is open, if none was before, and if one was.
 COMPLETE_LINE = f"^{_FIELD}(?:,{_FIELD})*+$"
+CLOSING_LINE = rf'^(?:[^"]++|"")*+"[^,]*+(?:,{_FIELD})*+$'
+
+NUMBER = r"^[+-]?(?:[0-9]+[.]?[0-9]*|[.][0-9]+)(?:[eE][+-]?[0-9]+)?$"
+ISO_DATE = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
+ISO_TIMESTAMP = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}(?:[T ].+)?$"
 
 # The date and time layouts accepted besides ISO.
 DATE_FORMATS = ("dd-MMM-yyyy", "MM/dd/yyyy")
@@ -39,50 +46,94 @@ def read_batch_csv(
 ) -> DataFrame:
     """All-text rows of the files in ``schema`` order, with their position.
 
-    A quoted line break needs ``multiline``, and a file is then read by one task.
-    ``None`` decides per file: large files are first scanned as lines, in parallel,
-    and those whose every line is complete in itself are read in splits. The result
-    is the same either way. Compressed files are recognised by extension.
+    Lines end with LF, CR LF or a lone CR, also mixed, and files are read in splits,
+    whatever their size. Unless ``multiline`` is False, lines that a quoted line break
+    has cut apart are put together again, joined by LF; files without such lines, by
+    their content, need no more than the scan that tells. A quote that is never closed
+    takes the rest of its file. Compressed files are recognised by extension.
     """
-    if multiline is not None:
-        return with_position(_all_text(spark, paths, schema, multiline))
-    whole = set(line_complete_files(spark, paths, split_bytes(spark)))
-    split = [p for p in paths if p in whole]
-    rest = [p for p in paths if p not in whole]
-    if not split:
-        return with_position(_all_text(spark, rest, schema, True))
-    frames = [with_position(_all_text(spark, split, schema, False))]
-    if rest:
-        frames.append(with_position(_all_text(spark, rest, schema, True)))
+    if multiline is False:
+        return with_position(_all_text(spark, paths, schema))
+    whole = line_complete_files(spark, paths)
+    rest = [p for p in paths if p not in set(whole)]
+    frames = [with_position(_all_text(spark, whole, schema))] if whole else []
+    frames += [_joined_lines(spark, rest, schema)] if rest else []
     return reduce(DataFrame.unionByName, frames)
 
 
-def _all_text(spark: SparkSession, paths: Sequence[str], schema: T.StructType, multiline: bool) -> DataFrame:
+def _all_text(spark: SparkSession, paths: Sequence[str], schema: T.StructType) -> DataFrame:
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-    reader = spark.read.schema(text).option("header", "true").option("escape", '"')
-    return reader.option("multiLine", str(multiline).lower()).csv(list(paths))
+    return spark.read.schema(text).option("header", "true").option("escape", '"').csv(list(paths))
+
 
+def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    return with_position(spark.read.text(list(paths)))
 
-def split_bytes(spark: SparkSession) -> int:
-    """Size up to which a file is one read task anyway."""
-    return int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+
+def line_complete_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """Files without a record over several lines: no line of theirs leaves a quote open."""
+    lines = spark.read.text(list(paths)).select("value", F.col("_metadata.file_path").alias(FILE))
+    partial = F.col("value").contains('"') & ~F.col("value").rlike(COMPLETE_LINE)
+    names = {unquote(r[FILE]) for r in lines.filter(partial).select(FILE).distinct().collect()}
+    return [p for p in paths if not any(_same_file(p, n) for n in names)]
 
 
-def line_complete_files(spark: SparkSession, paths: Sequence[str], min_bytes: int = 0) -> list[str]:
-    """Of the files larger than ``min_bytes``, those without a record over several lines.
+def _same_file(path: str, found: str) -> bool:
+    """Whether a file is the given path or lies below it; the scheme may be left out."""
+    path, found = (x.split(":", 1)[-1].lstrip("/") for x in (path, found))
+    return found == path or found.startswith(path.rstrip("/") + "/")
 
-    Each line must be a sequence of whole fields: quoted ones closed, unquoted ones
-    without a quote. A file of such lines is outside quotes at every line break.
+
+def _state_before(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """Adds ``_swaps`` and ``_state`` before each row; the state is NULL where it depends on the state before the first.
+
+    A row sets the state to ``_sets`` (0 outside quotes, 1 inside), or turns it over
+    (``_turns`` 1), or leaves it.
     """
-    lines = (
-        spark.read.text(list(paths))
-        .select("value", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_size").alias("size"))
-        .filter(F.col("size") > min_bytes)
+    earlier = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    swaps = rows.withColumn("_swaps", F.coalesce(F.sum("_turns").over(earlier), F.lit(0)))
+    setter = F.when(F.col("_sets").isNotNull(), F.struct(F.col("_sets").alias("to"), F.col("_swaps").alias("at")))
+    last = swaps.withColumn("_last", F.last(setter, ignorenulls=True).over(earlier))
+    return last.withColumn("_state", (F.col("_last.to") + F.col("_swaps") - F.col("_last.at")) % 2).drop("_last")
+
+
+def _joined_lines(spark: SparkSession, paths: Sequence[str], schema: T.StructType) -> DataFrame:
+    """Records of files in which some line leaves a quote open.
+
+    What a line does to the open quote depends on the line alone, so the state before
+    each line is a running composition: within each split, then over the splits of a
+    file. A record begins at a line that finds no quote open.
+    """
+    work = new_work_dir(spark, "csv-lines")
+    _lines(spark, paths).write.parquet(work)
+    out, inside = F.col("value").rlike(COMPLETE_LINE), ~F.col("value").rlike(CLOSING_LINE)
+    lines = spark.read.parquet(work).withColumns(
+        {"_sets": F.when(out & ~inside, 0).when(~out & inside, 1), "_turns": F.when(~out & ~inside, 1).otherwise(0)}
     )
-    partial = F.col("value").contains('"') & ~F.col("value").rlike(COMPLETE_LINE)
-    kept = lines.groupBy(FILE).agg(F.max(partial).alias("partial")).filter(~F.col("partial"))
-    names = {unquote(r[FILE]) for r in kept.select(FILE).collect()}
-    return [p for p in paths if p in names]
+    block = [FILE, BLOCK]
+    lines = _state_before(lines, block, SEQ)
+    setter = F.when(F.col("_sets").isNotNull(), F.struct(SEQ, F.col("_sets").alias("to"), F.col("_swaps").alias("at")))
+    blocks = lines.groupBy(*block).agg(F.max(setter).alias("_last"), F.sum("_turns").alias("_all"))
+    turns = F.when(F.col("_last").isNull(), F.col("_all") % 2).otherwise(0)
+    blocks = blocks.withColumns({"_sets": (F.col("_last.to") + F.col("_all") - F.col("_last.at")) % 2, "_turns": turns})
+    begun = _state_before(blocks, [FILE], BLOCK)
+    begun = begun.select(*block, F.coalesce("_state", F.col("_swaps") % 2).alias("_begun"))
+    lines = lines.join(begun, block).withColumn("_open", F.coalesce("_state", (F.col("_begun") + F.col("_swaps")) % 2))
+    starts = F.when(F.col("_open") == 0, F.struct(BLOCK, SEQ))
+    so_far = Window.partitionBy(*block).orderBy(SEQ).rowsBetween(Window.unboundedPreceding, 0)
+    lines = lines.withColumn("_record", F.last(starts, ignorenulls=True).over(so_far))
+    last_starts = lines.groupBy(*block).agg(F.max(starts).alias("_record"))
+    earlier = Window.partitionBy(FILE).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    carried = last_starts.select(*block, F.last("_record", ignorenulls=True).over(earlier).alias("_carried"))
+    lines = lines.join(carried, block).withColumn("_at", F.coalesce("_record", "_carried"))
+    parts = F.array_sort(F.collect_list(F.struct(BLOCK, SEQ, "value")))
+    records = lines.groupBy(FILE, "_at").agg(F.array_join(F.transform(parts, lambda x: x["value"]), "\n").alias("value"))
+    first = Window.partitionBy(FILE)
+    data = records.withColumn("_header", F.min("_at").over(first)).filter("_at <> _header and trim(value) <> ''")
+    text = T.StructType([T.StructField(f"c{i}", T.StringType()) for i, _ in enumerate(schema)])
+    parsed = data.withColumn("_row", F.from_csv("value", text.simpleString()[7:-1].replace(":", " "), {"escape": '"'}))
+    values = [F.col(f"_row.c{i}").alias(f.name) for i, f in enumerate(schema)]
+    return parsed.select(*values, FILE, F.col(f"_at.{BLOCK}").alias(BLOCK), F.col(f"_at.{SEQ}").alias(SEQ))
 
 
 def with_position(raw: DataFrame) -> DataFrame:
@@ -120,16 +171,23 @@ def parse_sql(text: str, data_type: T.DataType) -> str:
         return text
     if isinstance(data_type, T.LongType):
         # "12.0" is a whole number; halves round away from zero
-        return f"try_cast(round(try_cast({text} as decimal(38,10)), 0) as bigint)"
+        return f"try_cast(round(try_cast({_only(text, NUMBER)} as decimal(38,10)), 0) as bigint)"
     if isinstance(data_type, T.DateType):
         other = ", ".join(f"try_to_date({text}, {_literal(f)})" for f in DATE_FORMATS)
-        return f"coalesce(try_cast({text} as date), {other})"
+        return f"coalesce(try_cast({_only(text, ISO_DATE)} as date), {other})"
     if isinstance(data_type, T.TimestampType):
         other = ", ".join(f"try_to_timestamp({text}, {_literal(f)})" for f in TIMESTAMP_FORMATS)
-        return f"coalesce(try_cast({text} as timestamp), {other})"
+        return f"coalesce(try_cast({_only(text, ISO_TIMESTAMP)} as timestamp), {other})"
+    if isinstance(data_type, T.NumericType):
+        return f"try_cast({_only(text, NUMBER)} as {data_type.simpleString()})"
     return f"try_cast({text} as {data_type.simpleString()})"
 
 
+def _only(text: str, pattern: str) -> str:
+    """SQL for a text that fits a pattern, else NULL: casts alone take "12D" for a number and a bare year for a date."""
+    return f"case when {text} rlike {_literal(pattern)} then {text} end"
+
+
 def typed(df: DataFrame, schema: T.StructType, tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
     """Typed columns plus the first column that failed to parse and its text.
 

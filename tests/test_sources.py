@@ -122,15 +122,14 @@ def test_listing_does_not_read_contents(spark, tmp_path):
     assert got.filter(F.col("filepath").startswith("file:")).count() == 2
 
 
-def test_large_files_split_only_where_every_line_is_complete(spark, tmp_path):
+def test_files_are_split_where_every_line_is_complete(spark, tmp_path):
     plain = write(tmp_path, "plain.csv", HEADER + '1,1,,,,"a ""b"", c"\n2,2,,,,\n')
     broken = write(tmp_path, "broken.csv", HEADER + '3,3,,,,"line\nbreak"\n4,4,,,,x\n')
     stray = write(tmp_path, "stray.csv", HEADER + '5,5,,,,5" pipe\n6,6,,,,x\n')
-    # quotes of two fields over two lines: each line has an even number
+    # the quote of the first field is text; that of the second one opens it
     even = write(tmp_path, "even.csv", HEADER + '7,7,,,5" a,"open\n6" rest"\n')
     paths = [f"file:{p}" for p in (plain, broken, stray, even)]
-    assert csv.line_complete_files(spark, paths) == [paths[0]]
-    assert csv.line_complete_files(spark, paths, min_bytes=10_000) == []
+    assert csv.line_complete_files(spark, paths) == [paths[0], paths[2]]
     spark.conf.set("spark.sql.files.maxPartitionBytes", "16")
     try:
         auto = csv.read_batch_csv(spark, paths[:3], SCHEMA, multiline=None)
@@ -138,7 +137,7 @@ def test_large_files_split_only_where_every_line_is_complete(spark, tmp_path):
         names = SCHEMA.fieldNames()
         assert rows(auto.select(*names)) == rows(whole.select(*names))
         assert auto.filter(F.col(csv.FILE).endswith("plain.csv")).select(csv.BLOCK).distinct().count() > 1
-        assert auto.filter(F.col(csv.FILE).endswith("broken.csv")).select(csv.BLOCK).distinct().count() == 1
+        assert auto.filter(F.col(csv.FILE).endswith("broken.csv")).select("note").first()[0] == "line\nbreak"
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
@@ -157,3 +156,50 @@ def test_first_error_line_across_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert (stats["rows_parsed"], stats["errors_seen"], stats["first_error_line"]) == (100, 2, 39)
     assert stats["first_error_column_name"] == "n" and stats["status"] == "PARTIALLY_LOADED"
+
+
+def as_records(text):
+    """Rows of a file, read by Python's reader, which takes all line ends alike."""
+    import csv as plain
+    import io
+
+    return [r + [None] * (6 - len(r)) for r in plain.reader(io.StringIO(text, newline="")) if r][1:]
+
+
+def test_one_result_at_every_split_size(spark, tmp_path):
+    """Quoted line breaks, CR LF, lone CR and mixed ends, in splits of a few bytes and in one."""
+    import random
+
+    rng = random.Random(3)
+    bodies = {}
+    for name, ends in (("lf", ["\n"]), ("crlf", ["\r\n"]), ("cr", ["\r"]), ("mixed", ["\n", "\r\n", "\r"])):
+        fields = ["plain", '5" pipe', '"a ""quoted"" word"', '"two\nlines"', '"three\n\n, lines"', "", '"x,""\ny"']
+        lines = [",".join([str(i), "1", "", "", "", rng.choice(fields)]) for i in range(25)]
+        bodies[name] = HEADER.strip() + rng.choice(ends) + "".join(line + rng.choice(ends) for line in lines)
+        (tmp_path / f"{name}.csv").write_bytes(bodies[name].encode())
+    want = sorted(((r[0], r[5] or None) for text in bodies.values() for r in as_records(text)), key=repr)
+    found = []
+    for split in ("40", "150", "1000000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        try:
+            read = csv.read_batch_csv(spark, [f"file:{tmp_path}/{n}.csv" for n in bodies], SCHEMA, multiline=None)
+            found.append(sorted(((r["id"], r["note"] or None) for r in read.select("id", "note").collect()), key=repr))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found[0] == found[1] == found[2] == want
+
+
+def test_open_quote_takes_the_rest_of_its_file(spark, tmp_path):
+    path = write(tmp_path, "open.csv", HEADER + '1,1,,,,"never closed\n2,2,,,,b\n')
+    got = csv.read_batch_csv(spark, [path], SCHEMA).collect()
+    assert [r["id"] for r in got] == ["1"]
+
+
+def test_letters_and_bare_years_are_bad_values(spark, tmp_path):
+    body = "1,,12D,,,\n2,,5f,,,\n3,,,2025,,\n4,,,2025-01,,\n5,,,,2025,\n6,7,1.5e3,2025-1-2,2025-01-02T03:04:05,\n7,0x1F,,,,\n8,,NaN,,,\n"
+    path = write(tmp_path, "values.csv", HEADER + body)
+    good, bad = csv.split_good_bad(csv.read_batch_csv(spark, [path], SCHEMA), SCHEMA)
+    assert [r["id"] for r in good.collect()] == ["6"]
+    assert sorted((r["id"], r[csv.BAD_COLUMN]) for r in bad.collect()) == [
+        ("1", "x"), ("2", "x"), ("3", "d"), ("4", "d"), ("5", "t"), ("7", "n"), ("8", "x")
+    ]
