@@ -100,3 +100,38 @@ def test_batch_filter_prunes_folders(spark, mart):
     plan = mart.table("f", after=JAN)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
     assert "PushedFilters: []" in plan  # the filter is on folders alone
+
+
+def test_stale_writer_fails_and_the_table_stays(spark, mart, monkeypatch):
+    mart.append_new("f", batches(spark, ("a", 1, JAN)))
+    stale = mart.state("f")
+    mart.append_new("f", batches(spark, ("b", 2, FEB), ("c", 3, FEB)))
+    with monkeypatch.context() as old:
+        old.setattr(mart, "state", lambda name: stale)  # has read the table before the other writer committed
+        with pytest.raises(RuntimeError, match="another writer"):
+            mart.append_part("f", batches(spark, ("x", 9, FEB)), "b20250201T100000500000")
+        with pytest.raises(RuntimeError, match="another writer"):
+            mart.write_full("f", batches(spark))
+    assert [r[:2] for r in rows(mart.table("f"))] == [("a", 1), ("b", 2), ("c", 3)]
+    assert not [c for c in paths.children(spark, f"{mart.root}/_commits/f") if c.endswith(".part")]
+    mart.append_new("f", batches(spark, ("d", 4, MAR)))
+    assert mart.table("f").count() == 4
+
+
+def test_rows_without_batch_time_are_refused(spark, mart):
+    with pytest.raises(Exception, match="no batch timestamp"):
+        mart.append_new("f", batches(spark, ("a", 1, JAN), ("b", 2, None)))
+    assert not mart.exists("f")
+    mart.append_new("f", batches(spark, ("a", 1, JAN)))
+    with pytest.raises(Exception, match="no batch timestamp"):
+        mart.append_new("f", batches(spark, ("b", 2, None)))
+    with pytest.raises(Exception, match="no batch timestamp"):
+        mart.replace_batches("f", batches(spark, ("b", 2, None)))
+    assert mart.table("f").count() == 1
+
+
+def test_parts_that_are_no_batches_have_no_time(spark, mart):
+    mart.append_part("s", batches(spark, ("a", 1, JAN)), "epoch-x-0")
+    assert mart.watermark("s") == "1970-01-01 00:00:00"
+    assert mart.batches("s") == ["epoch-x-0"] and mart.batches("s", after=JAN) == []
+    assert mart.table("s").count() == 1

@@ -1,7 +1,9 @@
 """Calendar, dashboard queries and streams."""
 
 import datetime as dt
+import gzip
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -72,6 +74,32 @@ def test_streamed_load_goes_through_the_ledger(spark, mart, tmp_path):
     assert built.raw("raw_domestic_certificates").count() == 5
 
 
+def test_new_checkpoint_stands_beside_the_old_rows(spark, mart, tmp_path):
+    source = str(tmp_path / "in")
+    for state, ids in (("one", range(5)), ("two", range(5, 8))):
+        spark.createDataFrame([(i,) for i in ids], "id bigint").coalesce(1).write.mode("overwrite").parquet(source)
+        stream = spark.readStream.schema("id bigint").parquet(source)
+        stream_table(stream, mart, "t", str(tmp_path / state)).awaitTermination()
+    assert sorted(r["id"] for r in mart.table("t").collect()) == list(range(8))
+    assert mart.watermark("t") == "1970-01-01 00:00:00"
+
+
+def test_streamed_load_tries_a_failed_file_again(spark, mart, tmp_path):
+    landing, state = tmp_path / "landing", str(tmp_path / "state")
+    schemas = {t: file_schema(t) for t in FILE_COLUMNS}
+    first_month(landing)
+    good = landing / "raw" / "certificates" / "domestic" / "domestic_certificates_2025-01.csv"
+    broken = good.with_name("domestic_certificates_2025-02.csv.gz")
+    broken.write_bytes(b"\x1f\x8b not a gzip file")
+    with pytest.raises(Exception, match="files not loaded"):
+        stream_load(spark, str(landing / "raw"), mart, schemas, "s", state).awaitTermination()
+    assert lg.read_ledger(mart).count() == 6
+    broken.write_bytes(gzip.compress(good.read_bytes()))
+    stream_load(spark, str(landing / "raw"), mart, schemas, "s", state).awaitTermination()
+    assert lg.read_ledger(mart).count() == 7
+    assert CertificateMart(mart).raw("raw_domestic_certificates").count() == 6
+
+
 def test_hot_key_is_cut_down_before_the_shuffle(spark):
     df = spark.range(1000).selectExpr("if(id % 3 = 0, 0, id) as k", "id as t")
     plan = latest_per_key(df, "k", "t")._jdf.queryExecution().executedPlan().toString()
