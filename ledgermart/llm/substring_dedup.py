@@ -33,7 +33,9 @@ GRAM = 4
 BUCKET_BYTES = 48 << 20
 SEND_BYTES = 24 << 20
 RESOLVE_BYTES = 96 << 20
-MAX_BUCKETS = 1 << 20
+MAX_BUCKETS = 1 << 30
+#: Buckets are dealt over at most so many tasks, each of which takes its buckets one after another.
+MAX_TASKS = 20_000
 #: Packed words take about so many times the text's bytes.
 EXPANSION = 3
 LEVEL = 3
@@ -199,7 +201,17 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, reso
 
     def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        size, opened = 0, False
+        current, size, opened = -1, 0, False
+
+        def close() -> Iterator[pa.RecordBatch]:
+            rows = []
+            for row in _resolve(held, window) if held else ():
+                rows.append(row)
+                if len(rows) >= 50_000:
+                    yield _spans(rows)
+                    rows = []
+            yield _spans(rows)
+            held.clear()
 
         def open_held() -> Iterator[pa.RecordBatch]:
             for keys, dids, ties, starts, text, _ in held:
@@ -213,7 +225,10 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, reso
             held.clear()
 
         for batch in batches:
-            for blob in batch.column(1):
+            for bucket, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if bucket != current:
+                    yield from close()
+                    current, size, opened = bucket, 0, False
                 body = pickle.loads(zstandard.decompress(blob.as_py()))
                 if len(body[5]):
                     yield _spans([tuple(r) for r in body[5].tolist()])
@@ -222,16 +237,12 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, reso
                 opened = opened or size > resolve_bytes
                 if opened:
                     yield from open_held()
-        rows = []
-        for row in _resolve(held, window) if held else ():
-            rows.append(row)
-            if len(rows) >= 50_000:
-                yield _spans(rows)
-                rows = []
-        yield _spans(rows)
+        yield from close()
 
     sent = docs.select("did", "tie", "text").mapInArrow(send, "bucket int, blob binary")
-    found = written(sent.repartitionById(buckets, "bucket").mapInArrow(resolve, SPANS), "repeated-spans")
+    tasks = min(buckets, MAX_TASKS)
+    dealt = sent.repartitionById(tasks, F.col("bucket") % tasks).sortWithinPartitions("bucket")
+    found = written(dealt.mapInArrow(resolve, SPANS), "repeated-spans")
     single = found.filter("words is not null")
     place = F.struct("did", "tie", "start")
     firsts = single.groupBy("words").agg(F.min(place).alias("first"))

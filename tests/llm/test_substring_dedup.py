@@ -24,8 +24,9 @@ def plain(rows, window=20):
     return out
 
 
-@pytest.mark.parametrize("sizes", [{}, {"buckets": 5}, {"buckets": 2, "resolve_bytes": 5_000}])
-def test_random_passages_equal_brute_force(spark, sizes):
+@pytest.mark.parametrize("sizes", [{}, {"buckets": 50}, {"buckets": 2, "resolve_bytes": 5_000}])
+def test_random_passages_equal_brute_force(spark, sizes, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "MAX_TASKS", 7)
     rng = random.Random(1)
     words = [f"w{i}" for i in range(30)]
     passages = [[rng.choice(words) for _ in range(rng.randrange(18, 60))] for _ in range(6)]
