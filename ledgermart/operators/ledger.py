@@ -119,7 +119,9 @@ def load_stats(tagged: DataFrame) -> DataFrame:
         F.max(F.when(leads, F.col(BLOCK))).alias(BLOCK),
         F.max(F.when(leads, F.col("_first_bad"))).alias(SEQ),
     )
-    errors = tagged.filter(bad).select(FILE, BLOCK, SEQ, BAD_COLUMN, BAD_VALUE)
+    # at most one position a file: the errors are filtered by these, not moved
+    firsts = F.broadcast(per_file.filter("errors_seen > 0").select(FILE, BLOCK, SEQ))
+    errors = tagged.filter(bad).select(FILE, BLOCK, SEQ, BAD_COLUMN, BAD_VALUE).join(firsts, [FILE, BLOCK, SEQ])
     found = per_file.join(errors, [FILE, BLOCK, SEQ], "left")
     loaded = F.col("rows_parsed") - F.col("errors_seen")
     return found.select(

@@ -35,6 +35,9 @@ from ledgermart.session import new_work_dir
 
 VERSION, PART = "mart_version", "mart_part"
 WHOLE, OPEN, CLOSED = "whole", "open", "closed"
+#: Hash buckets of an upserted table at its first load.
+MIN_BUCKETS = 16
+ROWS_PER_BUCKET = 1_000_000
 _FROM_DELTA = "_from_delta"
 
 
@@ -239,17 +242,22 @@ class Mart:
         key: str | Sequence[str],
         order_by: Sequence[str],
         tie_breakers: Sequence[str] = (),
-        buckets: int = 16,
+        buckets: int | None = None,
         files_per_bucket: int = 1,
     ) -> DataFrame:
         """A delta row replaces the stored row of its key; untouched buckets stay as they are.
 
         The delta is reduced to one row per key first, so a hot key cannot pile up;
         delta and stored rows then meet in one shuffle that is also the write layout.
+        The number of buckets is that of the commit, or at first follows from the rows
+        of the delta unless it is given.
         """
         keys = [key] if isinstance(key, str) else list(key)
         state = self.state(name)
-        buckets = state.buckets if state else buckets
+        if state:
+            buckets = state.buckets
+        elif buckets is None:
+            buckets = max(MIN_BUCKETS, -(-delta.count() // ROWS_PER_BUCKET))
         bucket = bucket_of(keys, buckets).cast("string")
         newest = latest_per_key(delta, keys, order_by, tie_breakers)
         spread = buckets * files_per_bucket
