@@ -30,9 +30,9 @@ from ledgermart.llm.common import free_name, utf8, written
 WINDOW = 20
 GRAM = 4
 #: Bytes of packed words: of a bucket on average, of what a task sends at once, and of what it resolves in memory.
-BUCKET_BYTES = 48 << 20
-SEND_BYTES = 24 << 20
-RESOLVE_BYTES = 96 << 20
+BUCKET_BYTES = 16 << 20
+SEND_BYTES = 16 << 20
+RESOLVE_BYTES = 48 << 20
 MAX_BUCKETS = 1 << 30
 #: Buckets are dealt over at most so many tasks, each of which takes its buckets one after another.
 MAX_TASKS = 20_000
@@ -145,9 +145,13 @@ def _windows(packed: bytes, window: int) -> Iterator[bytes]:
 
 
 def _resolve(bodies: list[tuple], window: int) -> Iterator[tuple[int, int, int, int]]:
-    """Spans of windows that also start earlier: (did, tie, first window, windows)."""
+    """Spans of windows that also start earlier: (did, tie, first window, windows). Empties ``bodies``."""
     keys, dids, ties, starts = (np.concatenate([b[i] for b in bodies]) for i in range(4))
-    packed = [p for b in bodies for p in b[4].split(b"\n")]
+    packed: list[bytes] = []
+    for body in bodies:
+        packed += body[4].split(b"\n")
+    del body
+    bodies.clear()
     order = np.lexsort((starts, ties, dids, keys))
     sorted_keys = keys[order]
     edges = np.concatenate(([0], np.flatnonzero(sorted_keys[1:] != sorted_keys[:-1]) + 1, [len(order)]))
@@ -211,7 +215,6 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, reso
                     yield _spans(rows)
                     rows = []
             yield _spans(rows)
-            held.clear()
 
         def open_held() -> Iterator[pa.RecordBatch]:
             for keys, dids, ties, starts, text, _ in held:
