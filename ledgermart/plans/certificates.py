@@ -35,34 +35,35 @@ PROPERTY_COLUMNS = {
 
 # The measures each energy fact keeps besides its keys.
 FACT_COLUMNS = {
-    "display": """
-        current_operational_rating yr1_operational_rating yr2_operational_rating aircon_kw_rating
-        estimated_aircon_kw_rating electric_co2 yr1_electricity_co2 yr2_electricity_co2 heating_co2
-        yr1_heating_co2 yr2_heating_co2 renewables_co2 yr1_renewables_co2 yr2_renewables_co2
-        renewables_electrical renewables_fuel_thermal annual_thermal_fuel_usage
-        annual_electrical_fuel_usage typical_thermal_fuel_usage typical_electrical_fuel_usage
-        special_energy_uses operational_rating_band main_benchmark total_floor_area lodgement_date
-        nominated_date or_assessment_end_date inspection_date
-    """,
-    "domestic": """
-        current_energy_rating potential_energy_rating current_energy_efficiency
-        potential_energy_efficiency environmental_impact_current environmental_impact_potential
-        energy_consumption_current energy_consumption_potential co2_emissions_current
-        co2_emiss_curr_per_floor_area co2_emissions_potential total_floor_area lighting_cost_current
-        lighting_cost_potential heating_cost_current heating_cost_potential hot_water_cost_current
-        hot_water_cost_potential energy_tariff mains_gas_flag floor_level flat_top_storey
-        flat_storey_count main_heating_controls multi_glaze_proportion glazed_type glazed_area
-        extension_count number_habitable_rooms number_heated_rooms low_energy_lighting
-        number_open_fireplaces main_fuel wind_turbine_count solar_water_heating_flag photo_supply
-        mechanical_ventilation transaction_type tenure report_type inspection_date lodgement_date
-    """,
-    "non_domestic": """
-        asset_rating asset_rating_band property_type main_heating_fuel other_fuel_desc floor_area
-        standard_emissions target_emissions typical_emissions building_emissions aircon_present
-        aircon_kw_rating estimated_aircon_kw_rating building_environment existing_stock_benchmark
-        new_build_benchmark transaction_type inspection_date lodgement_date primary_energy_value
-        report_type
-    """,
+    "display": (
+        "current_operational_rating", "yr1_operational_rating", "yr2_operational_rating", "aircon_kw_rating",
+        "estimated_aircon_kw_rating", "electric_co2", "yr1_electricity_co2", "yr2_electricity_co2",
+        "heating_co2", "yr1_heating_co2", "yr2_heating_co2", "renewables_co2", "yr1_renewables_co2",
+        "yr2_renewables_co2", "renewables_electrical", "renewables_fuel_thermal", "annual_thermal_fuel_usage",
+        "annual_electrical_fuel_usage", "typical_thermal_fuel_usage", "typical_electrical_fuel_usage",
+        "special_energy_uses", "operational_rating_band", "main_benchmark", "total_floor_area",
+        "lodgement_date", "nominated_date", "or_assessment_end_date", "inspection_date",
+    ),
+    "domestic": (
+        "current_energy_rating", "potential_energy_rating", "current_energy_efficiency",
+        "potential_energy_efficiency", "environmental_impact_current", "environmental_impact_potential",
+        "energy_consumption_current", "energy_consumption_potential", "co2_emissions_current",
+        "co2_emiss_curr_per_floor_area", "co2_emissions_potential", "total_floor_area", "lighting_cost_current",
+        "lighting_cost_potential", "heating_cost_current", "heating_cost_potential", "hot_water_cost_current",
+        "hot_water_cost_potential", "energy_tariff", "mains_gas_flag", "floor_level", "flat_top_storey",
+        "flat_storey_count", "main_heating_controls", "multi_glaze_proportion", "glazed_type", "glazed_area",
+        "extension_count", "number_habitable_rooms", "number_heated_rooms", "low_energy_lighting",
+        "number_open_fireplaces", "main_fuel", "wind_turbine_count", "solar_water_heating_flag", "photo_supply",
+        "mechanical_ventilation", "transaction_type", "tenure", "report_type", "inspection_date",
+        "lodgement_date",
+    ),
+    "non_domestic": (
+        "asset_rating", "asset_rating_band", "property_type", "main_heating_fuel", "other_fuel_desc",
+        "floor_area", "standard_emissions", "target_emissions", "typical_emissions", "building_emissions",
+        "aircon_present", "aircon_kw_rating", "estimated_aircon_kw_rating", "building_environment",
+        "existing_stock_benchmark", "new_build_benchmark", "transaction_type", "inspection_date",
+        "lodgement_date", "primary_energy_value", "report_type",
+    ),
 }
 
 # Accepted bands and categories.
@@ -91,6 +92,7 @@ def _cost_range(level: str) -> kpi.Metric:
     )
 
 
+# The names and formulas of the KPIs.
 METRICS: dict[str, list[kpi.Metric]] = {
     "kpi_disp_rating": [
         kpi.mean(
@@ -198,7 +200,7 @@ def property_delta_input(staged: Sequence[DataFrame]) -> DataFrame:
 def fact_energy(staged: DataFrame, domain: str) -> DataFrame:
     """Narrow energy fact: keys, batch and measures."""
     key = identity_key("uprn", IDENTITY_COLUMNS, IDENTITY_RAW_COLUMNS).alias(PROPERTY_KEY)
-    return staged.select(key, KEY, BATCH, *FACT_COLUMNS[domain].split())
+    return staged.select(key, KEY, BATCH, *FACT_COLUMNS[domain])
 
 
 def fact_recommendations(staged: DataFrame) -> DataFrame:
@@ -227,6 +229,7 @@ def _layer(name) -> list[quality.Check]:
     return checks
 
 
+# What each layer is checked for.
 RAW_CHECKS: list[quality.Check] = [
     *quality.not_null(LEDGER, "audit_id", "filepath", "status", "audit_ts"),
     quality.unique(LEDGER, "audit_id"),

@@ -70,7 +70,7 @@ _PROPERTY = ["address1", "address2", "address3", "postcode", *_STATE, "building_
 def _fact_sql(domain: str, kind: str) -> str:
     if kind == "recommendations":
         return _staged_sql(domain, kind)
-    columns = ", ".join(spec.FACT_COLUMNS[domain].split())
+    columns = ", ".join(spec.FACT_COLUMNS[domain])
     return f"select {_KEY_SQL} as property_identity_key, lmk_key, audit_ts, {columns} from ({_staged_sql(domain, kind)})"
 
 
