@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgermart.llm import decontaminate, fingerprint, packing, pii, secret_scan, sharding, simhash, substring_dedup, toxicity, url_filter
 from ledgermart.llm.common import read
