@@ -1,10 +1,12 @@
 """Secrets in texts: known shapes, and entropy for the unknown ones. DataFrame functions only.
 
 Base kinds are found by their patterns. Other long strings of token characters are
-candidates: a window slides over each, Shannon entropy is kept up by the counts of the
-character that enters and the one that leaves, and a candidate is a secret if any window
-reaches the bound of its character class. Names, checksums and placeholders on the
-allow-list aren't.
+candidates, and so is what base spans leave of them: a window slides over each, Shannon
+entropy is kept up by the counts of the character that enters and the one that leaves,
+and a candidate is a secret if any window reaches the bound of the candidate's character
+class, or, within a run of digits or hex digits, the bound of these. So a name joined to
+a key by one of the candidate's characters doesn't hide it. Names, checksums and
+placeholders on the allow-list aren't secrets.
 """
 
 from __future__ import annotations
@@ -32,6 +34,9 @@ WINDOW = 20
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: Character classes, tried in this order, and the entropy in bits a character that a window must reach.
 CLASSES = [("^[0-9]+$", 3.05), ("^(?:[0-9a-f]+|[0-9A-F]+)$", 3.05), ("^[A-Za-z]+$", 4.0), ("^", 3.8)]
+#: Runs within a candidate whose windows have the bound of digits and hex digits, whatever stands beside them.
+RUNS = (f"[0-9a-f]{{{WINDOW},}}", f"[0-9A-F]{{{WINDOW},}}")
+RUN_BITS = 3.05
 #: Entropies are compared as whole numbers: c * log2(c) in units of 2^-20 bits.
 UNIT = 1 << 20
 TERMS = [0, *[round(c * log2(c) * UNIT) for c in range(1, WINDOW + 1)], 0]
@@ -42,12 +47,19 @@ ALLOWED = (
     r"|example|placeholder|changeme|your[-_]?(?:key|token|secret)|xxxx|abcdefgh|01234567|12345678|qwerty"
     r"|^[A-Za-z]+(?:[-_/][A-Za-z]+)+$"
 )
-ALLOWED_AFTER = r"(?i)(?:sha-?(?:1|224|256|384|512)|md5|checksum|digest|integrity|commit|revision|etag|fingerprint)[\s\"'=:(-]*$|[a-z]://$|data:[a-z/+-]+;base64,$"
+CHECKSUMS = "sha-?(?:1|224|256|384|512)|md5|checksum|digest|integrity|commit|revision|etag|fingerprint"
+ALLOWED_AFTER = rf"(?i)(?:{CHECKSUMS})[\s\"'=:(-]*$|[a-z]://$|data:[a-z/+-]+;base64,$"
+#: A checksum with its name in the same candidate.
+NAMED_CHECKSUM = f"(?i)((?:{CHECKSUMS})[=/_-]+)[0-9a-f]+"
 
 
 def least_sum(value: Column) -> Column:
     """The least sum of c * log2(c) over the characters' counts c in any window: that of the window of most entropy."""
-    chars = F.split(value, "")
+    once = F.array(F.split(value, ""))  # bound to a variable below: a long value isn't split anew at every step
+    return F.element_at(F.transform(once, _least_sum), 1)
+
+
+def _least_sum(chars: Column) -> Column:
     place = lambda i: F.instr(F.lit(ALPHABET), F.element_at(chars, i))
     term = lambda c: F.element_at(F.lit(TERMS), c + 1)
     start = F.struct(
@@ -67,23 +79,53 @@ def least_sum(value: Column) -> Column:
         least = F.when(i >= WINDOW, F.least(a["least"], total)).otherwise(a["least"])
         return F.struct(counts.alias("counts"), total.cast("long").alias("sum"), least.cast("long").alias("least"))
 
-    return F.aggregate(F.sequence(F.lit(1), F.char_length(value)), start, step, lambda a: a["least"])
+    return F.aggregate(F.sequence(F.lit(1), F.size(chars)), start, step, lambda a: a["least"])
+
+
+def _allowed_sum(bits: float) -> Column:
+    return F.lit(round((WINDOW * log2(WINDOW) - WINDOW * bits) * UNIT))
 
 
 def most_allowed_sum(value: Column) -> Column:
-    """The sum of terms at or below which a window has its class's entropy."""
+    """The sum of terms at or below which a window has the entropy of the whole value's class."""
     out: Column | None = None
     for pattern, bits in reversed(CLASSES):
-        bound = F.lit(round((WINDOW * log2(WINDOW) - WINDOW * bits) * UNIT))
+        bound = _allowed_sum(bits)
         out = bound if out is None else F.when(value.rlike(pattern), bound).otherwise(out)
     return out
 
 
+def is_random(value: Column) -> Column:
+    """Whether a window reaches the bound of the value's class, or one within a run, named checksums apart, that of RUNS."""
+    rest = F.regexp_replace(value, NAMED_CHECKSUM, "$1")
+    runs = F.concat(*[F.regexp_extract_all(rest, F.lit(r), F.lit(0)) for r in RUNS])
+    return (least_sum(value) <= most_allowed_sum(value)) | F.exists(runs, lambda r: least_sum(r) <= _allowed_sum(RUN_BITS))
+
+
+def _parts(s: Column, taken: Column) -> Column:
+    """What the ``taken`` spans, sorted by start, leave of a candidate, in pieces of WINDOW characters or more."""
+    own = lambda a, b, ahead: F.struct(
+        a.alias("start"), b.alias("end"), F.substring(s["value"], a - s["start"] + 1, b - a).alias("value"), ahead.alias("ahead"), F.lit(True).alias("cut")
+    )
+    whole = F.struct(s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), s["ahead"].alias("ahead"), F.lit(False).alias("cut"))
+    touching = F.filter(taken, lambda x: (x["start"] < s["end"]) & (s["start"] < x["end"]))
+    end = F.struct(s["end"].alias("start"), s["end"].alias("end"))
+
+    def step(a: Column, x: Column) -> Column:
+        ahead = F.when(a["at"] == s["start"], s["ahead"]).otherwise("")
+        kept = F.when(x["start"] - a["at"] >= WINDOW, F.concat(a["kept"], F.array(own(a["at"], x["start"], ahead)))).otherwise(a["kept"])
+        return F.struct(F.greatest(a["at"], x["end"]).alias("at"), kept.alias("kept"))
+
+    start = F.struct(s["start"].alias("at"), F.filter(F.array(whole), lambda _: F.lit(False)).alias("kept"))
+    cut = F.aggregate(F.concat(touching, F.array(end)), start, step, lambda a: a["kept"])
+    return F.when(F.exists(taken, lambda x: (x["start"] < s["end"]) & (s["start"] < x["end"])), cut).otherwise(F.array(whole))
+
+
 def with_secrets(docs: DataFrame, name: str, text: str = "text") -> DataFrame:
     """``docs`` with an array column of all spans: struct<start, rank, end, kind>, by start, then by kind as in KINDS.
 
     Base spans are all there, also where they overlap across kinds. An entropy span is a
-    whole candidate that no base span touches. Null texts are empty and have none.
+    whole candidate, or where base spans touch it, a part that they leave of it.
     """
     own = free_name(docs, "scanned")
     whole = docs.withColumn(own, F.coalesce(F.col(text), F.lit("")))
@@ -91,16 +133,16 @@ def with_secrets(docs: DataFrame, name: str, text: str = "text") -> DataFrame:
     whole = with_matches(whole, own, {names[k]: p for k, p in PATTERNS.items()})
     assigned = F.filter(names["assign"], lambda s: F.char_length(F.regexp_extract(s["value"], ASSIGN, 1)) >= ASSIGNED)
     whole = whole.withColumn(names["assign"], assigned)
-    base = names["assign"], names["access"], names["hex"]
+    bare = lambda k: F.transform(names[k], lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+    taken = free_name(docs, "taken")
+    whole = whole.withColumn(taken, F.array_sort(F.concat(*[bare(k) for k in BASE_KINDS])))
+    parts = F.flatten(F.transform(names["entropy"], lambda s: _parts(s, F.col(taken))))
 
     def secret(s: Column) -> Column:
-        apart = F.lit(True)
-        for b in base:
-            apart &= ~F.exists(b, lambda x: (x["start"] < s["end"]) & (s["start"] < x["end"]))
-        random = least_sum(s["value"]) <= most_allowed_sum(s["value"])
-        return apart & ~s["value"].rlike(ALLOWED) & random & ~s["ahead"].rlike(ALLOWED_AFTER)
+        named = F.when(s["cut"], F.btrim(s["value"], F.lit("+/_=-"))).otherwise(s["value"])
+        return ~named.rlike(ALLOWED) & ~s["ahead"].rlike(ALLOWED_AFTER) & is_random(s["value"])
 
-    whole = whole.withColumn(names["entropy"], F.filter(names["entropy"], secret))
+    whole = whole.withColumn(names["entropy"], F.filter(parts, secret))
     whole = whole.withColumn(name, listed({k: F.col(names[k]) for k in KINDS}))
     return whole.select(*[docs[c] for c in docs.columns], name)
 
