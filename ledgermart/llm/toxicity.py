@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ledgermart.llm.common import free_name, written
 
-#: At most so many labelled rows, first by the hash of doc_id, train the model.
+#: At most so many labelled documents, one row of each, first by the hash of doc_id, train the model.
 TRAIN_ROWS = 10_000
 #: At most so many grams, those that tell toxic rows most clearly.
 VOCABULARY = 500
@@ -161,16 +161,19 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, labels: DataFrame, grade: str = "grade", doc_id: str = "doc_id", text: str = "text", train_rows: int = TRAIN_ROWS, vocabulary: int = VOCABULARY, refine: bool = True) -> Model:
     """A model from ``labels`` (doc_id, grade from 0 on; of several the worst) of rows in ``docs``.
 
-    Labels without doc_id, grade or document are left out. Where no grade is above 1,
+    Labels without doc_id, grade or document are left out before ``train_rows`` are
+    chosen; of several rows with a labelled doc_id the first by text counts. Where no grade is above 1,
     ``refine`` makes grade 2 of the toxic rows whose telling grams are denser than the
     median's. Without toxic labels, or telling grams, the model knows no word. The
     driver gets ``vocabulary`` grams and how often ``train_rows`` rows have them.
     """
     known = labels.select(F.col(doc_id).cast("long").alias("id"), F.col(grade).cast("int").alias("grade")).dropna()
     known = known.groupBy("id").agg(F.max("grade").alias("grade"))
-    chosen = known.orderBy(F.xxhash64("id"), "id").limit(train_rows)  # bounded, so it may be broadcast
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    sample = written(texts.join(F.broadcast(chosen), "id").select("id", "grade", "text"), "labelled")
+    there = known.join(texts.select("id").distinct(), "id")
+    chosen = there.orderBy(F.xxhash64("id"), "id").limit(train_rows)  # bounded, so it may be broadcast
+    one_each = texts.join(F.broadcast(chosen), "id").groupBy("id", "grade").agg(F.min("text").alias("text"))
+    sample = written(one_each, "labelled")
     total = sample.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum((F.col("grade") > 0).cast("int")), F.lit(0)).alias("toxic")).first()
     if not total["toxic"]:
         return Model({}, [], [])

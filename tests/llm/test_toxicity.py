@@ -74,3 +74,19 @@ def test_no_labels_no_toxic_ones_no_documents(spark):
         model = toxicity.train(docs, labels)
         assert toxicity.drop_toxic(docs, model).count() == docs.count()
     assert toxicity.judge(texts(spark, []), toxicity.train(texts(spark, []), none)).count() == 0
+
+
+def test_labels_without_documents_take_no_places(spark):
+    rows, grades = corpus(200, 2)
+    labels = [(i, g) for i, g in grades] + [(i, 0) for i in range(1000, 9000)]
+    model = toxicity.train(texts(spark, rows), spark.createDataFrame(labels, "doc_id long, grade int"), train_rows=200)
+    alone = toxicity.train(texts(spark, rows), spark.createDataFrame(grades, "doc_id long, grade int"), train_rows=200)
+    assert model.vocabulary and (model.vocabulary, model.weights, model.thresholds) == (alone.vocabulary, alone.weights, alone.thresholds)
+
+
+def test_repeated_documents_stay_within_the_bound(spark):
+    rows, grades = corpus(60, 5)
+    labels = spark.createDataFrame(grades, "doc_id long, grade int")
+    once = toxicity.train(texts(spark, rows), labels, train_rows=60)
+    often = toxicity.train(texts(spark, [*rows, *[rows[0]] * 500, (rows[0][0], None)]), labels, train_rows=60)
+    assert (often.vocabulary, often.weights, often.thresholds) == (once.vocabulary, once.weights, once.thresholds)
