@@ -37,7 +37,7 @@ def words_of(text: str | None) -> list[bytes]:
 class Automaton:
     """The suffix automaton of several word sequences, with the items that hold each window."""
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], window: int = WINDOW):
         self.window = window
         self.ids: dict[bytes, int] = {}
         self.next: list[dict[int, int]] = [{}]
@@ -47,8 +47,8 @@ class Automaton:
             last = 0
             for c in seq:
                 last = self._extend(last, c)
-        self.items: dict[int, set[str]] = {}  # by the state that holds a window as its shortest matches
-        self.short: dict[int, list[tuple[int, str]]] = {}  # by state: whole items below the window's length
+        self.items: dict[int, set[str | None]] = {}  # by the state that holds a window as its shortest matches
+        self.short: dict[int, list[tuple[int, str | None]]] = {}  # by state: whole items below the window's length
         self.least = window
         self.over = self._window_states()
         for item, seq in coded:
@@ -115,10 +115,10 @@ class Automaton:
             marked[s] = s if s in self.short else marked[self.link[s]]
         return marked
 
-    def scan(self, words: list[bytes]) -> tuple[np.ndarray, set[str], int]:
+    def scan(self, words: list[bytes]) -> tuple[np.ndarray, set[str | None], int]:
         """Hit words as a mask, the items found, and the length of the longest match (0 if no run is long enough to matter)."""
         hit = np.zeros(len(words) + 1, dtype=np.int32)  # +1 where hits begin, -1 after they end
-        found: set[str] = set()
+        found: set[str | None] = set()
         longest = 0
         if len(words) < self.least:
             return hit[:-1] > 0, found, longest
@@ -152,7 +152,7 @@ class Automaton:
         return np.cumsum(hit)[:-1] > 0, found, longest
 
 
-def item_blocks(items: DataFrame, item_id: str = "item_id", text: str = "text", block_words: int = BLOCK_WORDS) -> Iterator[list[tuple[str, list[bytes]]]]:
+def item_blocks(items: DataFrame, item_id: str = "item_id", text: str = "text", block_words: int = BLOCK_WORDS) -> Iterator[list[tuple[str | None, list[bytes]]]]:
     """Items as (id, words) in blocks within ``block_words``; the driver holds one block and one partition at a time."""
     block, size = [], 0
     for row in items.select(F.col(item_id).cast("string").alias("i"), F.col(text).alias("t")).toLocalIterator():
@@ -160,7 +160,7 @@ def item_blocks(items: DataFrame, item_id: str = "item_id", text: str = "text",
         if block and size + len(words) > block_words:
             yield block
             block, size = [], 0
-        if words and row["i"] is not None:
+        if words:
             block.append((row["i"], words))
             size += len(words)
     if block:
@@ -180,7 +180,7 @@ def _pass(automaton, cut: bool):
                 hit[a:b] = True
             edges = np.flatnonzero(np.diff(np.concatenate(([False], hit, [False])).astype(np.int8))).astype(np.int32)
             left = _without(text, edges) if cut and len(edges) else None
-            rows.append((len(words), edges[::2], edges[1::2], sorted({*items, *own}), max(far, longest), left))
+            rows.append((len(words), edges[::2], edges[1::2], sorted({*items, *own}, key=lambda i: (i is None, i)), max(far, longest), left))
         return pd.DataFrame(rows, columns=["n_words", "starts", "ends", "items", "longest", "left"])
 
     return F.pandas_udf(found, "n_words int, starts array<int>, ends array<int>, items array<string>, longest int, left string")
@@ -202,8 +202,8 @@ def with_hits(docs: DataFrame, items: DataFrame, name: str, text: str = "text",
     """``docs`` with a struct column: n_words, starts and ends of hit spans (in words), items, longest match, left.
 
     ``left`` is the text without its hit spans where it has any and ``cut`` is set.
-    Null and empty texts have no words. Items without words or id match nothing;
-    repeated items count once by id. Each block of items is one pass over the texts.
+    Null and empty texts have no words. Items without words match nothing; repeated
+    items count once by id, and those without id as one, whose id is null. Each block of items is one pass over the texts.
     """
     none = F.array().cast("array<int>")
     start = F.struct(none.alias("starts"), none.alias("ends"), F.array().cast("array<string>").alias("items"), F.lit(0).alias("longest"))
@@ -236,7 +236,8 @@ def judge(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
     """One row per input row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, longest_match.
 
     Settings as for ``with_hits``. A document without words has zeros and isn't
-    contaminated; without items nothing is. Repeated rows stay. Other columns of
+    contaminated; without items nothing is. An item without id is in n_items, and its id
+    left out of items_sha256. Repeated rows stay. Other columns of
     ``docs``, whatever their names, aren't read.
     """
     kept = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))

@@ -6,6 +6,7 @@ import pytest
 from helpers import clashing, collected, frame, texts
 
 from ledgermart.llm import decontaminate
+from ledgermart.llm.queries import ORACLES
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -91,3 +92,22 @@ def test_no_items_and_no_documents(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert collected(decontaminate.judge(texts(spark, [(1, "a b")]), none), "n_hit", "contaminated") == [(0, False)]
     assert decontaminate.judge(texts(spark, []), none).count() == 0
+
+
+@pytest.mark.parametrize("block_words", [15, 200_000])
+def test_items_without_id_are_hits_as_in_the_query(spark, block_words):
+    duck = pytest.importorskip("duckdb").connect()
+    passage = lambda p, n: " ".join(f"{p}{i}" for i in range(n))
+    items = [(None, passage("a", 14)), (None, passage("b", 13)), (7, passage("c", 15)), (None, "d0 d1"), (None, "!")]
+    docs = [(1, passage("a", 14)), (2, f"x {passage('c', 15)} {passage('b', 13)} d0 d1"), (3, passage("c", 15)), (4, "d0 d2"), (5, None)]
+    docs.append((6, f"{passage('clean', 400)} {passage('b', 13)}"))
+    for table, names, rows in (("documents", "doc_id bigint, text varchar", docs), ("benchmark", "item_id bigint, text varchar", items)):
+        duck.execute(f"create table {table} ({names})")
+        duck.executemany(f"insert into {table} values (?, ?)", rows)
+    want = duck.execute(f"select doc_id, {', '.join(COLUMNS)} from ({ORACLES['op10_decontamination']})").fetchall()
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.judge(texts(spark, docs), benchmark, block_words=block_words)
+    assert sorted(collected(found, "doc_id", *COLUMNS)) == sorted(want)
+    assert [r[2:4] for r in sorted(want)] == [(14, 1), (30, 2), (15, 1), (0, 0), (0, 0), (13, 1)]
+    kept = dict(collected(decontaminate.decontaminate(texts(spark, docs), benchmark, block_words=block_words), "doc_id", "text"))
+    assert kept == {4: "d0 d2", 5: None, 6: passage("clean", 400) + " "}
