@@ -7,13 +7,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from landed import first_month, second_month
 from ledgermart.operators import bi, ledger as lg
 from ledgermart.operators.calendar import calendar, calendar_for, date_drill, join_calendar
 from ledgermart.operators.keys import latest_per_key
 from ledgermart.plans.pipeline import CertificateMart
 from ledgermart.plans.schemas import FILE_COLUMNS, file_schema
 from ledgermart.streaming.files import stream_load, stream_table
-from test_pipeline import first_month, second_month
 
 
 def test_calendar(spark):
