@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermart.llm import decontaminate, fingerprint, packing, pii, secret_scan, sharding, simhash, substring_dedup, toxicity, url_filter
+from ledgermart.llm import (
+    decontaminate, divergence, fingerprint, packing, pii, secret_scan, sharding, simhash, substring_dedup, toxicity, url_filter,
+)
 from ledgermart.llm.common import read
 from ledgermart.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -206,3 +208,52 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_superkmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated windows of 20 words, removed from every document."""
     return substring_dedup.measure(read(spark, sf_dir, "documents"))
+
+
+@query(
+    "op13_source_divergence",
+    r"""
+    with docs as (
+        select coalesce(lang, '') as lang, coalesce(source, '') as source, row_number() over () as row_no,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as words
+        from documents
+    ), places as (
+        select lang, source, row_no, unnest(words) as term from docs
+    ), kept as (
+        select lang, term from (select distinct lang, row_no, term from places) group by all having count(*) >= 10
+    ), found as (
+        select lang, source, term, count(*) as n from places join kept using (lang, term) group by all
+    ), groups as (
+        select distinct lang, source from docs
+    ), cells as (
+        select lang, source, term, coalesce(n, 0) as n
+        from groups join kept using (lang) left join found using (lang, source, term)
+    ), likely as (
+        select *, 1 + (1000000000::hugeint * (n + 2)) // (sum(n) over g + 2 * count(*) over g) as p
+        from cells window g as (partition by lang, source)
+    ), whole as (
+        select *, 1 + (1000000000::hugeint * (n + 2)) // (sum(n) over g + 2 * count(*) over g) as q
+        from (select lang, term, sum(n) as n from cells group by all) window g as (partition by lang)
+    ), summed as (
+        select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as value
+        from likely a join likely b on a.lang = b.lang and a.term = b.term and a.source <> b.source
+        group by all
+    ), parts as (
+        select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0) as value
+        from groups a join groups b on a.lang = b.lang and a.source <> b.source
+        left join summed s on s.lang = a.lang and s.source = a.source and s.item = b.source
+        union all
+        select l.lang, l.source, 'term', l.term, (p - q) * (p - q) // (p + q)
+        from likely l join whole w on l.lang = w.lang and l.term = w.term
+        where l.n > 0 and p > q
+    )
+    select lang, source, part, item, value::bigint as value,
+           row_number() over (partition by lang, source, part order by value desc, item)::int as rank
+    from parts
+    qualify part = 'pair' or rank <= 10
+    """,
+)
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of a language lie apart, and by which terms."""
+    return divergence.audit(read(spark, sf_dir, "documents"))
