@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgermart.llm import (
-    decontaminate, divergence, fingerprint, packing, pii, secret_scan, sharding, simhash, substring_dedup, toxicity, url_filter,
+    conversation_trie, decontaminate, divergence, fingerprint, packing, pii, secret_scan, sharding, simhash, substring_dedup, toxicity, url_filter,
 )
 from ledgermart.llm.common import read
 from ledgermart.llm.registry import ORACLES, QUERIES, query  # noqa: F401
@@ -257,3 +257,47 @@ def op6_superkmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How far the sources of a language lie apart, and by which terms."""
     return divergence.audit(read(spark, sf_dir, "documents"))
+
+
+@query(
+    "op12_conversation_trie",
+    """
+    with own as (
+        select conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} order by turn nulls first) as turns
+        from conversations where conv_id is not null group by conv_id
+    ), placed as (
+        select conv_id, turns, conv_id - conv_id % 5 as base, xor(list_reduce(
+                   list_prepend(4294967295::bigint, list_transform(string_split(conv_id::varchar, ''), lambda c: ascii(c)::bigint)),
+                   lambda crc, c: list_reduce(list_prepend(xor(crc, c), range(8)), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))),
+                   4294967295) % 9 as h
+        from own
+    ), rebuilt as (
+        select p.conv_id, list_concat(coalesce(b.turns[1:h], []), p.turns[h + 1:]) as turns
+        from placed p left join own b on b.conv_id = p.base
+    ), prefixes as (
+        select conv_id, len(turns) as size, d, turns[1:d] as path from (select *, unnest(range(0, len(turns) + 1)) as d from rebuilt)
+    ), nodes as (
+        select d, path, min(conv_id) as conv_id, count(*) as n_convs,
+               sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (size = d), '')) as ends_sha256
+        from prefixes group by d, path
+    ), edges as (
+        select c.d, c.path, p.conv_id as parent_conv_id from nodes c join nodes p on c.d = p.d + 1 and c.path[1:p.d] = p.path
+    ), kids as (
+        select d - 1 as d, path[1:d - 1] as path, count(*) as n_children from nodes where d > 0 group by all
+    ), known as (
+        select n.*, parent_conv_id, coalesce(n_children, 0) as n_children
+        from nodes n left join edges using (d, path) left join kids using (d, path)
+    ), below as (
+        select a.d, a.path, count(*) filter (b.n_children = 0) as n_leaves,
+               sum((b.n_convs - 1) * case when b.d = 0 then 0 else strlen(b.path[-1].t) end) as saved_tokens
+        from known a join known b on b.d >= a.d and b.path[1:a.d] = a.path
+        group by all
+    )
+    select conv_id, d as depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens::bigint as saved_tokens, ends_sha256
+    from known join below using (d, path)
+    """,
+)
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of the conversations, rebuilt as branches."""
+    turns = read(spark, sf_dir, "conversations")
+    return conversation_trie.trie(conversation_trie.branched(conversation_trie.paths_of(turns)))
