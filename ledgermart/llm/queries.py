@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgermart.llm import (
     conversation_trie, decontaminate, divergence, fingerprint, packing, pii, secret_scan, sharding, simhash, substring_dedup, toxicity, url_filter,
+    warc,
 )
 from ledgermart.llm.common import read
 from ledgermart.llm.registry import ORACLES, QUERIES, query  # noqa: F401
@@ -301,3 +302,24 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The prefix trie of the conversations, rebuilt as branches."""
     turns = read(spark, sf_dir, "conversations")
     return conversation_trie.trie(conversation_trie.branched(conversation_trie.paths_of(turns)))
+
+
+@query(
+    "op11_warc_transactions",
+    """
+    with digits as (
+        select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as hex from pages
+    ), firsts as (
+        select html, min(page_id) as first from digits group by html
+    )
+    select page_id, strlen(html)::bigint as payload_bytes,
+           array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               1 + ((('0x' || substr(hex, 1 + 10 * (k // 8), 10))::bigint >> (35 - 5 * (k % 8))) & 31), 1)), '') as payload_digest,
+           case when page_id = first then 'response' else 'revisit' end as record_type,
+           case when page_id <> first then first end as refers_to
+    from digits join firsts using (html)
+    """,
+)
+def op11_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's capture, written to archives and put together again."""
+    return warc.round_trip(read(spark, sf_dir, "pages"))
