@@ -20,11 +20,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgermart.llm.common import utf8, written
+from ledgermart.operators.sizing import broadcast_if_small
 
 MIN_DOCS = 10
 TOP_TERMS = 10
@@ -34,8 +36,9 @@ STRIP_TERMS = 4096
 BAND_GROUPS = 128
 #: Rows and columns of a leaf.
 LEAF = 16
-#: Cells that a map task counts before it sends them on.
+#: Cells, and documents, that a map task counts before it sends them on.
 HELD_CELLS = 500_000
+HELD_DOCS = 1 << 20
 
 #: Letters in lower case, bytes above ASCII as they are, all else a blank.
 _LETTERS = bytes(b | 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b > 127 else 32 for b in range(256))
@@ -46,36 +49,38 @@ def terms(text: str | None) -> list[bytes]:
     return utf8(text).translate(_LETTERS).split(b" ")
 
 
+#: A cell's documents are counted in steps of this, above its occurrences.
+_ONE_DOC = 1 << 40
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, source, term, n, docs) of the texts seen, summed as far as they fit; term null: the group itself."""
-    counts: dict[tuple[str, str], tuple[Counter, Counter]] = {}
-    held = 0
+    counts: dict[tuple[str, str], dict[bytes, int]] = {}
+    held = held_docs = 0
 
     def flush() -> Iterator[pa.RecordBatch]:
-        for (lang, source), (n, docs) in counts.items():
-            found = [None, *(t.decode("utf-8") for t in n)]
-            columns = [[lang] * len(found), [source] * len(found), found, [0, *n.values()], [0, *(docs[t] for t in n)]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _CELL_TYPES)], names=["lang", "source", "term", "n", "docs"])
+        for (lang, source), cells in counts.items():
+            both = np.array([0, *cells.values()], dtype=np.int64)
+            names = pa.array([None, *cells], pa.binary()).cast(pa.string())
+            own = [pa.repeat(pa.scalar(x, pa.string()), len(names)) for x in (lang, source)]
+            yield pa.RecordBatch.from_arrays([*own, names, pa.array(both % _ONE_DOC), pa.array(both // _ONE_DOC)], names=["lang", "source", "term", "n", "docs"])
         counts.clear()
 
     for batch in batches:
         for lang, source, text in zip(*(batch.column(i) for i in range(3))):
-            n, docs = counts.setdefault((lang.as_py(), source.as_py()), (Counter(), Counter()))
+            cells = counts.setdefault((lang.as_py(), source.as_py()), {})
             own = Counter(terms(text.as_py()))
             own.pop(b"", None)
-            held -= len(n)
-            n.update(own)
-            docs.update(own.keys())
-            held += len(n)
-            if held > HELD_CELLS:
+            held -= len(cells)
+            for term, n in own.items():
+                cells[term] = cells.get(term, 0) + n + _ONE_DOC
+            held, held_docs = held + len(cells), held_docs + 1
+            if held > HELD_CELLS or held_docs == HELD_DOCS:
                 yield from flush()
-                held = 0
+                held = held_docs = 0
     yield from flush()
 
 
-_CELL_TYPES = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64())
-
-
 def probability(n: Column, total: Column, kept: Column) -> Column:
     """In units of 1 / SCALE, exact."""
     up = (n.cast("decimal(20,0)") + F.lit(2).cast("decimal(20,0)")) * F.lit(SCALE).cast("decimal(10,0)")
@@ -148,17 +153,24 @@ def _joint(a: _Band, b: _Band, levels: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _unit(key: tuple, cells: pa.Table) -> pa.Table:
-    """Partial sums of a strip and two bands; rows without a term name the bands' groups."""
+    """Partial sums of a strip and two bands; rows without a term name the bands' groups.
+
+    Columns are numbered by falling count in the language, which brings the zero cells together.
+    """
     band_a, band_b = key[2].as_py(), key[3].as_py()
-    band, group, term, p = (cells.column(n).to_numpy() for n in ("band", "group", "term_no", "p"))
-    widest = max(int(term.max(initial=0)) + 1, int((term < 0).sum()))
-    levels = (-(-widest // LEAF) - 1).bit_length()
+    cells = cells.append_column("falling", pc.negate(cells.column("lang_n")))
+    cells = cells.take(pc.sort_indices(cells, [("falling", "ascending"), ("term", "ascending")]))
+    band, group, p = (cells.column(n).to_numpy() for n in ("band", "group", "p"))
+    named = cells.column("term").combine_chunks()
+    column = named.dictionary_encode().indices.fill_null(-1).to_numpy()  # numbered as they first occur
 
     def made(which: int) -> _Band:
         own = band == which
-        head, cell = own & (term < 0), own & (term >= 0)
-        return _Band(group[head], p[head], group[cell], term[cell], p[cell], levels)
+        head, cell = own & (column < 0), own & (column >= 0)
+        return _Band(group[head], p[head], group[cell], column[cell].astype(np.int64), p[cell], levels)
 
+    widest = max(int(column.max(initial=0)) + 1, int((column < 0).sum()))
+    levels = (-(-widest // LEAF) - 1).bit_length()
     a = made(band_a)
     b = a if band_a == band_b else made(band_b)
     sums, seen = _joint(a, b, levels)
@@ -192,30 +204,30 @@ def audit(
     empty = lambda c: F.coalesce(docs[c].cast("string"), F.lit(""))
     read = docs.select(empty(lang).alias("lang"), empty(source).alias("source"), empty(text).alias("text"))
     counted = read.mapInArrow(_count, "lang string, source string, term string, n long, docs long")
-    counted = written(counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "cells")
-
-    # kept terms with their place: a strip, and a number in it by falling count, which brings zero cells together
-    of_lang = counted.filter("term is not null").groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs"))
-    kept = of_lang.filter(F.col("docs") >= min_docs).drop("docs")
-    size = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"), F.sum("lang_n").alias("lang_total"))
-    strips = F.ceil(F.col("kept") / strip_terms).cast("long")
-    placed = kept.join(size, "lang").withColumn("strip", F.pmod(F.xxhash64("term"), strips))
-    number = F.row_number().over(Window.partitionBy("lang", "strip").orderBy(F.desc("lang_n"), "term")) - 1
-    placed = written(placed.withColumn("term_no", number.cast("long")).withColumn("strips", strips), "terms")
-
-    cells = counted.filter("term is not null").join(placed, ["lang", "term"])
-    totals = cells.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    groups = counted.filter("term is null").select("lang", "source").join(totals, ["lang", "source"], "left").join(size, "lang", "left")
-    groups = groups.fillna(0, ["total", "kept", "lang_total"])
-    order = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
-    groups = groups.withColumn("group", order.cast("long")).withColumn("band", F.floor(F.col("group") / band_groups).cast("long"))
+    # map tasks have summed; one shuffle brings the sources of a term together, for the sums below
+    cells = counted.repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    of_term = Window.partitionBy("lang", "term")
+    cells = cells.withColumns({
+        "lang_docs": F.sum("docs").over(of_term),
+        "lang_n": F.sum("n").over(of_term),
+        "first": F.row_number().over(of_term.orderBy("source")) == 1,
+    })
+    cells = cells.filter((F.col("lang_docs") >= min_docs) | F.col("term").isNull()).select("lang", "source", "term", "n", "lang_n", "first")
+    cells = written(cells, "cells")
+
+    named = F.col("term").isNotNull()
+    totals = cells.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count_if(named & F.col("first")).alias("kept_here"))
+    totals = written(totals, "totals")  # a row for each group
+    size = totals.groupBy("lang").agg(F.sum("kept_here").alias("kept"), F.sum("total").alias("lang_total"))
+    number = (F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1).cast("long")
+    groups = totals.drop("kept_here").join(size, "lang").withColumn("group", number)
     p0 = F.coalesce(probability(F.lit(0), F.col("total"), F.col("kept")), F.lit(0)).cast("long")  # 0: nothing is kept
-    groups = written(groups.withColumn("p0", p0), "groups")
+    groups = groups.withColumns({"band": F.floor(F.col("group") / band_groups).cast("long"), "strips": F.ceil(F.col("kept") / strip_terms).cast("long"), "p0": p0})
+    groups = written(groups, "groups")
 
-    by_group = groups.select("lang", "source", "group", "band", "total")
-    full = cells.join(by_group, ["lang", "source"]).withColumn("p", probability(F.col("n"), F.col("total"), F.col("kept")))
-    full = written(full.select("lang", "source", "group", "band", "term", "strip", "term_no", "n", "p", "lang_n", "lang_total", "kept"), "priced")
-    return _pairs(full, groups, placed).unionByName(_top_terms(full, top))
+    full = cells.filter(named).join(broadcast_if_small(groups), ["lang", "source"])
+    full = full.withColumn("p", probability(F.col("n"), F.col("total"), F.col("kept"))).withColumn("strip", F.pmod(F.xxhash64("term"), F.col("strips")))
+    return _pairs(full, groups).unionByName(_top_terms(full, top))
 
 
 def _top_terms(full: DataFrame, top: int) -> DataFrame:
@@ -226,19 +238,21 @@ def _top_terms(full: DataFrame, top: int) -> DataFrame:
     return ranked.select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), "value", "rank")
 
 
-def _pairs(full: DataFrame, groups: DataFrame, placed: DataFrame) -> DataFrame:
+def _pairs(full: DataFrame, groups: DataFrame) -> DataFrame:
     """A unit takes the cells of its two bands in its strip, and a row for each of their groups."""
-    bands = groups.groupBy("lang").agg((F.max("band") + 1).alias("bands"))
+    bands = broadcast_if_small(groups.groupBy("lang").agg((F.max("band") + 1).alias("bands")))  # a row for each language
     others = F.explode(F.sequence(F.lit(0).cast("long"), F.col("bands") - 1))
-    strips = placed.select("lang", "strip").distinct()
-    heads = groups.join(strips, "lang").select("lang", "strip", "band", "group", F.lit(-1).cast("long").alias("term_no"), F.col("p0").alias("p"))
+    strips = F.explode(F.when(F.col("strips") > 0, F.sequence(F.lit(0).cast("long"), F.col("strips") - 1)))
+    heads = groups.select("lang", strips.alias("strip"), "band", "group", F.col("p0").alias("p"))
+    heads = heads.withColumns({"term": F.lit(None).cast("string"), "lang_n": F.lit(0).cast("long")})
     dealt = (
-        full.select("lang", "strip", "band", "group", "term_no", "p")
+        full.select("lang", "strip", "band", "group", "term", "lang_n", "p")
         .unionByName(heads)
         .join(bands, "lang")
         .withColumn("other", others)
         .withColumn("band_a", F.least("band", "other"))
         .withColumn("band_b", F.greatest("band", "other"))
+        .drop("bands", "other")
     )
     parts = dealt.groupBy("lang", "strip", "band_a", "band_b").applyInArrow(_unit, "lang string, a long, b long, value long, seen long")
     summed = parts.groupBy("lang", "a", "b").agg(F.sum("value").alias("value"), F.sum("seen").alias("seen"))
