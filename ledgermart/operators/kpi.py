@@ -5,6 +5,10 @@ additive sums plus, where it counts distinct values, the set of distinct values.
 Both merge: the fact is scanned once, and batch, split and whole-history figures
 are rolled up from the partials. A mart that stores the partials by batch never
 rescans old facts to refresh the global figures.
+
+The set of distinct values has three forms. As values it is exact and as large as
+they are. As bitmaps over numbered values (``operators.bitmaps``) it is exact, and a merge
+is a bitwise or. As a sketch it is an estimate whose size doesn't depend on the values.
 """
 
 from __future__ import annotations
@@ -19,13 +23,17 @@ from ledgermart.functions.numbers import ratio, rounded, share_percent
 from ledgermart.operators.incremental import newer_than
 
 MEASURE, VALUE = "measure", "value"
+#: Columns of partials that hold bitmaps in place of values.
+BLOCK, BITS = "block", "bits"
 TOTAL_LABEL = "ALL"
 ONE = "1L"
+#: A sketch has 2^LG_K registers: about as many bytes, whatever it has seen.
+LG_K = 14
 
 
 @dataclass(frozen=True)
 class Metric:
-    """``sums`` and ``distinct`` are SQL texts; ``finish`` combines their totals."""
+    """``sums``, ``distinct`` and ``sketched`` are SQL texts; ``finish`` combines their totals, in this order."""
 
     name: str
     total: str | None
@@ -34,6 +42,7 @@ class Metric:
     distinct: tuple[str, ...] = ()
     digits: int | None = 2
     total_digits: int | None = 2
+    sketched: tuple[str, ...] = ()
 
 
 def mean(name: str, total: str | None, expr: str, digits: int | None = 2, total_digits: int | None = 2) -> Metric:
@@ -74,25 +83,50 @@ def rows_per_key(name: str, total: str | None, key: str) -> Metric:
     return Metric(name, total, ratio, (ONE,), (key,))
 
 
+def sketched_count(name: str, total: str | None, expr: str) -> Metric:
+    """Estimated number of distinct values; ``standard_error`` says how good it is."""
+    return Metric(name, total, lambda n: n, digits=None, total_digits=None, sketched=(expr,))
+
+
+def sketched_per_key(name: str, total: str | None, item: str, key: str) -> Metric:
+    """Estimated distinct items divided by estimated distinct keys."""
+    return Metric(name, total, ratio, sketched=(item, key))
+
+
+def standard_error(lg_k: int = LG_K) -> float:
+    """Relative standard error of a merged sketch's estimate."""
+    return 1.04 / 2 ** (lg_k / 2)
+
+
 class _Parts:
     """Column names of the partials a set of metrics needs."""
 
     def __init__(self, metrics: Sequence[Metric]):
         sums = dict.fromkeys(text for m in metrics for text in m.sums)
         distinct = dict.fromkeys(text for m in metrics for text in m.distinct)
+        sketched = dict.fromkeys(text for m in metrics for text in m.sketched)
+        if distinct and sketched:
+            raise ValueError("a set of metrics counts distinct values exactly or by sketches, not both")
         self.sums = {text: f"s{i}" for i, text in enumerate(sums)}
         self.distinct = {text: f"d{i}" for i, text in enumerate(distinct)}
+        self.sketched = {text: f"h{i}" for i, text in enumerate(sketched)}
 
     def merge_sums(self) -> list[Column]:
         return [F.sum(name).alias(name) for name in self.sums.values()]
 
+    def merge_sketches(self) -> list[Column]:
+        return [F.hll_union_agg(name).alias(name) for name in self.sketched.values()]
+
     def finish(self, metric: Metric, digits: int | None) -> Column:
         names = [self.sums[t] for t in metric.sums] + [self.distinct[t] for t in metric.distinct]
-        return rounded(metric.finish(*[F.col(n) for n in names]), digits)
+        estimates = [F.hll_sketch_estimate(self.sketched[t]) for t in metric.sketched]
+        return rounded(metric.finish(*[F.col(n) for n in names], *estimates), digits)
 
 
-def kpi_partials(fact: DataFrame, batch_col: str, metrics: Sequence[Metric], split: str | None = None) -> DataFrame:
-    """Additive partials per batch (and split) — and per distinct value, if any is counted."""
+def kpi_partials(
+    fact: DataFrame, batch_col: str, metrics: Sequence[Metric], split: str | None = None, lg_k: int = LG_K
+) -> DataFrame:
+    """Additive partials per batch (and split) — and per distinct value, if any is counted exactly."""
     parts = _Parts(metrics)
     keys = [batch_col] + ([split] if split else [])
     # a row's own count is a literal; adding it last keeps the plans of all roll-ups
@@ -101,12 +135,13 @@ def kpi_partials(fact: DataFrame, batch_col: str, metrics: Sequence[Metric], spl
     base = fact.select(
         *keys,
         *[F.expr(text).alias(name) for text, name in carried.items()],
-        *[F.expr(text).cast("string").alias(name) for text, name in parts.distinct.items()],
+        *[F.expr(text).cast("string").alias(name) for text, name in (parts.distinct | parts.sketched).items()],
     )
     names = list(parts.distinct.values())
     if not names:
         counted = base.withColumns({n: F.lit(1) for t, n in parts.sums.items() if t == ONE})
-        return counted.groupBy(*keys).agg(*parts.merge_sums())
+        sketches = [F.hll_sketch_agg(name, lg_k).alias(name) for name in parts.sketched.values()]
+        return counted.groupBy(*keys).agg(*parts.merge_sums(), *sketches)
     if len(names) == 1:
         long = base.withColumn(MEASURE, F.lit(names[0])).withColumnRenamed(names[0], VALUE)
     else:
@@ -120,18 +155,33 @@ def kpi_partials(fact: DataFrame, batch_col: str, metrics: Sequence[Metric], spl
     return long.groupBy(*keys, MEASURE, VALUE).agg(*(sums or [F.count(F.lit(1)).alias("n_rows")]))
 
 
+def merged_sums(partials: DataFrame, keys: Sequence[str], metrics: Sequence[Metric]) -> DataFrame:
+    """The sums of partials with values, once for each key."""
+    sums = _Parts(metrics).merge_sums()
+    return partials.groupBy(*keys).agg(*sums) if sums else partials.select(*keys).distinct()
+
+
 def _roll_up(partials: DataFrame, parts: _Parts, keys: Sequence[str]) -> DataFrame:
     """Partials merged to a coarser key."""
+    if BITS in partials.columns:
+        merged = F.bitmap_or_agg(BITS).alias(BITS)
+        return partials.groupBy(*keys, MEASURE, BLOCK).agg(*parts.merge_sums(), merged)
     if parts.distinct:
         sums = parts.merge_sums() or [F.sum("n_rows").alias("n_rows")]
         return partials.groupBy(*keys, MEASURE, VALUE).agg(*sums)
-    return partials.groupBy(*keys).agg(*parts.merge_sums())
+    return partials.groupBy(*keys).agg(*parts.merge_sums(), *parts.merge_sketches())
 
 
 def _totals(partials: DataFrame, parts: _Parts, keys: Sequence[str]) -> DataFrame:
     """One row per key: the sums, and the number of distinct values per measure."""
     if not parts.distinct:
         return partials
+    if BITS in partials.columns:
+        ones = [
+            F.coalesce(F.sum(F.when(F.col(MEASURE) == F.lit(name), F.bitmap_count(BITS))), F.lit(0)).alias(name)
+            for name in parts.distinct.values()
+        ]
+        return partials.groupBy(*keys).agg(*parts.merge_sums(), *ones)
     counts = [
         F.count(F.when(F.col(MEASURE) == F.lit(name), F.col(VALUE))).alias(name)
         for name in parts.distinct.values()

@@ -16,9 +16,11 @@ from pyspark.sql import types as T
 
 from ledgermart.functions.dates import batch_id
 from ledgermart.operators import kpi, quality
+from ledgermart.operators.bitmaps import append_bitmaps
 from ledgermart.operators.ledger import FAILED, LEDGER, gate_loads, join_audit, read_ledger
 from ledgermart.operators.loader import load_files, raw_table
 from ledgermart.operators.parallel import run_together
+from ledgermart.operators.replaced import ReplacedTable
 from ledgermart.operators.store import Mart
 from ledgermart.plans import certificates as spec
 from ledgermart.plans.schemas import FILE_COLUMNS, file_schema
@@ -34,10 +36,11 @@ DELTA, DIMENSION = "delta_property", "dim_property"
 class CertificateMart:
     """One mart: load, check, stage, history, facts, KPIs."""
 
-    def __init__(self, mart: Mart, reissues: bool = False):
+    def __init__(self, mart: Mart, reissues: bool = False, bitmaps: bool = False):
+        """``bitmaps`` keeps the distinct values of KPI partials as bitmaps over numbered values."""
         self.mart, self.spark = mart, mart.spark
         self.schemas = {t: file_schema(t) for t in FILE_COLUMNS}
-        self.reissues = reissues
+        self.reissues, self.bitmaps = reissues, bitmaps
 
     # -- raw -------------------------------------------------------------------
 
@@ -70,9 +73,11 @@ class CertificateMart:
                 gone = [part for table, part in batches if table == spec.raw_name(domain, kind)]
                 fact = spec.fact_name(domain, kind)
                 kpis = [name for name, of in spec.FACT_OF_KPI.items() if of == fact]
-                for name in (spec.staging_name(domain, kind), fact, *(f"{k}_partials" for k in kpis), *kpis):
+                for name in (spec.staging_name(domain, kind), fact, *(f"{k}_partials" for k in kpis)):
                     if gone and self.mart.exists(name):
                         self.mart.drop_parts(name, gone)
+                for name in kpis:
+                    self._kpi_table(name).drop(gone)
 
     def raw(self, table: str, ledger: DataFrame | None = None, position: bool = False) -> DataFrame:
         """Audited raw rows: those whose audit id the ledger lists for this table."""
@@ -135,9 +140,8 @@ class CertificateMart:
             after = self.mart.watermark(name)
             rows = self.staged(domain, kind, after)
             fact = spec.fact_energy(rows, domain) if keyed else spec.fact_recommendations(rows)
-            # rows shuffled by key mix the batches; rows read by batch folder do not
-            mixed = keyed and len(self.mart.batches(spec.staging_name(domain, kind), after)) > 1
-            self.mart.append_new(name, fact, spec.BATCH, regroup=mixed)
+            # certificates are looked up by property: a batch's rows are in its order
+            self.mart.append_new(name, fact, spec.BATCH, cluster=[spec.PROPERTY_KEY] if keyed else ())
 
         run_together(self.spark, [partial(add, d, k) for d in spec.DOMAINS for k in KINDS])
 
@@ -152,21 +156,34 @@ class CertificateMart:
         def add(name: str, metrics: list[kpi.Metric]) -> None:
             split, partials = spec.SPLIT_BY.get(name), f"{name}_partials"
             fact = self.mart.table(spec.FACT_OF_KPI[name], self.mart.watermark(partials))
-            stored = self.mart.append_new(partials, kpi.kpi_partials(fact, spec.BATCH, metrics, split), spec.BATCH)
-            since = None if refresh_globals else self.mart.watermark(name)
-            report = kpi.kpi_from_partials(stored, spec.BATCH, metrics, split, since)
-            self.mart.replace_batches(name, report, spec.BATCH)
+            if self.bitmaps and any(m.distinct for m in metrics):
+                stored = append_bitmaps(self.mart, partials, fact, spec.BATCH, metrics, split)
+            else:
+                stored = self.mart.append_new(partials, kpi.kpi_partials(fact, spec.BATCH, metrics, split), spec.BATCH)
+            missing, since = self._kpi_table(name).since(self.mart.batches(partials))
+            if missing or refresh_globals:
+                report = kpi.kpi_from_partials(stored, spec.BATCH, metrics, split, None if refresh_globals else since)
+                self._kpi_table(name).replace(report, spec.BATCH)
 
         run_together(self.spark, [partial(add, n, m) for n, m in spec.METRICS.items()])
 
+    def _kpi_table(self, name: str) -> ReplacedTable:
+        return ReplacedTable(self.spark, f"{self.mart.root}/{name}")
+
+    def _kpi_rows(self, name: str) -> DataFrame:
+        """The rows of a KPI table, none before the first batch."""
+        table = self._kpi_table(name)
+        return table.table() if table.exists() else spec.kpi_table(name, self.mart.table(spec.FACT_OF_KPI[name]).limit(0))
+
     def kpi(self, name: str) -> DataFrame:
         """A KPI table in its reading order."""
         split = spec.SPLIT_BY.get(name)
-        return self.mart.export(name).orderBy(spec.BATCH, *([split] if split else []))
+        return self._kpi_rows(name).orderBy(spec.BATCH, *([split] if split else []))
 
     def check_presentation(self) -> DataFrame:
         names = {c.table for c in spec.PRESENTATION_CHECKS}
-        return quality.run_checks({n: self.mart.table(n) for n in names}, spec.PRESENTATION_CHECKS)
+        tables = {n: self._kpi_rows(n) if n in spec.METRICS else self.mart.table(n) for n in names}
+        return quality.run_checks(tables, spec.PRESENTATION_CHECKS)
 
     # -- all of it ---------------------------------------------------------------
 

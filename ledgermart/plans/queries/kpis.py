@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from ledgermart.functions.dates import month_start
 from ledgermart.operators import kpi
+from ledgermart.operators.bitmaps import append_bitmaps
+from ledgermart.operators.replaced import ReplacedTable
 from ledgermart.plans.queries.registry import naive, new_mart, query, read
+from ledgermart.session import new_work_dir
 
 RATING = [
     kpi.mean("monthly_avg_quantity", "global_avg_quantity", "l_quantity", digits=None),
@@ -172,6 +175,68 @@ def kpi_stored_partials(spark, sf_dir):
     return kpi.kpi_from_partials(mart.table("partials"), "batch", SPLIT, "o_orderpriority")
 
 
+@query(
+    "kpi_stored_bitmaps",
+    f"""
+    with f as (select *, date_trunc('month', o_orderdate) as batch from orders),
+         m as (select batch, 'ALL' as o_orderpriority, {SPLIT_SQL.format(p="")} from f group by batch
+               union all
+               select batch, o_orderpriority, {SPLIT_SQL.format(p="")} from f group by batch, o_orderpriority),
+         g as (select {SPLIT_SQL.format(p="global_")} from f)
+    select m.*, g.* from m cross join g
+    """,
+)
+def kpi_stored_bitmaps(spark, sf_dir):
+    """Exact distinct counts from bitmaps stored in three runs; a run numbers the values of its own batches only."""
+    mart, fact = new_mart(spark, "bitmaps"), order_fact(spark, sf_dir)
+    for until in ("1997-01-01", "1999-01-01", None):
+        known = fact if until is None else fact.filter(F.col("batch") < F.lit(until))
+        stored = append_bitmaps(mart, "partials", known, "batch", SPLIT, "o_orderpriority")
+    return kpi.kpi_from_partials(stored, "batch", SPLIT, "o_orderpriority")
+
+
+SKETCHED = [
+    kpi.sketched_count("customers", "global_customers", "o_custkey"),
+    kpi.sketched_count("totals", "global_totals", "o_totalprice"),
+    kpi.row_count("orders_n", "global_orders_n"),
+]
+#: What they estimate.
+EXACT = [kpi.distinct_count("customers", "global_customers", "o_custkey"), kpi.distinct_count("totals", "global_totals", "o_totalprice")]
+#: Standard errors that an estimate may be off.
+ERRORS = 3
+
+
+@query(
+    "kpi_sketched_distincts",
+    """
+    with f as (select *, date_trunc('month', o_orderdate) as batch from orders),
+         g as (select count(distinct o_custkey) as global_customers, count(distinct o_totalprice) as global_totals from f),
+         m as (select batch, 'ALL' as o_orderpriority, count(distinct o_custkey) as customers,
+                      count(distinct o_totalprice) as totals, count(*) as orders_n from f group by batch
+               union all
+               select batch, o_orderpriority, count(distinct o_custkey), count(distinct o_totalprice), count(*)
+               from f group by batch, o_orderpriority)
+    select m.*, g.*, true as customers_within, true as totals_within, true as global_within from m cross join g
+    """,
+)
+def kpi_sketched_distincts(spark, sf_dir):
+    """Estimates from sketches stored in two runs beside exact counts: within three standard errors or not."""
+    mart, fact = new_mart(spark, "sketches"), order_fact(spark, sf_dir)
+    for part in (fact.filter(F.col("batch") < F.lit("1999-01-01")), fact):
+        fresh = part.filter(F.col("batch") > F.lit(mart.watermark("partials") or "1900-01-01"))
+        mart.append_new("partials", kpi.kpi_partials(fresh, "batch", SKETCHED, "o_orderpriority"), "batch", regroup=True)
+    estimates = kpi.kpi_from_partials(mart.table("partials"), "batch", SKETCHED, "o_orderpriority")
+    exact = kpi.kpi_report(fact, "batch", EXACT, split="o_orderpriority")
+    names = [m.name for m in EXACT] + [m.total for m in EXACT]
+    own = estimates.select("batch", "o_orderpriority", "orders_n", *[F.col(n).alias(f"about_{n}") for n in names])
+    both = exact.join(own, ["batch", "o_orderpriority"])
+    near = {n: F.abs(F.col(f"about_{n}") - F.col(n)) <= F.greatest(F.lit(0.5), ERRORS * kpi.standard_error() * F.col(n)) for n in names}
+    return both.select(
+        "batch", "o_orderpriority", "orders_n", *names, near["customers"].alias("customers_within"), near["totals"].alias("totals_within"),
+        (near["global_customers"] & near["global_totals"]).alias("global_within"),
+    )
+
+
 @query(
     "replace_kpi_rows",
     f"""
@@ -183,9 +248,15 @@ def kpi_stored_partials(spark, sf_dir):
     """,
 )
 def replace_kpi_rows(spark, sf_dir):
-    """One month's KPI rows are written again; the others stay."""
-    mart, fact = new_mart(spark, "kpi"), line_fact(spark, sf_dir)
+    """One month's KPI rows are written again; the others stay. Repeating either write changes nothing."""
+    fact = line_fact(spark, sf_dir)
+    table = ReplacedTable(spark, new_work_dir(spark, "kpi"))
     monthly = [kpi.Metric(m.name, None, m.finish, m.sums, m.distinct, m.digits) for m in RATING]
-    mart.replace_batches("kpi", kpi.kpi_report(fact, "batch", monthly), "batch")
-    again = fact.filter((F.col("batch") == F.lit("1997-03-01")) & (F.col("l_quantity") > 10))
-    return naive(mart.replace_batches("kpi", kpi.kpi_report(again, "batch", monthly), "batch"))
+    report = kpi.kpi_report(fact, "batch", monthly)
+    table.append_new(report.filter(F.col("batch") < F.lit("1998-01-01")), "batch")
+    for _ in range(2):
+        table.append_new(report, "batch")
+    again = kpi.kpi_report(fact.filter((F.col("batch") == F.lit("1997-03-01")) & (F.col("l_quantity") > 10)), "batch", monthly)
+    for _ in range(2):
+        table.replace(again, "batch")
+    return naive(table.table())

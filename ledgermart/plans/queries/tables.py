@@ -294,6 +294,90 @@ def schema_sync(spark, sf_dir):
     return mart.append_new("t", fact.filter(~cut).select("o_orderkey", "batch", "o_orderstatus"), "batch", regroup=True)
 
 
+@query(
+    "schema_widening",
+    """
+    select date_trunc('month', o_orderdate) as batch, cast(o_orderkey as varchar) as o_orderkey,
+           cast(o_custkey as bigint) as o_custkey,
+           case when o_orderdate >= timestamp '1999-01-01' then cast(o_totalprice as double) else cast(floor(o_totalprice) as double) end as o_totalprice
+    from orders
+    """,
+)
+def schema_widening(spark, sf_dir):
+    """Keys go from int to bigint to text, totals from whole numbers to fractions; what is stored follows."""
+    mart, fact = new_mart(spark, "widening"), order_fact(spark, sf_dir)
+    runs = (
+        ("batch < '1997-01-01'", "cast(o_orderkey as int)", "cast(o_custkey as int)", "cast(floor(o_totalprice) as int)"),
+        ("batch >= '1997-01-01' and batch < '1999-01-01'", "o_orderkey", "cast(o_custkey as smallint)", "cast(floor(o_totalprice) as int)"),
+        ("batch >= '1999-01-01'", "cast(o_orderkey as string)", "o_custkey", "o_totalprice"),
+    )
+    for when, key, customer, total in runs:
+        rows = fact.filter(when).selectExpr("batch", f"{key} as o_orderkey", f"{customer} as o_custkey", f"{total} as o_totalprice")
+        mart.append_new("t", rows, "batch", regroup=True)
+    return mart.table("t")
+
+
+@query(
+    "upsert_growing",
+    """
+    select o_orderkey, o_custkey, case when o_orderkey % 50 = 0 then 'new' else o_orderstatus end as o_orderstatus from orders
+    """,
+)
+def upsert_growing(spark, sf_dir):
+    """A table that begins with few rows and grows a hundredfold: its buckets grow with it, and a key's type widens."""
+    mart, orders = new_mart(spark, "growing"), read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    first = orders.filter("o_orderkey % 100 = 0").withColumn("o_orderkey", F.col("o_orderkey").cast("int"))
+    changed = orders.filter("o_orderkey % 50 = 0").withColumn("o_orderstatus", F.lit("new"))
+    for step, rows in enumerate((first, orders, changed)):
+        mart.upsert("t", rows.withColumn("step", F.lit(step)), "o_orderkey", ["step"], rows_per_bucket=300)
+    return mart.table("t").drop("step")
+
+
+@query(
+    "clustered_fact",
+    """
+    select l_partkey, date_trunc('month', l_shipdate) as batch, count(*) as n, sum(l_quantity) as quantity
+    from lineitem where l_partkey between 100 and 140 group by 1, 2
+    """,
+)
+def clustered_fact(spark, sf_dir):
+    """Lines stored in the order of their part within a month: a filter by part skips most files and row groups."""
+    mart, fact = new_mart(spark, "clustered"), line_fact(spark, sf_dir)
+    stored = mart.append_new("fact", fact.select("l_partkey", "l_quantity", "batch"), "batch", cluster=["l_partkey"])
+    chosen = stored.filter(F.col("l_partkey").between(100, 140))
+    return chosen.groupBy("l_partkey", "batch").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("quantity"))
+
+
+_DELIVERY = "year(o_orderdate) + case when o_orderkey % 10 = 3 then 1 else 0 end"
+
+
+@query(
+    "late_rows",
+    f"""
+    with d as (select date_trunc('month', o_orderdate) as batch, {_DELIVERY} as delivery from orders),
+         w as (select delivery, max(batch) as newest from d group by delivery),
+         m as (select d.*, coalesce(batch <= (select max(newest) from w where w.delivery < d.delivery), false) as late from d)
+    select batch, count(*) filter (not late) as n_written, count(*) filter (late) as n_late,
+           sum(case when late then delivery - year(batch) else 0 end)::bigint as deliveries_late
+    from m group by batch
+    """,
+)
+def late_rows(spark, sf_dir):
+    """Orders delivered a year at a time, some a delivery too late: these are kept apart and counted, not lost."""
+    mart, fact = new_mart(spark, "late"), order_fact(spark, sf_dir).withColumn("delivery", F.expr(_DELIVERY))
+    # one delivery a year; what the write itself has counted is what is there
+    for year in [r["delivery"] for r in fact.select("delivery").distinct().orderBy("delivery").collect()]:
+        found = mart.append_feed("fact", fact.filter(F.col("delivery") == year).select("o_orderkey", "delivery", "batch"), "batch")
+        assert found.n_late == mart.late("fact").filter(F.col("late_version") == found.version).count()
+    none, one = F.lit(0).cast("bigint"), F.count(F.lit(1))
+    written = mart.table("fact").groupBy("batch").agg(one.alias("n_written"), F.max(none).alias("n_late"), F.max(none).alias("deliveries_late"))
+    late = mart.late("fact").groupBy("batch").agg(
+        F.max(none).alias("n_written"), one.alias("n_late"), F.sum(F.col("delivery") - F.year("batch")).alias("deliveries_late")
+    )
+    both = written.unionByName(late).groupBy("batch")
+    return both.agg(*[F.sum(c).alias(c) for c in ("n_written", "n_late", "deliveries_late")])
+
+
 @query(
     "schema_conform",
     """
