@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgermart.operators.sizing import broadcast_if_small
 from ledgermart.operators.store import Mart
-from ledgermart.sources.csv import BAD_COLUMN, BAD_VALUE, BLOCK, FILE, SEQ
+from ledgermart.sources.csv import BAD_COLUMN, BAD_VALUE, BLOCK, FILE, SEQ, fields_before, record_places
 
 LEDGER = "raw_copy_audit"
 FIRST_AUDIT_ID = 1000
@@ -89,19 +90,16 @@ def stamp(rows: DataFrame, ids: DataFrame, path_col: str = FILE) -> DataFrame:
 
 
 def load_stats(tagged: DataFrame) -> DataFrame:
-    """Rows parsed, loaded and rejected per file, with the first error.
+    """Rows parsed, loaded and rejected per file, with the first error and the number of its record.
 
-    Rows are counted per file block, in one hash aggregation over numbers; the
-    line of the first error is its offset in the block plus the rows of the
-    blocks before it and the header. A row is one line unless it holds quoted
-    line breaks.
+    Rows are counted per file block, in one hash aggregation over numbers. The first
+    error's record (from 0) is the number of rows of the blocks before it, and of those
+    before it in its block. As a line, that is exact where a record is a line;
+    ``located_errors`` gives lines and characters for all files.
     """
     bad = F.col(BAD_COLUMN).isNotNull()
     blocks = tagged.groupBy(FILE, BLOCK).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(bad).alias("n_bad"),
-        F.min(SEQ).alias("_first"),
-        F.min(F.when(bad, F.col(SEQ))).alias("_first_bad"),
+        F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("n_bad"), F.min(F.when(bad, F.col(SEQ))).alias("_first_bad")
     )
     earlier = Window.partitionBy(FILE).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     placed = blocks.withColumns(
@@ -111,18 +109,22 @@ def load_stats(tagged: DataFrame) -> DataFrame:
         }
     )
     leads = F.when((F.col("n_bad") > 0) & (F.col("_bad_before") == 0), F.lit(True))
-    line = F.col("_before") + F.col("_first_bad") - F.col("_first") + 2
     per_file = placed.groupBy(FILE).agg(
         F.sum("n").alias("rows_parsed"),
         F.sum("n_bad").alias("errors_seen"),
-        F.max(F.when(leads, line)).alias("first_error_line"),
+        F.max(F.when(leads, F.col("_before"))).alias("_before"),
         F.max(F.when(leads, F.col(BLOCK))).alias(BLOCK),
         F.max(F.when(leads, F.col("_first_bad"))).alias(SEQ),
     )
-    # at most one position a file: the errors are filtered by these, not moved
-    firsts = F.broadcast(per_file.filter("errors_seen > 0").select(FILE, BLOCK, SEQ))
-    errors = tagged.filter(bad).select(FILE, BLOCK, SEQ, BAD_COLUMN, BAD_VALUE).join(firsts, [FILE, BLOCK, SEQ])
-    found = per_file.join(errors, [FILE, BLOCK, SEQ], "left")
+    per_file = broadcast_if_small(per_file)  # a row for each file
+    # the rows up to a file's first error are found by its place, and not moved
+    firsts = per_file.filter("errors_seen > 0").select(FILE, BLOCK, F.col(SEQ).alias("_first_bad"))
+    rows = tagged.select(FILE, BLOCK, SEQ, BAD_COLUMN, BAD_VALUE).join(broadcast_if_small(firsts), [FILE, BLOCK])
+    at = F.col(SEQ) == F.col("_first_bad")
+    errors = rows.filter(F.col(SEQ) <= F.col("_first_bad")).groupBy(FILE).agg(
+        F.count_if(~at).alias("_above"), *[F.max(F.when(at, F.col(c))).alias(c) for c in (BAD_COLUMN, BAD_VALUE)]
+    )
+    found = per_file.join(errors, FILE, "left").withColumn("first_error_record", F.col("_before") + F.col("_above"))
     loaded = F.col("rows_parsed") - F.col("errors_seen")
     return found.select(
         FILE,
@@ -135,10 +137,37 @@ def load_stats(tagged: DataFrame) -> DataFrame:
             F.col(BAD_COLUMN).isNotNull(),
             F.format_string("%s: cannot read '%s'", F.col(BAD_COLUMN), F.col(BAD_VALUE)),
         ).alias("first_error"),
-        "first_error_line",
+        (F.col("first_error_record") + 2).alias("first_error_line"),
         F.lit(None).cast("bigint").alias("first_error_character"),
         F.col(BAD_COLUMN).alias("first_error_column_name"),
+        "first_error_record",
+    )
+
+
+def located_errors(stats: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``stats`` with the line, and the character in it, at which the first error's field begins, both from 1.
+
+    Files with an error are read once more, as text. ``columns`` are those of the file, in
+    its order. The statistics, a row for each file, are evaluated once.
+    """
+    spark = stats.sparkSession
+    known = spark.createDataFrame(stats.toArrow(), stats.schema)
+    wrong = known.filter("errors_seen > 0").select(FILE, "first_error_record", "first_error_column_name")
+    files = [unquote(r[FILE]) for r in wrong.select(FILE).collect()]
+    if not files:
+        return known
+    index = F.array_position(F.lit(list(columns)), F.col("first_error_column_name")) - 1
+    records = record_places(spark, files).join(F.broadcast(wrong), FILE).filter("record = first_error_record")  # a row for each file
+    pieces = F.split(fields_before(F.col("value"), index), "\n")
+    places = records.select(
+        FILE,
+        (F.col("line") + F.size(pieces) - 1).cast("bigint").alias("_line"),
+        (F.char_length(F.element_at(pieces, -1)) + 1).cast("bigint").alias("_character"),
     )
+    found = known.join(places, FILE, "left")
+    return found.withColumns(
+        {"first_error_line": F.coalesce("_line", "first_error_line"), "first_error_character": F.col("_character")}
+    ).drop("_line", "_character")
 
 
 def load_status(parsed, errors):

@@ -59,7 +59,8 @@ def _load_table(mart: Mart, table: str, plan: DataFrame, paths: Sequence[str], s
     bad = F.col(csv.BAD_COLUMN).isNotNull()
     part = F.when(bad, F.concat("audit_id", F.lit(REJECTED))).otherwise(F.col("audit_id"))
     state = mart.append_part(table, stamped, part)
-    return lg.load_stats(mart.table(table, parts=lambda p: state.live.get(p) == state.folder))
+    stats = lg.load_stats(mart.table(table, parts=lambda p: state.live.get(p) == state.folder))
+    return lg.located_errors(stats, schema.fieldNames())
 
 
 def load_files(

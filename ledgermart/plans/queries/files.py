@@ -306,6 +306,42 @@ def csv_line_breaks(spark, sf_dir):
     return good.drop(*csv.POSITION)
 
 
+_PLACES = """
+    with p as (
+        select cast(floor(p_partkey / 500) as bigint) as file, p_partkey, p_partkey % 13 = 0 as bad,
+               case when p_partkey % 3 = 0 then replace(p_name, ' ', chr(10)) else p_name end as name
+        from part
+    ), l as (
+        select *, string_split(name, chr(10)) as pieces, sum(len(string_split(name, chr(10)))) over (partition by file order by p_partkey) as lines
+        from p
+    )
+    select file, count(*) as rows_parsed, count(*) filter (bad) as errors_seen,
+           cast(1 + min_by(lines, p_partkey) filter (bad) as bigint) as first_error_line,
+           min_by(length(pieces[-1]) + 3 + case when len(pieces) = 1 then length(p_partkey::varchar) + 2 else 0 end, p_partkey)
+               filter (bad) as first_error_character
+    from l group by file
+"""
+
+
+@query("load_error_places", _PLACES)
+def load_error_places(spark, sf_dir):
+    """Line and character of each file's first error, in files whose records hold quoted line breaks."""
+    folder = new_work_dir(spark, "csv-places")
+    broken = "case when p_partkey % 3 = 0 then replace(p_name, ' ', '\\n') else p_name end"
+    line = f"""concat(cast(p_partkey as string), ',"', {broken}, '",', case when {_BAD} then 'n.a.' else cast(p_size as string) end)"""
+    parts = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("key"), F.expr(line).alias("line"), F.floor(F.col("p_partkey") / 500).alias("file"))
+    # a file is written as one text of at most 500 records, so that its header comes first
+    whole = parts.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("key", "line"))).alias("lines"))
+    body = F.array_join(F.transform("lines", lambda x: x["line"]), "\n")
+    whole.select("file", F.concat(F.lit("p_partkey,p_name,p_size\n"), body).alias("value")).write.partitionBy("file").text(folder)
+    schema = T.StructType.fromDDL("p_partkey bigint, p_name string, p_size bigint")
+    files = [readable_path(r["filepath"]) for r in list_files(spark, folder, "*.txt").collect()]
+    stats = lg.load_stats(csv.typed(csv.read_batch_csv(spark, files, schema), schema))
+    file = F.regexp_extract(csv.FILE, r"/file=(\d+)/", 1).cast("bigint").alias("file")
+    found = lg.located_errors(stats, schema.fieldNames())
+    return found.select(file, "rows_parsed", "errors_seen", "first_error_line", "first_error_character")
+
+
 @query("table_export", "select o_orderkey, o_custkey, o_totalprice, cast(year(o_orderdate) as integer) as year from orders")
 def table_export(spark, sf_dir):
     """The import scan of a dashboard over a stored table."""

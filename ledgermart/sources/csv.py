@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,7 +98,16 @@ def _state_before(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame
 
 
 def _joined_lines(spark: SparkSession, paths: Sequence[str], schema: T.StructType) -> DataFrame:
-    """Records of files in which some line leaves a quote open.
+    """Rows of files in which some line leaves a quote open."""
+    data = _records(_line_starts(spark, paths))
+    text = T.StructType([T.StructField(f"c{i}", T.StringType()) for i, _ in enumerate(schema)])
+    parsed = data.withColumn("_row", F.from_csv("value", text.simpleString()[7:-1].replace(":", " "), {"escape": '"'}))
+    values = [F.col(f"_row.c{i}").alias(f.name) for i, f in enumerate(schema)]
+    return parsed.select(*values, FILE, F.col(f"_at.{BLOCK}").alias(BLOCK), F.col(f"_at.{SEQ}").alias(SEQ))
+
+
+def _line_starts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Lines with ``_at``, the place of the line that their record begins with.
 
     What a line does to the open quote depends on the line alone, so the state before
     each line is a running composition: within each split, then over the splits of a
@@ -125,15 +134,48 @@ def _joined_lines(spark: SparkSession, paths: Sequence[str], schema: T.StructTyp
     last_starts = lines.groupBy(*block).agg(F.max(starts).alias("_record"))
     earlier = Window.partitionBy(FILE).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     carried = last_starts.select(*block, F.last("_record", ignorenulls=True).over(earlier).alias("_carried"))
-    lines = lines.join(carried, block).withColumn("_at", F.coalesce("_record", "_carried"))
+    return lines.join(carried, block).select(*block, SEQ, "value", F.coalesce("_record", "_carried").alias("_at"))
+
+
+def _records(lines: DataFrame) -> DataFrame:
+    """(file, _at, value) of records that aren't blank, without each file's first, the header."""
     parts = F.array_sort(F.collect_list(F.struct(BLOCK, SEQ, "value")))
     records = lines.groupBy(FILE, "_at").agg(F.array_join(F.transform(parts, lambda x: x["value"]), "\n").alias("value"))
-    first = Window.partitionBy(FILE)
-    data = records.withColumn("_header", F.min("_at").over(first)).filter("_at <> _header and trim(value) <> ''")
-    text = T.StructType([T.StructField(f"c{i}", T.StringType()) for i, _ in enumerate(schema)])
-    parsed = data.withColumn("_row", F.from_csv("value", text.simpleString()[7:-1].replace(":", " "), {"escape": '"'}))
-    values = [F.col(f"_row.c{i}").alias(f.name) for i, f in enumerate(schema)]
-    return parsed.select(*values, FILE, F.col(f"_at.{BLOCK}").alias(BLOCK), F.col(f"_at.{SEQ}").alias(SEQ))
+    full = records.filter("trim(value) <> ''")
+    headers = full.groupBy(FILE).agg(F.min("_at").alias("_header"))
+    return full.join(headers, FILE).filter("_at <> _header").drop("_header")
+
+
+def record_places(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(file, record, line, value): the data records of files as text, numbered from 0, with their first line's number from 1.
+
+    Records and lines are counted by split, and moved by the counts of the splits before them.
+    """
+    whole = line_complete_files(spark, paths)
+    rest = [p for p in paths if p not in set(whole)]
+    frames = [_lines(spark, whole).withColumn("_at", F.struct(BLOCK, SEQ))] if whole else []
+    frames += [_line_starts(spark, rest)] if rest else []
+    lines = reduce(DataFrame.unionByName, frames)
+    earlier = Window.partitionBy(FILE).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+
+    def before(n: str) -> Column:
+        return F.coalesce(F.sum(n).over(earlier), F.lit(0))
+
+    blocks = lines.groupBy(FILE, BLOCK).agg(F.min(SEQ).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    blocks = blocks.select(FILE, BLOCK, (before("_n") - F.col("_first") + 1).alias("_moved"))
+    records = _records(lines).select(FILE, F.col(f"_at.{BLOCK}").alias(BLOCK), F.col(f"_at.{SEQ}").alias(SEQ), "value")
+    counts = records.groupBy(FILE, BLOCK).agg(F.count(F.lit(1)).alias("_n")).select(FILE, BLOCK, before("_n").alias("_before"))
+    own = F.row_number().over(Window.partitionBy(FILE, BLOCK).orderBy(SEQ)) - 1
+    numbered = records.withColumn("_own", own).join(counts, [FILE, BLOCK]).join(blocks, [FILE, BLOCK])
+    return numbered.select(
+        FILE, (F.col("_before") + F.col("_own")).alias("record"), (F.col(SEQ) + F.col("_moved")).alias("line"), "value"
+    )
+
+
+def fields_before(value: Column, index: Column) -> Column:
+    """The part of a record's text before its field number ``index`` (from 0)."""
+    skipped = F.concat(F.lit(f"(?s)^((?:{_FIELD},){{"), index.cast("string"), F.lit("})"))
+    return F.call_function("regexp_extract", value, skipped, F.lit(1))
 
 
 def with_position(raw: DataFrame) -> DataFrame:

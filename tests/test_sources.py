@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import rows
-from ledgermart.operators.ledger import load_stats
+from ledgermart.operators.ledger import load_stats, located_errors
 from ledgermart.sources import adhoc, csv, files
 
 SCHEMA = (
@@ -158,6 +158,67 @@ def test_first_error_line_across_splits(spark, tmp_path):
     assert stats["first_error_column_name"] == "n" and stats["status"] == "PARTIALLY_LOADED"
 
 
+def plain_place(text):
+    """Line and character of the first value that isn't a whole number in column two, by walking the text."""
+    line, at, field, quoted, start, value, seen = 1, 0, 0, False, None, "", False
+    begun = False
+    i = 0
+    place = (1, 1)
+    record_line = 1
+    while i <= len(text):
+        c = text[i] if i < len(text) else "\n"
+        end = "\r\n" if text[i : i + 2] == "\r\n" else c
+        if c in "\r\n" and not quoted:
+            if field == 1 and seen and value and not value.isdigit():
+                return place
+            begun_row = begun
+            seen = seen or begun_row
+            line, at, field, value, begun, i = line + 1, 0, 0, "", False, i + len(end)
+            place = (line, 1)
+            continue
+        if c in "\r\n":
+            line, at, i, value = line + 1, 0, i + len(end), value + "\n"
+            continue
+        begun, at = True, at + 1
+        if c == '"' and (quoted or not value):
+            quoted = not quoted
+        elif c == "," and not quoted:
+            if field == 1 and seen and value and not value.isdigit():
+                return place
+            field, value, place = field + 1, "", (line, at + 1)
+            i += 1
+            continue
+        value += c if c != '"' else ""
+        i += 1
+    return None
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\r"])
+@pytest.mark.parametrize("breaks", [True, False])
+def test_first_error_place_at_every_split_size(spark, tmp_path, end, breaks):
+    """Blank lines, quoted line breaks before, in and after the bad record, and the field behind text of several bytes."""
+    id_ = '"é\n2\n日"' if breaks else '"é,""2"""'
+    lines = ["id,n,x,d,t,note", "1,1,,,,a", "", '2,2,,,,"b\nc"' if breaks else "2,2,,,,b", "3,3", "   ", f'{id_},bad,,,,"z\nz"' if breaks else f"{id_},bad", "4,worse"]
+    texts = {"some": end.join(lines), "none": end.join(lines[:5]), "first": end.join([lines[0], "x,  oh no ,"]), "long": end.join([*lines[:4] * 8, *lines[6:]])}
+    texts["long"] = texts["long"].replace("id,n,x,d,t,note", "9,9,,,,h").replace("9,9,,,,h", "id,n,x,d,t,note", 1)
+    for name, text in texts.items():
+        (tmp_path / f"{name}.csv").write_bytes(text.encode())
+    found = []
+    for split in ("40", "100000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        try:
+            read = csv.read_batch_csv(spark, [f"file:{tmp_path}/{n}.csv" for n in texts], SCHEMA, multiline=None)
+            stats = located_errors(load_stats(csv.typed(read, SCHEMA)), SCHEMA.fieldNames()).collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        found.append({r[csv.FILE].rsplit("/", 1)[1][:-4]: (r["first_error_line"], r["first_error_character"]) for r in stats})
+    expected = {n: plain_place(t) or (None, None) for n, t in texts.items()}
+    assert expected["none"] == (None, None) and expected["first"] == (2, 3) and (expected["some"] == (10, 4)) == breaks
+    assert found[0] == found[1] == expected
+
+
 def as_records(text):
     """Rows of a file, read by Python's reader, which takes all line ends alike."""
     import csv as plain
