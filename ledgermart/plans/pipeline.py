@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 from ledgermart.functions.dates import batch_id
 from ledgermart.operators import kpi, quality
 from ledgermart.operators.bitmaps import append_bitmaps
+from ledgermart.operators.check_log import CheckLog
+from ledgermart.operators.incremental import newer_than
 from ledgermart.operators.ledger import FAILED, LEDGER, gate_loads, join_audit, read_ledger
 from ledgermart.operators.loader import load_files, raw_table
 from ledgermart.operators.parallel import run_together
@@ -36,11 +38,18 @@ DELTA, DIMENSION = "delta_property", "dim_property"
 class CertificateMart:
     """One mart: load, check, stage, history, facts, KPIs."""
 
-    def __init__(self, mart: Mart, reissues: bool = False, bitmaps: bool = False):
-        """``bitmaps`` keeps the distinct values of KPI partials as bitmaps over numbered values."""
+    def __init__(self, mart: Mart, reissues: bool = False, bitmaps: bool = False, checks_by_batch: bool = False):
+        """``bitmaps`` keeps the distinct values of KPI partials as bitmaps over numbered values.
+
+        With ``checks_by_batch`` the checks of raw and staging look at new batches only, and
+        what they have to know of older ones is kept.
+        """
         self.mart, self.spark = mart, mart.spark
         self.schemas = {t: file_schema(t) for t in FILE_COLUMNS}
-        self.reissues, self.bitmaps = reissues, bitmaps
+        self.reissues, self.bitmaps, self.checks_by_batch = reissues, bitmaps, checks_by_batch
+        keyed = {spec.staging_name(d, "certificates"): spec.KEY for d in spec.DOMAINS}
+        self.raw_log = CheckLog(mart, "checks_raw", spec.raw_checks(reissues))
+        self.staging_log = CheckLog(mart, "checks_staging", spec.STAGING_CHECKS, keyed)
 
     # -- raw -------------------------------------------------------------------
 
@@ -67,7 +76,9 @@ class CertificateMart:
         return results
 
     def _drop_batches(self, batches: Sequence[tuple[str, str]]) -> None:
-        """Takes batches of raw tables out of staging, facts, KPI partials and KPIs."""
+        """Takes batches of raw tables out of staging, facts, KPI partials and KPIs; kept check results begin anew."""
+        for log in (self.raw_log, self.staging_log):
+            log.reset()
         for domain in spec.DOMAINS:
             for kind in KINDS:
                 gone = [part for table, part in batches if table == spec.raw_name(domain, kind)]
@@ -89,9 +100,18 @@ class CertificateMart:
         return raw_table(self.mart, table, self.schemas[table], ids, position)
 
     def check_raw(self) -> DataFrame:
+        if self.checks_by_batch:
+            fresh, high = self._new_ledger(self.raw_log)
+            return self.raw_log.run({LEDGER: fresh, **{t: self.raw(t, fresh) for t in self.schemas}}, high)
         tables = {LEDGER: read_ledger(self.mart), **{t: self.raw(t) for t in self.schemas}}
         return quality.run_checks(tables, spec.raw_checks(self.reissues))
 
+    def _new_ledger(self, log: CheckLog) -> tuple[DataFrame, dict[str, str]]:
+        """Ledger rows that the log has not seen, and how far the ledger then has been seen."""
+        ledger, seen = read_ledger(self.mart), log.highs().get(LEDGER)
+        newest = ledger.agg(F.max(spec.BATCH).cast("string")).first()[0]
+        return ledger.filter(newer_than(spec.BATCH, seen)), {LEDGER: newest} if newest else {}
+
     # -- staging ---------------------------------------------------------------
 
     def stage(self) -> None:
@@ -115,6 +135,11 @@ class CertificateMart:
         return spec.latest_certificates(rows) if kind == "certificates" else rows
 
     def check_staging(self) -> DataFrame:
+        if self.checks_by_batch:
+            seen, (ledger, high) = self.staging_log.highs(), self._new_ledger(self.staging_log)
+            names = {spec.staging_name(d, k): (d, k) for d in spec.DOMAINS for k in KINDS}
+            fresh = {n: self.staged(*names[n], seen.get(n)) for n in names}
+            return self.staging_log.run({LEDGER: ledger, **fresh}, high | {n: self.mart.watermark(n) for n in names})
         tables = {spec.staging_name(d, k): self.staged(d, k) for d in spec.DOMAINS for k in KINDS}
         tables = quality.checked_copies(tables, spec.STAGING_CHECKS)
         return quality.run_checks({LEDGER: read_ledger(self.mart), **tables}, spec.STAGING_CHECKS)

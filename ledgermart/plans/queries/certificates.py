@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgermart.operators import ledger as lg
 from ledgermart.operators import quality
+from ledgermart.operators.check_log import CheckLog
 from ledgermart.plans import certificates as spec
 from ledgermart.plans import sample
 from ledgermart.plans.queries.registry import naive, new_mart, query
@@ -318,3 +319,44 @@ def checks_staging(spark, sf_dir):
     return quality.run_checks(quality.checked_copies(tables, spec.STAGING_CHECKS), spec.STAGING_CHECKS)
 
 
+#: Three runs: what they see of the batch axis, by the ledger's timestamps.
+_CHECK_RUNS = ("audit_ts < '1996-06-01'", "audit_ts >= '1996-06-01' and audit_ts < '2000-01-01'", "audit_ts >= '2000-01-01'")
+
+
+def _in_three_runs(log: CheckLog, runs) -> DataFrame:
+    for fresh in runs:
+        log.run(fresh)
+    return log.results()
+
+
+@query("checks_raw_by_batch", _checks_sql(spec.RAW_CHECKS, _RAW_BODIES))
+def checks_raw_by_batch(spark, sf_dir):
+    """The checks of the raw layer after three loads, each looking at its own files' rows only."""
+    mart, ledger = new_mart(spark, "check-log"), sample.ledger(spark, sf_dir)
+    ledger = quality.checked_copies({lg.LEDGER: ledger.select("audit_id", "filepath", "status", "audit_ts", "target_table")}, [
+        *quality.not_null(lg.LEDGER, "audit_id", "filepath", "status", "audit_ts", "target_table")])[lg.LEDGER]
+
+    def new_rows(when: str) -> dict[str, DataFrame]:
+        mine = ledger.filter(when)
+        raw = {t: sample.raw(spark, sf_dir, t).join(mine.filter(F.col("target_table") == t).select("audit_id"), "audit_id", "left_semi") for t in sample.DERIVED}
+        return {lg.LEDGER: mine, **raw}
+
+    return _in_three_runs(CheckLog(mart, "raw", spec.RAW_CHECKS), map(new_rows, _CHECK_RUNS))
+
+
+@query("checks_staging_by_batch", _checks_sql(spec.STAGING_CHECKS, _STAGED_BODIES))
+def checks_staging_by_batch(spark, sf_dir):
+    """The checks of the staging layer after three loads; newer certificates take the place of older ones."""
+    mart, ledger = new_mart(spark, "check-log"), sample.ledger(spark, sf_dir)
+
+    def new_rows(when: str) -> dict[str, DataFrame]:
+        fresh = {lg.LEDGER: ledger.filter(when)}
+        for d in spec.DOMAINS:
+            for k in _KINDS:
+                raw = sample.raw(spark, sf_dir, spec.raw_name(d, k), position=k == "certificates")
+                rows = lg.join_audit(raw, ledger.filter(when), spec.raw_name(d, k))
+                fresh[spec.staging_name(d, k)] = spec.latest_certificates(rows) if k == "certificates" else rows
+        return fresh
+
+    keyed = {spec.staging_name(d, "certificates"): spec.KEY for d in spec.DOMAINS}
+    return _in_three_runs(CheckLog(mart, "staging", spec.STAGING_CHECKS, keyed), map(new_rows, _CHECK_RUNS))
