@@ -33,6 +33,11 @@ def op2_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(docs, model)
 
 
+_PARTS_LEFT = "value"
+for _part in secret_scan.ALLOWED_PARTS:
+    _PARTS_LEFT = f"regexp_replace({_PARTS_LEFT}, '{_part}', '!', 'g')"
+
+
 @query(
     "op3_entropy_secrets",
     rf"""
@@ -50,23 +55,37 @@ def op2_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     ), spans as (
         select *, begins + length(value) as ends from places
         where kind <> 'assign' or length(regexp_extract(value, shape, 1)) >= 6
+    ), edges as (
+        select doc_id, s.begins as own, s.value, s.gap, b.begins as lo, b.ends as hi
+        from spans s join spans b using (doc_id)
+        where s.kind = 'entropy' and b.rank < 3 and b.begins < s.ends and s.begins < b.ends
+        union all select doc_id, begins, value, gap, ends, ends from spans where kind = 'entropy'
+    ), cuts as (
+        select *, greatest(own, coalesce(max(hi) over (partition by doc_id, own order by lo, hi rows between unbounded preceding and 1 preceding), own)) as since
+        from edges
+    ), candidates as (
+        select doc_id, since as begins, lo as ends, substr(value, (since - own + 1)::bigint, (lo - since)::bigint) as value,
+               case when since = own then right(gap, 40) else '' end as ahead
+        from cuts where lo - since >= 20
+    ), pieces as (
+        select doc_id, begins, ends, trim(unnest(string_split(replace(regexp_replace(
+            ' ' || regexp_replace({_PARTS_LEFT}, '([!{secret_scan.SEPARATORS}])', ' \1 ', 'g') || ' ', '{secret_scan.WORD}', '!', 'g'), ' ', ''), '!')), '{secret_scan.SEPARATORS}') as piece
+        from candidates
+        where not regexp_matches(value, '{secret_scan.DOCUMENTED}') and not regexp_matches(ahead, '{_sql_text(secret_scan.ALLOWED_AFTER)}')
     ), windows as (
-        select doc_id, begins, j, sum(round(n * log2(n) * 1048576)) as total
-        from (select doc_id, begins, j, letter, count(*) as n
-              from (select doc_id, begins, j, unnest(string_split(substr(value, j, 20), '')) as letter
-                    from (select doc_id, begins, value, unnest(range(1, length(value) - 18)) as j from spans where kind = 'entropy'))
-              group by all)
+        select distinct doc_id, begins, ends, substr(piece, j, 20) as own
+        from (select *, unnest(range(1, length(piece) - 18)) as j from pieces)
+    ), counted as (
+        select doc_id, begins, ends, own, sum(round(n * log2(n) * 1048576)) as total
+        from (select *, count(*) as n from (select *, unnest(string_split(own, '')) as letter from windows) group by all)
         group by all
     ), random as (
-        select s.* from spans s join (select doc_id, begins, min(total) as least from windows group by all) w using (doc_id, begins)
-        where kind = 'entropy' and not regexp_matches(value, '{secret_scan.ALLOWED}')
-          and not regexp_matches(right(gap, 40), '{_sql_text(secret_scan.ALLOWED_AFTER)}')
-          and least <= round((20 * log2(20) - 20 * case when regexp_matches(value, '^[0-9]+$') then 3.05
-              when regexp_matches(value, '^([0-9a-f]+|[0-9A-F]+)$') then 3.05 when regexp_matches(value, '^[A-Za-z]+$') then 4.0 else 3.8 end) * 1048576)
-          and not exists (from spans b where b.doc_id = s.doc_id and b.rank < 3 and b.begins < s.ends and s.begins < b.ends)
+        select distinct doc_id, begins, ends from counted
+        where total <= round((20 * log2(20) - 20 * case when regexp_matches(own, '^([0-9a-f]+|[0-9A-F]+)$') then {secret_scan.HEX_BITS}
+              when regexp_matches(own, '^[A-Za-z]+$') then {secret_scan.LETTER_BITS} else {secret_scan.MIXED_BITS} end) * 1048576)
     ), listed as (
         select doc_id, rank, kind, begins, kind || ':' || begins || ':' || ends as span from spans where rank < 3
-        union all select doc_id, rank, kind, begins, kind || ':' || begins || ':' || ends from random
+        union all select doc_id, 3, 'entropy', begins, 'entropy:' || begins || ':' || ends from random
     )
     select doc_id, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access,
            count(*) filter (kind = 'hex') as n_hex, count(*) filter (kind = 'entropy') as n_entropy,

@@ -1,12 +1,12 @@
 """Secrets in texts: known shapes, and entropy for the unknown ones. DataFrame functions only.
 
 Base kinds are found by their patterns. Other long strings of token characters are
-candidates, and so is what base spans leave of them: a window slides over each, Shannon
-entropy is kept up by the counts of the character that enters and the one that leaves,
-and a candidate is a secret if any window reaches the bound of the candidate's character
-class, or, within a run of digits or hex digits, the bound of these. So a name joined to
-a key by one of the candidate's characters doesn't hide it. Names, checksums and
-placeholders on the allow-list aren't secrets.
+candidates, and so is what base spans leave of them. A window slides over a candidate; Shannon
+entropy and the window's character class are kept up by the counts of the character that
+enters and the one that leaves, and a candidate is a secret if any window reaches
+the bound of its class. Windows lie beside what is on the allow-list, not over it: plain
+words between separators, identifiers, checksums with their names and sequences typed
+by hand cut a candidate, and hide nothing that stands beside them.
 """
 
 from __future__ import annotations
@@ -32,39 +32,56 @@ ASSIGNED = 6
 
 WINDOW = 20
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-#: Character classes, tried in this order, and the entropy in bits a character that a window must reach.
-CLASSES = [("^[0-9]+$", 3.05), ("^(?:[0-9a-f]+|[0-9A-F]+)$", 3.05), ("^[A-Za-z]+$", 4.0), ("^", 3.8)]
-#: Runs within a candidate whose windows have the bound of digits and hex digits, whatever stands beside them.
-RUNS = (f"[0-9a-f]{{{WINDOW},}}", f"[0-9A-F]{{{WINDOW},}}")
-RUN_BITS = 3.05
+#: Entropy in bits a character that a window must reach: of digits and hex digits of one case, of letters, of anything.
+HEX_BITS, LETTER_BITS, MIXED_BITS = 3.05, 4.0, 3.8
 #: Entropies are compared as whole numbers: c * log2(c) in units of 2^-20 bits.
 UNIT = 1 << 20
 TERMS = [0, *[round(c * log2(c) * UNIT) for c in range(1, WINDOW + 1)], 0]
 
-#: Strings that look random and aren't secrets, by their shape or by what stands before them.
-ALLOWED = (
-    r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
-    r"|example|placeholder|changeme|your[-_]?(?:key|token|secret)|xxxx|abcdefgh|01234567|12345678|qwerty"
-    r"|^[A-Za-z]+(?:[-_/][A-Za-z]+)+$"
-)
+# What looks random, or stands beside what does, and is no secret.
 CHECKSUMS = "sha-?(?:1|224|256|384|512)|md5|checksum|digest|integrity|commit|revision|etag|fingerprint"
+#: By what stands before the candidate.
 ALLOWED_AFTER = rf"(?i)(?:{CHECKSUMS})[\s\"'=:(-]*$|[a-z]://$|data:[a-z/+-]+;base64,$"
-#: A checksum with its name in the same candidate.
-NAMED_CHECKSUM = f"(?i)((?:{CHECKSUMS})[=/_-]+)[0-9a-f]+"
+#: Parts of a candidate: identifiers, checksums with their name, sequences.
+ALLOWED_PARTS = (
+    "[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}",
+    f"(?i)(?:{CHECKSUMS})[=/_-]+[0-9a-f]+",
+    "(?i)0123456789?0?|123456789?0?|abcdefgh[i-z]*|qwerty[a-z]*|x{4,}",
+)
+SEPARATORS = "=_/-"
+#: A word of one case, or with a capital, between separators.
+WORD = " (?:[a-z]{1,15}|[A-Z]{1,15}|[A-Z][a-z]{1,14}) "
+#: Keys that documentation uses.
+DOCUMENTED = "EXAMPLE(?:KEY)?$"
 
 
 def least_sum(value: Column) -> Column:
     """The least sum of c * log2(c) over the characters' counts c in any window: that of the window of most entropy."""
+    return _slid(value)["least"]
+
+
+def _slid(value: Column) -> Column:
+    """least, and hit: whether any window has the entropy of its class."""
     once = F.array(F.split(value, ""))  # bound to a variable below: a long value isn't split anew at every step
-    return F.element_at(F.transform(once, _least_sum), 1)
+    return F.element_at(F.transform(once, _windows), 1)
+
+
+def _allowed_sum(bits: float) -> Column:
+    """The sum of terms at or below which a window has so many bits."""
+    return F.lit(round((WINDOW * log2(WINDOW) - WINDOW * bits) * UNIT))
 
 
-def _least_sum(chars: Column) -> Column:
+#: Last place in ALPHABET of capitals A-F and others, small letters a-f and others, digits, and the rest.
+_GROUPS = (("upper_hex", 6), ("upper", 26), ("lower_hex", 32), ("lower", 52), ("digit", 62), ("sign", len(ALPHABET)))
+
+
+def _windows(chars: Column) -> Column:
     place = lambda i: F.instr(F.lit(ALPHABET), F.element_at(chars, i))
     term = lambda c: F.element_at(F.lit(TERMS), c + 1)
     start = F.struct(
-        F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"), F.lit(0).cast("long").alias("sum"), F.lit(1 << 40).cast("long").alias("least")
-    )
+        F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"), F.lit(0).cast("long").alias("sum"), F.lit(1 << 40).cast("long").alias("least"),
+        F.lit(False).alias("hit"), *[F.lit(0).alias(g) for g, _ in _GROUPS],
+    )
 
     def step(a: Column, i: Column) -> Column:
         enters = place(i)
@@ -77,37 +94,42 @@ def _least_sum(chars: Column) -> Column:
             F.transform(a["counts"], lambda c, k: c + F.when(k + 1 == enters, 1).when(k + 1 == leaves, -1).otherwise(0))
         )
         least = F.when(i >= WINDOW, F.least(a["least"], total)).otherwise(a["least"])
-        return F.struct(counts.alias("counts"), total.cast("long").alias("sum"), least.cast("long").alias("least"))
-
-    return F.aggregate(F.sequence(F.lit(1), F.size(chars)), start, step, lambda a: a["least"])
-
+        groups, low = {}, 0
+        for g, high in _GROUPS:
+            within = lambda x, low=low, high=high: ((x > low) & (x <= high)).cast("int")
+            groups[g], low = a[g] + within(enters) - within(leaves), high
+        hex_digits = (groups["upper"] + groups["lower"] + groups["sign"] == 0) & ((groups["upper_hex"] == 0) | (groups["lower_hex"] == 0))
+        letters = groups["digit"] + groups["sign"] == 0
+        bound = F.when(hex_digits, _allowed_sum(HEX_BITS)).when(letters, _allowed_sum(LETTER_BITS)).otherwise(_allowed_sum(MIXED_BITS))
+        hit = a["hit"] | ((i >= WINDOW) & (total <= bound))
+        return F.struct(
+            counts.alias("counts"), total.cast("long").alias("sum"), least.cast("long").alias("least"), hit.alias("hit"), *[c.alias(g) for g, c in groups.items()]
+        )
 
-def _allowed_sum(bits: float) -> Column:
-    return F.lit(round((WINDOW * log2(WINDOW) - WINDOW * bits) * UNIT))
+    return F.aggregate(F.sequence(F.lit(1), F.size(chars)), start, step, lambda a: F.struct(a["least"].alias("least"), a["hit"].alias("hit")))
 
 
-def most_allowed_sum(value: Column) -> Column:
-    """The sum of terms at or below which a window has the entropy of the whole value's class."""
-    out: Column | None = None
-    for pattern, bits in reversed(CLASSES):
-        bound = _allowed_sum(bits)
-        out = bound if out is None else F.when(value.rlike(pattern), bound).otherwise(out)
-    return out
+def judged(value: Column) -> Column:
+    """The pieces of a candidate that the allow-list leaves, of WINDOW characters or more, without separators at their ends."""
+    for part in ALLOWED_PARTS:
+        value = F.regexp_replace(value, part, "!")
+    spaced = F.concat(F.lit(" "), F.regexp_replace(value, f"([!{SEPARATORS}])", " $1 "), F.lit(" "))  # a word has both of its spaces for itself
+    left = F.replace(F.regexp_replace(spaced, WORD, "!"), F.lit(" "), F.lit(""))
+    pieces = F.transform(F.split(left, "!"), lambda p: F.btrim(p, F.lit(SEPARATORS)))
+    return F.filter(pieces, lambda p: F.char_length(p) >= WINDOW)
 
 
 def is_random(value: Column) -> Column:
-    """Whether a window reaches the bound of the value's class, or one within a run, named checksums apart, that of RUNS."""
-    rest = F.regexp_replace(value, NAMED_CHECKSUM, "$1")
-    runs = F.concat(*[F.regexp_extract_all(rest, F.lit(r), F.lit(0)) for r in RUNS])
-    return (least_sum(value) <= most_allowed_sum(value)) | F.exists(runs, lambda r: least_sum(r) <= _allowed_sum(RUN_BITS))
+    """Whether a window of what the allow-list leaves of a candidate has the entropy of its class."""
+    return ~value.rlike(DOCUMENTED) & F.exists(judged(value), lambda p: _slid(p)["hit"])
 
 
 def _parts(s: Column, taken: Column) -> Column:
     """What the ``taken`` spans, sorted by start, leave of a candidate, in pieces of WINDOW characters or more."""
     own = lambda a, b, ahead: F.struct(
-        a.alias("start"), b.alias("end"), F.substring(s["value"], a - s["start"] + 1, b - a).alias("value"), ahead.alias("ahead"), F.lit(True).alias("cut")
+        a.alias("start"), b.alias("end"), F.substring(s["value"], a - s["start"] + 1, b - a).alias("value"), ahead.alias("ahead")
     )
-    whole = F.struct(s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), s["ahead"].alias("ahead"), F.lit(False).alias("cut"))
+    whole = F.struct(s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), s["ahead"].alias("ahead"))
     touching = F.filter(taken, lambda x: (x["start"] < s["end"]) & (s["start"] < x["end"]))
     end = F.struct(s["end"].alias("start"), s["end"].alias("end"))
 
@@ -139,8 +161,7 @@ def with_secrets(docs: DataFrame, name: str, text: str = "text") -> DataFrame:
     parts = F.flatten(F.transform(names["entropy"], lambda s: _parts(s, F.col(taken))))
 
     def secret(s: Column) -> Column:
-        named = F.when(s["cut"], F.btrim(s["value"], F.lit("+/_=-"))).otherwise(s["value"])
-        return ~named.rlike(ALLOWED) & ~s["ahead"].rlike(ALLOWED_AFTER) & is_random(s["value"])
+        return ~s["ahead"].rlike(ALLOWED_AFTER) & is_random(s["value"])
 
     whole = whole.withColumn(names["entropy"], F.filter(parts, secret))
     whole = whole.withColumn(name, listed({k: F.col(names[k]) for k in KINDS}))
