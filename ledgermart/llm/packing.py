@@ -2,9 +2,9 @@
 
 Pieces of one length are interchangeable, so the plan is made from counts by length
 alone: at most ``capacity`` numbers, whatever the input. Exact-complement hashing
-comes first: sums of one, two and three lengths are indexed, and for each length, the
+comes first: the sums that one, two and three lengths make are indexed, and for each length, the
 longest first, combinations that fill its gap exactly are consumed as long as their
-counts last. What is left is packed best-fit, longest first. The plan says where the
+counts last; the index follows the counts. What is left is packed best-fit, longest first. The plan says where the
 r-th piece of each length goes; pieces are numbered within their length and placed
 where they are, side by side.
 """
@@ -86,41 +86,70 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity
     return docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(work, declared)
 
 
-def _fill(gap: int, counts: np.ndarray, most: int) -> tuple[int, ...] | None:
-    """At most ``most`` (up to three) lengths still there whose sum is the gap; the most plentiful pair where there are several."""
-    if most and counts[gap]:
-        return (gap,)
-    if most < 2:
-        return None
+class Sums:
+    """Lengths still there, with an index of the sums that one, two or three of them make.
+
+    ``pairs`` has for each sum how many pairs of lengths make it; it is kept up as lengths run
+    out or come back. A third length reaches the sums that it and an indexed pair make.
+    """
 
-    def pair(total: int) -> tuple[int, int] | None:
+    def __init__(self, counts: np.ndarray):
+        self.counts = counts
+        there = (counts > 0).astype(np.int64)
+        both = np.convolve(there, there)[: len(counts)]  # each pair twice, and each length with itself
+        both[::2] -= there[: len(both[::2])]
+        self.pairs = both // 2
+        self.pairs[::2] += (counts >= 2)[: len(self.pairs[::2])]
+
+    def change(self, length: int, by: int) -> None:
+        """``by`` more (or fewer) pieces of a length."""
+        before = int(self.counts[length])
+        now = self.counts[length] = before + by
+        double = 2 * length
+        if double < len(self.pairs):
+            self.pairs[double] += int(now >= 2) - int(before >= 2)
+        if (now > 0) != (before > 0):
+            partners = np.flatnonzero(self.counts[: len(self.counts) - length])
+            self.pairs[length + partners[partners != length]] += 1 if now else -1
+
+    def pair(self, total: int) -> tuple[int, int] | None:
+        """The most plentiful pair that makes the sum."""
+        if not self.pairs[total]:
+            return None
         x = np.arange(1, total // 2 + 1)
-        both = np.minimum(counts[x], counts[total - x])
-        if total % 2 == 0 and len(both):
-            both[-1] = counts[total // 2] // 2
-        return (int(x[i]), total - int(x[i])) if len(both) and both[i := int(both.argmax())] else None
-
-    if found := pair(gap):
-        return found
-    if most < 3:
+        both = np.minimum(self.counts[x], self.counts[total - x])
+        if total % 2 == 0:
+            both[-1] = self.counts[total // 2] // 2
+        first = int(x[both.argmax()])
+        return first, total - first
+
+    def triple(self, total: int) -> tuple[int, int, int] | None:
+        """The longest length that an indexed pair completes, with that pair."""
+        firsts = np.flatnonzero((self.counts[1:total] > 0) & (self.pairs[total - 1 : 0 : -1] > 0)) + 1
+        for z in firsts[::-1].tolist():
+            self.change(z, -1)  # the pair can't take the same piece
+            found = self.pair(total - z)
+            self.change(z, 1)
+            if found:
+                return z, *found
         return None
-    for z in np.flatnonzero(counts[:gap])[::-1].tolist():
-        counts[z] -= 1
-        found = pair(gap - z)
-        counts[z] += 1
-        if found:
-            return (z, *found)
-    return None
+
+    def fill(self, gap: int, most: int) -> tuple[int, ...] | None:
+        """At most ``most`` (up to three) lengths still there whose sum is the gap."""
+        found = (gap,) if self.counts[gap] else None
+        if found is None and most >= 2:
+            found = self.pair(gap)
+        return self.triple(gap) if found is None and most >= 3 else found
 
 
 def plan(counts_by_length: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
     """Patterns of lengths with how many sequences each makes up; all pieces are used.
 
     Exact fills spend short pieces, which long ones may need more where they are scarce;
-    so plans with sums of up to three, two, one and no lengths are made, and one with
-    the fewest sequences is taken, the first of equals.
+    so plans with sums of up to three, two and one lengths are made, and one with the
+    fewest sequences is taken, the first of equals.
     """
-    return min((_plan(counts_by_length, capacity, most) for most in (3, 2, 1, 0)), key=lambda p: sum(n for _, n in p))
+    return min((_plan(counts_by_length, capacity, most) for most in (3, 2, 1)), key=lambda p: sum(n for _, n in p))
 
 
 def _plan(counts_by_length: dict[int, int], capacity: int, most: int) -> list[tuple[tuple[int, ...], int]]:
@@ -129,19 +158,21 @@ def _plan(counts_by_length: dict[int, int], capacity: int, most: int) -> list[tu
         counts[length] = n
     done = [((capacity,), int(counts[capacity]))]
     counts[capacity] = 0
-    rest = np.zeros_like(counts)
+    rest, sums = np.zeros_like(counts), Sums(counts)
     for length in range(capacity - 1, 0, -1):
-        while counts[length]:
-            counts[length] -= 1  # one is the piece whose gap is filled
-            fill = _fill(capacity - length, counts, most)
-            counts[length] += 1
+        while n := int(counts[length]):
+            sums.change(length, -1)  # one is the piece whose gap is filled
+            fill = sums.fill(capacity - length, most)
+            sums.change(length, 1)
             if fill is None:
-                rest[length], counts[length] = counts[length], 0
+                rest[length] = n
+                sums.change(length, -n)
                 break
             pattern = (length, *fill)
             lengths, uses = np.unique(pattern, return_counts=True)
             times = int((counts[lengths] // uses).min())
-            counts[lengths] -= times * uses
+            for own, each in zip(lengths.tolist(), uses.tolist()):
+                sums.change(own, -times * each)
             done.append((pattern, times))
     # best fit on what is left: open sequences by gap, alike ones counted
     opened: dict[int, dict[tuple[int, ...], int]] = {}

@@ -105,3 +105,25 @@ def test_exact_fills_come_first():
     counts = {n: rng.randrange(1, 300) for n in range(1, 2049)}
     least = max(-(-sum(length * n for length, n in counts.items()) // 2048), sum(n for length, n in counts.items() if length > 1024))
     assert sum(n for _, n in packing.plan(counts)) <= 1.02 * least
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 30), st.integers(0, 4), max_size=30), st.lists(st.tuples(st.integers(1, 30), st.integers(-3, 3)), max_size=25))
+def test_index_has_the_sums_of_what_is_there(counts, changes):
+    own = np.zeros(41, dtype=np.int64)
+    for length, n in counts.items():
+        own[length] = n
+    sums = packing.Sums(own)
+    for length, by in changes:
+        if own[length] + by >= 0:
+            sums.change(length, by)
+    there = [n for n in range(41) if own[n]]
+    pairs = [(a, b) for a in there for b in there if a < b or a == b and own[a] >= 2]
+    for total in range(1, 41):
+        assert sums.pairs[total] == sum(a + b == total for a, b in pairs), total
+        fits = lambda found, size: found is None or len(found) == size and sum(found) == total and all(own[x] >= found.count(x) for x in found)
+        two, three = sums.pair(total), sums.triple(total)
+        assert fits(two, 2) and (two is None) == (sums.pairs[total] == 0)
+        triples = [(a, b, c) for a, b in pairs for c in there if a + b + c == total and own[c] >= 1 + (a, b).count(c)]
+        assert fits(three, 3) and (three is None) == (not triples)
+        assert sums.fill(total, 1) == ((total,) if own[total] else None)
