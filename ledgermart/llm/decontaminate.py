@@ -8,21 +8,27 @@ hits cover too much of it is contaminated and goes as a whole.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from ledgermart.llm.common import free_name, utf8
+from ledgermart.llm.common import free_name, utf8, written
 
 WINDOW = 13
 #: A document is contaminated from this share of hit words on, as (numerator, denominator).
 COVERAGE = (1, 20)
-#: Items are taken in blocks of at most so many words (or of one item); each block is one automaton and one broadcast.
+#: Items are taken in blocks of about so many words (and of whole items); each block is one automaton and one broadcast.
 BLOCK_WORDS = 200_000
+#: Buckets in which items are numbered side by side.
+BUCKETS = 64
 
 #: Bytes to words: A-Z in lower case, other ASCII that is neither digit nor letter to spaces.
 _AS_WORDS = bytes(
@@ -64,7 +70,7 @@ class Automaton:
 
     @classmethod
     def of(cls, parts: dict) -> Automaton:
-        """An automaton from the vars() of another; broadcasts carry these, which need no class to be read."""
+        """An automaton from the vars() of another; these are what is pickled, which needs no class to be read."""
         made = cls.__new__(cls)
         made.__dict__ = parts
         return made
@@ -152,38 +158,123 @@ class Automaton:
         return np.cumsum(hit)[:-1] > 0, found, longest
 
 
-def item_blocks(items: DataFrame, item_id: str = "item_id", text: str = "text", block_words: int = BLOCK_WORDS) -> Iterator[list[tuple[str | None, list[bytes]]]]:
-    """Items as (id, words) in blocks within ``block_words``; the driver holds one block and one partition at a time."""
-    block, size = [], 0
-    for row in items.select(F.col(item_id).cast("string").alias("i"), F.col(text).alias("t")).toLocalIterator():
-        words = words_of(row["t"])
-        if block and size + len(words) > block_words:
-            yield block
-            block, size = [], 0
-        if words:
-            block.append((row["i"], words))
-            size += len(words)
-    if block:
-        yield block
+def item_blocks(items: DataFrame, item_id: str = "item_id", text: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(block, automaton), written: blocks of about ``block_words`` words, numbered from 0, each with its pickled automaton.
+
+    A block begins with the item that reaches a multiple of ``block_words`` in the running
+    count of words, so it holds fewer words than that and one item more.
+    """
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = pa.array([len(words_of(t.as_py())) for t in batch.column(1)], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, sizes], names=["item", "text", "n"])
+
+    def build(block: pa.Table) -> pa.Table:
+        own = [(i, words_of(t)) for i, t in zip(block.column("item").to_pylist(), block.column("text").to_pylist())]
+        made = pickle.dumps(vars(Automaton(own, window)), pickle.HIGHEST_PROTOCOL)
+        return pa.table({"block": block.column("block").slice(0, 1), "automaton": pa.array([made], pa.binary())})
+
+    named = items.select(F.col(item_id).cast("string").alias("item"), F.col(text).cast("string").alias("text"))
+    sized = named.mapInArrow(counted, "item string, text string, n long").filter("n > 0").withColumn("bucket", F.pmod(F.xxhash64("item", "text"), F.lit(BUCKETS)))
+    sized = written(sized, "items")
+    sums = sized.groupBy("bucket").agg(F.sum("n").alias("n"))  # at most BUCKETS rows
+    ahead = sums.select("bucket", F.coalesce(F.sum("n").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("ahead"))
+    own = Window.partitionBy("bucket").orderBy("item", "text").rowsBetween(Window.unboundedPreceding, -1)
+    running = F.coalesce(F.sum("n").over(own), F.lit(0)) + F.col("ahead")
+    dealt = sized.join(F.broadcast(ahead), "bucket").withColumn("place", F.floor(running / block_words).cast("long"))
+    blocks = dealt.select("item", "text", F.col("place").alias("block")).groupBy("block").applyInArrow(build, "block long, automaton binary")
+    return written(blocks, "automata")
+
+
+def _ready(shared: Broadcast) -> Automaton:
+    """The automaton of a broadcast, made once by each Python worker."""
+    if not hasattr(shared, "automaton"):
+        shared.automaton = Automaton.of(pickle.loads(shared.value))
+    return shared.automaton
+
+
+def _spans(hit: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.diff(np.concatenate(([False], hit, [False])).astype(np.int8))).astype(np.int32)
+
+
+_FOUND = "n_words int, starts array<int>, ends array<int>, items array<string>, longest int, left string"
+
+
+def _one_pass(shared: Broadcast, cut: bool):
+    """A function of text that gives what the automaton finds."""
+
+    def found(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        scan = _ready(shared).scan
+        for texts in batches:
+            yield _as_found((text, words, *scan(words)) for text, words in ((t, words_of(t)) for t in texts))
+
+    def _as_found(scanned) -> pd.DataFrame:
+        rows = []
+        for text, words, hit, items, longest in scanned:
+            edges = _spans(hit)
+            left = _without(text, edges) if cut and len(edges) else None
+            rows.append((len(words), edges[::2], edges[1::2], sorted(items, key=lambda i: (i is None, i)), longest, left))
+        return pd.DataFrame(rows, columns=["n_words", "starts", "ends", "items", "longest", "left"])
+
+    return F.pandas_udf(found, _FOUND)
 
 
-def _pass(automaton, cut: bool):
-    """A function of (text, starts, ends, items, longest so far) that adds what one automaton finds."""
+def _merged(cut: bool):
+    """A function of text and what the passes have found in it, as one finding."""
 
-    def found(texts: pd.Series, before: pd.DataFrame) -> pd.DataFrame:
+    def found(texts: pd.Series, starts: pd.Series, ends: pd.Series, items: pd.Series, longest: pd.Series) -> pd.DataFrame:
         rows = []
-        scan = Automaton.of(automaton.value).scan
-        for text, starts, ends, items, longest in zip(texts, before["starts"], before["ends"], before["items"], before["longest"]):
+        for text, a, b, own, far in zip(texts, starts, ends, items, longest):
             words = words_of(text)
-            hit, own, far = scan(words)
-            for a, b in zip(starts, ends):
-                hit[a:b] = True
-            edges = np.flatnonzero(np.diff(np.concatenate(([False], hit, [False])).astype(np.int8))).astype(np.int32)
+            hit = np.zeros(len(words), dtype=bool)
+            for x, y in zip(*(([] if s is None else s) for s in (a, b))):
+                hit[x:y] = True
+            edges = _spans(hit)
             left = _without(text, edges) if cut and len(edges) else None
-            rows.append((len(words), edges[::2], edges[1::2], sorted({*items, *own}, key=lambda i: (i is None, i)), max(far, longest), left))
+            named = set() if own is None else set(own)
+            rows.append((len(words), edges[::2], edges[1::2], sorted(named, key=lambda i: (i is None, i)), 0 if pd.isna(far) else int(far), left))
         return pd.DataFrame(rows, columns=["n_words", "starts", "ends", "items", "longest", "left"])
 
-    return F.pandas_udf(found, "n_words int, starts array<int>, ends array<int>, items array<string>, longest int, left string")
+    return F.pandas_udf(found, _FOUND)
+
+
+def _pass_by_pass(docs: DataFrame, automata: DataFrame, blocks: list[int], name: str, text: str, cut: bool) -> DataFrame:
+    """One pass for each block over the written documents, each leaving what it found; the findings of a row are put together."""
+    spark = docs.sparkSession
+    row = free_name(docs, "row_number")
+    base = written(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
+    passes: DataFrame | None = None
+    for block in blocks:
+        shared = spark.sparkContext.broadcast(_automaton(automata, block))
+
+        def scanned(batches: Iterator[pa.RecordBatch], shared: Broadcast = shared) -> Iterator[pa.RecordBatch]:
+            scan = _ready(shared).scan
+            for batch in batches:
+                rows = []
+                for at, t in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    hit, items, longest = scan(words_of(t.as_py()))
+                    if longest:
+                        edges = _spans(hit).tolist()
+                        rows.append((at, edges[::2], edges[1::2], list(items), longest))
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["row", "starts", "ends", "items", "longest"])
+
+        kinds = [pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.string()), pa.int32()]
+        own = base.select(row, text).mapInArrow(scanned, "row long, starts array<int>, ends array<int>, items array<string>, longest int")
+        own = written(own, "hits")
+        shared.unpersist()
+        passes = own if passes is None else passes.unionByName(own)
+    lists = [F.flatten(F.collect_list(c)).alias(c) for c in ("starts", "ends", "items")]  # at most an entry for each block
+    found = passes.groupBy(F.col("row").alias(row)).agg(*lists, F.max("longest").alias("longest"))
+    parts = free_name(base, "parts")
+    joined = base.join(found.select(row, F.struct("starts", "ends", "items", "longest").alias(parts)), row, "left")
+    merged = _merged(cut)(F.col(text), *[F.col(parts)[c] for c in ("starts", "ends", "items", "longest")])
+    return joined.withColumn(name, merged).select(*docs.columns, name)
+
+
+def _automaton(automata: DataFrame, block: int) -> bytes:
+    return bytes(automata.filter(F.col("block") == block).first()["automaton"])
 
 
 def _without(text: str, edges: np.ndarray) -> str:
@@ -203,18 +294,15 @@ def with_hits(docs: DataFrame, items: DataFrame, name: str, text: str = "text",
 
     ``left`` is the text without its hit spans where it has any and ``cut`` is set.
     Null and empty texts have no words. Items without words match nothing; repeated
-    items count once by id, and those without id as one, whose id is null. Each block of items is one pass over the texts.
+    items count once by id, and those without id as one, whose id is null. Each block of items
+    is one pass over the texts; where there are several, the documents are written once before.
     """
-    none = F.array().cast("array<int>")
-    start = F.struct(none.alias("starts"), none.alias("ends"), F.array().cast("array<string>").alias("items"), F.lit(0).alias("longest"))
-    found: Column | None = None
-    sc = docs.sparkSession.sparkContext
-    blocks = [sc.broadcast(vars(Automaton(b, window))) for b in item_blocks(items, item_id, item_text, block_words)]
-    for automaton in blocks or [sc.broadcast(vars(Automaton([], window)))]:
-        before = start if found is None else F.struct(*[docs[name][c].alias(c) for c in ("starts", "ends", "items", "longest")])
-        found = _pass(automaton, cut)(F.col(text), before)
-        docs = docs.withColumn(name, found)
-    return docs
+    automata = item_blocks(items, item_id, item_text, window, block_words)
+    blocks = sorted(r["block"] for r in automata.select("block").collect())  # numbers only
+    if len(blocks) > 1:
+        return _pass_by_pass(docs, automata, blocks, name, text, cut)
+    made = _automaton(automata, blocks[0]) if blocks else pickle.dumps(vars(Automaton([], window)))
+    return docs.withColumn(name, _one_pass(docs.sparkSession.sparkContext.broadcast(made), cut)(F.col(text)))
 
 
 def measures(found: Column, coverage: tuple[int, int] = COVERAGE) -> dict[str, Column]:

@@ -1,4 +1,5 @@
 import hashlib
+import pickle
 import random
 import re
 
@@ -38,7 +39,7 @@ def plain(items, text):
 COLUMNS = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
-@pytest.mark.parametrize("block_words", [40, 200_000])
+@pytest.mark.parametrize("block_words", [50, 200_000])
 def test_random_items_equal_brute_force(spark, block_words):
     rng = random.Random(4)
     words = [f"w{i}" for i in range(12)] + ["É", "日本"]
@@ -111,3 +112,23 @@ def test_items_without_id_are_hits_as_in_the_query(spark, block_words):
     assert [r[2:4] for r in sorted(want)] == [(14, 1), (30, 2), (15, 1), (0, 0), (0, 0), (13, 1)]
     kept = dict(collected(decontaminate.decontaminate(texts(spark, docs), benchmark, block_words=block_words), "doc_id", "text"))
     assert kept == {4: "d0 d2", 5: None, 6: passage("clean", 400) + " "}
+
+
+def test_blocks_are_numbered_by_running_word_counts(spark):
+    items = spark.createDataFrame([(i, " ".join(f"w{i}x{j}" for j in range(i % 7))) for i in range(60)] + [(100, "big " * 90)], "item_id long, text string")
+    blocks = decontaminate.item_blocks(items, block_words=30).collect()
+    made = [decontaminate.Automaton.of(pickle.loads(bytes(b["automaton"]))) for b in blocks]
+    assert len(blocks) == len({b["block"] for b in blocks}) >= 6
+    assert sum(len(m.ids) for m in made) == sum(i % 7 for i in range(60)) + 1
+    assert all(len(m.ids) <= 30 + 90 for m in made)
+    assert decontaminate.item_blocks(items.filter("item_id % 7 = 0 and item_id < 100")).count() == 0
+
+
+def test_several_blocks_keep_rows_columns_and_cuts(spark):
+    passages = [" ".join(f"p{k}x{i}" for i in range(20)) for k in range(6)]
+    items = spark.createDataFrame(list(enumerate(passages)), "item_id long, text string")
+    filler = " ".join(f"clean{i}" for i in range(900))
+    docs = clashing(texts(spark, [(1, f"{passages[0]} {filler}, {passages[4]}!"), (1, f"{passages[0]} {filler}, {passages[4]}!"), (2, None), (3, passages[2]), (None, filler)]))
+    kept = decontaminate.decontaminate(docs, items, block_words=25)
+    assert kept.dtypes == docs.dtypes
+    assert sorted(collected(kept, "doc_id", "text"), key=repr) == sorted([(1, f" {filler}, !")] * 2 + [(2, None), (None, filler)], key=repr)
