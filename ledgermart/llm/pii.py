@@ -1,8 +1,8 @@
 """Personal data by weak supervision. DataFrame functions only.
 
 Patterns give candidate spans. Labelers vote on each: its shape (does the rule of its
-kind hold), gazetteers (known domains, issuers, country codes, reserved ranges) and its
-context (cue words before it, what touches it). They may abstain. Expectation-maximisation over
+kind hold), gazetteers (known domains, issuers, country codes, address ranges, given names), its
+context (cue words and numbers on either side) and its edges (what touches it). They may abstain. Expectation-maximisation over
 the counts of vote patterns estimates each labeler's reliability and gives every pattern a
 probability; a span classifier over the candidates' own features is trained on these.
 Candidates that hold their kind's rule are base spans and always stay; of the others those
@@ -21,30 +21,59 @@ from ledgermart.llm.common import free_name, written
 from ledgermart.llm.spans import joined, listed, masked, with_matches
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-ADDED = ("handle", "iban", "number")
+ADDED = ("handle", "iban", "number", "person")
 KINDS = BASE_KINDS + ADDED
 
+# What stands right before a person's name.
+TITLES = "Mr|Mrs|Ms|Miss|Dr|Prof|Herr|Herrn|Frau|Mme|Monsieur|Madame|Señor|Señora|Sr|Sra|Dear|Liebe|Lieber|Cher|Chère|Querida|Querido"
+FIELDS = "[Nn]ame|[Cc]ustomer|[Pp]atient|[Cc]lient|[Cc]ontact|[Aa]ttn|[Nn]ombre|[Nn]om|[Kk]unde|[Pp]erson"
+
 #: Runs start at their first character or where the match before ended, and give nothing back: same matches, linear time.
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9]){6,}+",  # shorter runs can't hold 14 digits, and aren't numbers to add
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "handle": r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{2,64}+\x20?(?:\(at\)|\[at\])\x20?[a-z0-9-]{2,64}(?:\x20?(?:\.|\(dot\)|\[dot\])\x20?[a-z0-9-]{2,24}){1,4}",
+    "handle": r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{2,}+"
+    r"(?:\x20?(?:\(at\)|\[at\])\x20?[a-z0-9-]{2,}+(?:(?:\.|\x20?(?:\(dot\)|\[dot\])\x20?)[a-z0-9-]{2,}+)++|\x20at\x20[a-z0-9-]{2,}+(?:\x20dot\x20[a-z0-9-]{2,}+)++)",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "person": rf"(?<=\b(?:{TITLES})\.?\x20|\b(?:{FIELDS})\x20?[:=]\x20?)\p{{Lu}}\p{{Ll}}++(?:[\x20-]\p{{Lu}}\p{{Ll}}++){{1,3}}+",
 }
 
 #: The gazetteers, and cue words by kind.
 DOMAIN_ENDS = "com|net|org|edu|gov|info|biz|io|de|fr|es|it|nl|uk|ch|at|pt|pl|eu|us|ca|au|jp|cn|in|br|mx|ru"
 RESERVED_IPS = r"^(?:0|10|127|255|169\.254|192\.168|172\.(?:1[6-9]|2[0-9]|3[01]))\."
+#: First numbers that are given out, and four small numbers as versions have them.
+PUBLIC_IPS = r"^(?:[1-9]|[1-9][0-9]|1[0-9]{2}|2[01][0-9]|22[0-3])\."
+VERSION_LIKE = r"^[0-9]\.[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{1,2}$"
 ISSUERS = "^(?:4|5[1-5]|2[2-7]|3[47]|36|38|6011|65)"
 COUNTRY_CODES = r"^\+(?:1|7|20|27|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
 IBAN_COUNTRIES = "^(?:AT|BE|CH|DE|DK|ES|FI|FR|GB|IE|IT|LU|NL|NO|PL|PT|SE)"
-CUES = (
-    r"(?i)\b(?:e-?mail|mail|contact|write|phone|telephone|tel|tél|call|mobile|cell|fax|handy|telefon|teléfono|card|visa|mastercard|amex|karte|carte|tarjeta"
-    r"|ip|address|host|client|account|iban|konto|compte|cuenta|ssn|passport|customer|name)\b[^\n]{0,20}$"
+_CUE = (
+    "e-?mail|mail|contact|write|phone|telephone|tel|tél|call|mobile|cell|fax|handy|telefon|teléfono|card|visa|mastercard|amex|karte|carte|tarjeta"
+    "|ip|address|host|client|account|iban|konto|compte|cuenta|ssn|passport|customer|name|dear|mr|mrs|ms|dr|herr|frau|mme|señor|señora|reach|text me|ring"
+)
+_COUNTER_CUE = "isbn|issn|doi|version|ver|rev|page|pp|fig|table|section|chapter|order|invoice|sku|serial|build|year|no|nr|id|part|item|lot|batch|ticket|total|sum|rows|points"
+CUES = rf"(?i)\b(?:{_CUE})\b[^\n]{{0,20}}$"
+CUES_AFTER = rf"(?i)^[^\n]{{0,12}}\b(?:{_CUE}|lives|born|moved|signed|home|work)\b"
+COUNTER_CUES = rf"(?i)\b(?:{_COUNTER_CUE})\b[^\n]{{0,6}}$"
+COUNTER_CUES_AFTER = rf"(?i)^[^\n]{{0,6}}\b(?:{_COUNTER_CUE}|kg|km|ms|px|eur|usd|gmbh|inc|ltd|street|avenue|university|river|museum|store)\b"
+#: Numbers and signs of calculation, tables and code beside a span.
+FIGURES_AHEAD, FIGURES_AFTER = r"[0-9$%&*#=|/\\]\s*$", r"^\s*[0-9$%&*#=|/\\]"
+
+# Frequent given names, and capitalised words that aren't names.
+GIVEN_NAMES = (
+    "Adam|Alan|Alice|Amy|Ana|Andrea|Andreas|Angela|Anna|Anne|Antonio|Barbara|Ben|Brian|Carla|Carlos|Carmen|Caroline|Charles|Chloe|Christian|Claire|Claudia"
+    "|Daniel|David|Diana|Diego|Elena|Elisabeth|Ella|Emily|Emma|Eric|Erika|Eva|Felix|Fernando|Francisco|Frank|Gabriel|George|Hannah|Hans|Heinz|Helen|Helga"
+    "|Hugo|Ines|Isabel|Jack|James|Jane|Javier|Jean|John|Jonas|Jorge|Jose|Juan|Julia|Karl|Katharina|Klaus|Laura|Lea|Leo|Linda|Lisa|Louis|Lucas|Lucia|Luis"
+    "|Manuel|Marc|Maria|Marie|Mark|Martin|Mary|Max|Michael|Miguel|Monika|Nicolas|Olivia|Pablo|Patricia|Paul|Pedro|Peter|Petra|Philippe|Pierre|Rachel|Robert"
+    "|Rosa|Ruth|Sabine|Sarah|Sofia|Sophie|Stefan|Susan|Sven|Thomas|Tim|Tom|Ursula|Uwe|Victor|Werner|William|Wolfgang"
+)
+NOT_NAMES = (
+    "The|This|That|And|For|With|From|Monday|Tuesday|Wednesday|Thursday|Friday|Saturday|Sunday|January|February|March|April|June|July|August|September|October"
+    "|November|December|Street|Road|Avenue|Strasse|City|County|University|Institute|Company|Support|Service|Team|Department|Office|Center|Museum|Store|Shop|Sales"
+    "|Product|Products|Order|Orders|Settings|Page|Table|Data|Sir|Madam|Customers|Colleagues|Friends|All|New|North|South|East|West|Windows|Server"
 )
-COUNTER_CUES = r"(?i)\b(?:isbn|issn|doi|version|ver|rev|page|pp|fig|table|section|chapter|order|invoice|sku|serial|build|year|no|nr|id)\b[^\n]{0,6}$"
 
 LABELERS = ("shape", "gazetteer", "context", "edge")
 YES, NO, ABSTAIN = 1, 0, 2
@@ -92,7 +121,9 @@ def _gazetteer(kind: str, value: Column) -> Column:
         return _vote(known, ~known)
     if kind == "ip":
         reserved = value.rlike(RESERVED_IPS)
-        return _vote(F.lit(False), reserved)
+        return _vote(value.rlike(PUBLIC_IPS) & ~reserved, reserved | value.rlike(VERSION_LIKE))
+    if kind == "person":
+        return _vote(value.rlike(rf"^(?:{GIVEN_NAMES})\b") & ~value.rlike(rf"\b(?:{NOT_NAMES})\b"), value.rlike(rf"\b(?:{NOT_NAMES})\b"))
     if kind == "phone":
         known = value.rlike(COUNTRY_CODES)
         return _vote(known, ~known)
@@ -105,13 +136,19 @@ def _gazetteer(kind: str, value: Column) -> Column:
 
 def _shape(kind: str, value: Column) -> Column:
     if kind == "card":  # failing ones may be another number of a person: a social security or a local phone number
-        personal = value.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$|^[0-9]{3}[\x20-][0-9]{3}[\x20-][0-9]{4}$")
+        personal = value.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$|^[0-9]{3}[\x20-][0-9]{3}[\x20-][0-9]{4}$|^0[0-9]{2,4}[\x20-][0-9]{3,4}[\x20-]?[0-9]{3,5}$")
         return F.when(holds(kind, value) | personal, YES).otherwise(NO)
+    if kind == "person":
+        return F.when(F.size(F.split(value, "[ -]")) <= 3, YES).otherwise(NO)
     if kind == "iban":
         return F.when(F.char_length(F.regexp_replace(value, " ", "")).between(15, 32), YES).otherwise(NO)
     return F.when(holds(kind, value), YES).otherwise(NO)
 
 
+#: What a span that stands by itself doesn't touch: all but white space, brackets, quotes and marks of a sentence.
+NOT_CALM = r"""[^\s.,;:!?()\[\]"'<>«»]"""
+
+
 def _class(c: Column) -> Column:
     """Of the character next to a span: 0 none, 1 white space, 2 letter or digit, 3 other."""
     return F.when(c == "", 0).when(c.rlike(r"^\s$"), 1).when(c.rlike(r"^[\p{L}\p{N}]$"), 2).otherwise(3)
@@ -121,10 +158,12 @@ def _candidates(kind: str, spans: Column) -> Column:
     """Spans with their votes and features, all small whole numbers."""
 
     def measured(s: Column) -> Column:
-        value, ahead = s["value"], s["ahead"]
+        value, ahead, after = s["value"], s["ahead"], s["after"]
         last = F.substring(ahead, -1, 1)
         touched = (_class(last) == 2) | (_class(s["behind"]) == 2)
-        cue, counter = ahead.rlike(CUES), ahead.rlike(COUNTER_CUES)
+        set_off = ~last.rlike(NOT_CALM) & ~s["behind"].rlike(NOT_CALM)
+        counter = ahead.rlike(COUNTER_CUES) | after.rlike(COUNTER_CUES_AFTER) | ahead.rlike(FIGURES_AHEAD) | after.rlike(FIGURES_AFTER)
+        cue = (ahead.rlike(CUES) | after.rlike(CUES_AFTER)) & ~counter
         digits = F.char_length(digits_of(value))
         groups = F.size(F.split(value, r"[^0-9A-Za-z]+"))
         return F.struct(
@@ -135,7 +174,7 @@ def _candidates(kind: str, spans: Column) -> Column:
             _shape(kind, value).alias("shape"),
             _gazetteer(kind, value).alias("gazetteer"),
             _vote(cue, counter).alias("context"),
-            F.when(touched, NO).otherwise(ABSTAIN).alias("edge"),
+            _vote(set_off, touched).alias("edge"),
             F.least(F.floor(digits / 3), F.lit(7)).cast("int").alias("digits"),
             F.least(groups, F.lit(6)).cast("int").alias("groups"),
             _class(last).alias("ahead"),

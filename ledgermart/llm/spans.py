@@ -14,7 +14,7 @@ from ledgermart.llm.common import free_name
 #: Prefix sums are made in blocks of so many numbers, so that their cost stays near linear.
 BLOCK = 512
 
-#: How much of the text before a span is kept with it.
+#: How much of the text before and after a span is kept with it.
 CONTEXT = 40
 
 
@@ -35,15 +35,15 @@ def before(xs: Column) -> Column:
 
 
 def with_matches(df: DataFrame, text: str, patterns: dict[str, str]) -> DataFrame:
-    """``df`` with an array column of spans for each named pattern: start, end, value, ahead, behind. The text must not be null.
+    """``df`` with an array column of spans for each named pattern: start, end, value, ahead, after, behind. The text must not be null.
 
     A text's parts between matches and the matches themselves give all lengths, and
     their running sums the offsets. ``ahead`` is what stands before the span, CONTEXT
-    characters at most and no further than the match before; ``behind`` is the next
-    character, empty at the end or where the next match begins.
+    characters at most and no further than the match before; ``after`` is the same behind the
+    span, and ``behind`` its first character, empty at the end or where the next match begins.
     """
     gap = lambda g: F.struct(
-        F.char_length(g).alias("n"), F.substring(g, -CONTEXT, CONTEXT).alias("ahead"), F.substring(g, 1, 1).alias("behind")
+        F.char_length(g).alias("n"), F.substring(g, -CONTEXT, CONTEXT).alias("ahead"), F.substring(g, 1, CONTEXT).alias("after")
     )
     for name, pattern in patterns.items():
         matches, gaps, starts = (free_name(df, f"{name}_{x}") for x in ("matches", "gaps", "starts"))
@@ -62,8 +62,9 @@ def _spans(gaps: str, matches: str, starts: str) -> Column:
         gap, match = F.get(gaps, i), F.get(matches, i)
         start = at + gap["n"]
         end = start + F.char_length(match)
-        after = F.get(gaps, i + 1)["behind"]
-        return F.struct(start.alias("start"), end.alias("end"), match.alias("value"), gap["ahead"].alias("ahead"), after.alias("behind"))
+        after = F.get(gaps, i + 1)["after"]
+        behind = F.substring(after, 1, 1)
+        return F.struct(start.alias("start"), end.alias("end"), match.alias("value"), gap["ahead"].alias("ahead"), after.alias("after"), behind.alias("behind"))
 
     return F.transform(starts, span)
 

@@ -5,6 +5,7 @@ import re
 from helpers import clashing, collected, frame, texts
 
 from ledgermart.llm import pii
+from ledgermart.llm.common import read, written
 
 BASE = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -117,3 +118,67 @@ def test_redaction(spark):
 def test_main_path_has_no_python(spark):
     plan = pii.candidates(frame(spark))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas|Exchange", plan)
+
+
+def planted(seed=21):
+    """Texts with personal data that no base pattern has, and with what only looks like it; the spans that are to be added."""
+    rng = random.Random(seed)
+    names = ["Anna Schmidt", "Peter Novak", "Maria Garcia Lopez", "Thomas Becker", "Julia Moreau", "Hans Weber", "Zoltan Kovacs", "Ingrid Olsen"]
+    words = "the of and in green table walks slowly under bright windows while many people talk about small things every day".split()
+    filler = lambda: " ".join(rng.choice(words) for _ in range(rng.randrange(4, 12)))
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    user = lambda: rng.choice(["joe.doe", "ann_lee", "k.miller", "office77"])
+    good = {
+        "person": lambda: (rng.choice(["Mr ", "Frau ", "Dr. ", "name: ", "customer: ", "Dear "]), rng.choice(names), rng.choice([" lives here", ", thanks", ".", " called"])),
+        "handle": lambda: (rng.choice(["write to ", "mail ", "contact "]), rng.choice(["{} (at) mail (dot) com", "{}[at]post.de", "{} at example dot org"]).format(user()), rng.choice([" today", ".", ", please"])),
+        "number": lambda: (rng.choice(["call ", "phone ", "my mobile "]), rng.choice([f"555-{digits(3)}-{digits(4)}", f"030 {digits(3)} {digits(4)}", f"{digits(3)}-{digits(2)}-{digits(4)}"]), rng.choice([" anytime", ".", " at home"])),
+        "iban": lambda: (rng.choice(["IBAN ", "account ", "konto "]), f"DE{digits(2)} {digits(4)} {digits(4)} {digits(4)} {digits(4)} {digits(2)}", rng.choice([" thanks", "."])),
+    }
+    bad = [
+        lambda: ("order no ", digits(13), " total"), lambda: ("serial ", f"{digits(4)}-{digits(4)}-{digits(3)}", " batch"), lambda: ("Dear ", "Sales Team", " page"),
+        lambda: ("version ", f"{rng.randrange(300, 999)}.{digits(2)}.{digits(3)}.{digits(4)}", " build"), lambda: ("isbn ", f"978{digits(10)}", " kg"), lambda: ("Dr. ", "Pepper Store", " street"),
+    ]
+    base = [lambda: ("", f"user{digits(2)}@mail{digits(1)}.example.com", ""), lambda: ("", f"{rng.randrange(11, 120)}.{rng.randrange(256)}.{rng.randrange(256)}.{rng.randrange(256)}", ""), lambda: ("", f"+1 ({digits(3)}) 555-{digits(4)}", "")]
+    rows, wanted, decoys = {}, {}, {}
+    for i in range(900):
+        ahead, value, after = (bad[i % len(bad)] if i % 3 == 0 else good[list(good)[i % 4]] if i % 3 == 1 else base[i // 3 % 3])()
+        head = f"{filler()} {ahead}"
+        rows[i] = f"{head}{value}{after} {filler()}"
+        span = (len(head), len(head) + len(value))
+        if i % 3 == 1:
+            wanted[i] = f"{list(good)[i % 4]}:{span[0]}:{span[1]}"
+        elif i % 3 == 0:
+            decoys[i] = span
+    return rows, wanted, decoys
+
+
+def test_added_spans_have_recall_and_precision(spark):
+    rows, wanted, decoys = planted()
+    added = {}
+    for r in pii.scan(texts(spark, rows.items())).collect():
+        added[r["doc_id"]] = [s for s in r["spans"].split(",") if s.split(":")[0] in pii.ADDED]
+        assert len(added[r["doc_id"]]) == r["n_added"]
+    by_kind = {k: [i for i, s in wanted.items() if s.startswith(k)] for k in pii.ADDED}
+    for kind, own in by_kind.items():
+        assert len(own) > 50
+        assert sum(wanted[i] in added[i] for i in own) >= 0.9 * len(own), (kind, [(rows[i], added[i]) for i in own if wanted[i] not in added[i]][:5])
+    total = sum(map(len, added.values()))
+    right = sum(wanted.get(i) in own for i, own in added.items())
+    assert right >= 0.9 * total, [(rows[i], own) for i, own in added.items() if own and wanted.get(i) not in own][:8]
+    assert len(decoys) == 300 and sum(bool(added[i]) for i in decoys) <= 0.1 * len(decoys)
+
+
+def test_each_labeler_votes_and_learns(spark):
+    rows, _, _ = planted()
+    found = written(pii.candidates(texts(spark, rows.items())), "planted")
+    votes = [s.asDict() for r in found.collect() for s in r["found"]]
+    assert len(votes) >= 700
+    for labeler, share in (("shape", 1.0), ("gazetteer", 0.5), ("context", 0.5), ("edge", 0.8)):
+        assert sum(v[labeler] != pii.ABSTAIN for v in votes) >= share * len(votes), labeler
+        assert {pii.YES, pii.NO} <= {v[labeler] for v in votes} or labeler == "edge"
+    reliable = pii.train(found).reliability
+    assert all(max(pair) > 0.6 for pair in reliable.values()), reliable
+    assert min(reliable["context"]) > 0.6 and min(reliable["shape"]) > 0.5
+    given = written(pii.candidates(read(spark, "/root/testdata/sf0.01", "documents")), "given")
+    votes = [s.asDict() for r in given.collect() for s in r["found"]]
+    assert all(any(v[labeler] != pii.ABSTAIN for v in votes) for labeler in pii.LABELERS)
