@@ -23,8 +23,6 @@ SLOTS = 64
 LANES = 2
 #: Documents in a bucket, about; a task sorts the k-mers of one bucket.
 BUCKET_DOCS = 128
-#: A k-mer's rank in its lane has the hash in the high bits and the place in the text in these low ones.
-PLACE_BITS = 24
 
 
 def words_of(text: Column) -> Column:
@@ -99,21 +97,21 @@ def with_neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     turn = F.row_number().over(Window.partitionBy("number", "bucket", "at", "side").orderBy("place"))
     fact = F.col("side") == 0
     hashed = each.withColumn("hash", F.xxhash64("number", turn))
-    place = F.least(F.col("place"), F.lit((1 << PLACE_BITS) - 1)).cast("long")
-    rank = F.shiftleft(F.shiftrightunsigned("hash", PLACE_BITS + 1), PLACE_BITS).bitwiseOR(place)  # without sign
     dealt = hashed.select(
         "bucket",
         "at",
         "side",
+        "place",
         F.when(fact, F.col("place")).otherwise(F.pmod("hash", F.lit(slots)).cast("int")).alias("slot"),
         F.when(fact, F.lit(0)).otherwise(F.pmod(F.shiftright("hash", 8), F.lit(LANES)).cast("int")).alias("lane"),
-        F.when(fact, F.col("number")).otherwise(rank).alias("rank"),
+        F.when(fact, F.col("number")).otherwise(F.col("hash")).alias("rank"),
     )
-    lanes = [F.min(F.when(F.col("lane") == i, F.col("rank"))).alias(f"lane_{i}") for i in range(LANES)]
+    # a lane's least hash, and where in the text it stands
+    own = lambda i, c: F.when(F.col("lane") == i, F.col(c))
+    lanes = [c for i in range(LANES) for c in (F.min(own(i, "rank")).alias(f"lane_{i}"), F.min_by(own(i, "place"), own(i, "rank")).alias(f"place_{i}"))]
     least = dealt.groupBy("bucket", "at", "side", "slot").agg(*lanes)
-    low = F.lit((1 << PLACE_BITS) - 1)
-    chosen = F.array_compact(F.array(*[F.col(f"lane_{i}") for i in range(LANES)]))
-    ordered = F.array_sort(F.transform(chosen, lambda r: F.struct(r.bitwiseAND(low).alias("place"), F.shiftright(r, PLACE_BITS).alias("hash"))))
+    taken = [F.when(F.col(f"lane_{i}").isNotNull(), F.struct(F.col(f"place_{i}").alias("place"), F.col(f"lane_{i}").alias("hash"))) for i in range(LANES)]
+    ordered = F.array_sort(F.array_compact(F.array(*taken)))
     mixed = F.xxhash64(F.transform(ordered, lambda r: r["hash"])).bitwiseAND(F.lit(0xFFFFFFFF)).bitwiseOR(F.shiftleft(F.col("slot").cast("long"), 32))
     tuples = least.select("bucket", "at", "side", "slot", "lane_0", F.when(~fact, mixed).alias("tuple"))
     used = F.expr("shiftleft(1L, slot)")

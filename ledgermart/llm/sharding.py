@@ -14,10 +14,10 @@ from math import isqrt
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgermart.llm.common import global_rank, order_bounds, written
+from ledgermart.llm.common import free_name, global_rank, order_bounds, written
 
 SHARDS = 16
 SEED = 42
@@ -70,11 +70,20 @@ def assign(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shards:
     null text has none, like an empty one. The law is ``rows``, so grown_shard is null.
     Other columns of ``docs``, whatever their names, aren't read.
     """
-    raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), (F.octet_length(raw) + 1).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"))
+    return _placed(docs.select(*_measured(docs, doc_id, text)), shards, seed)
+
+
+def _measured(docs: DataFrame, doc_id: str, text: str) -> list[Column]:
+    raw = F.coalesce(docs[text], F.lit("")).cast("binary")
+    return [docs[doc_id].cast("long").alias("doc_id"), (F.octet_length(raw) + 1).cast("long").alias("size"), F.crc32(raw).alias("text_crc32")]
+
+
+def _placed(narrow: DataFrame, shards: int, seed: int) -> DataFrame:
+    """``narrow`` (doc_id, size, text_crc32, and what is to be kept) with the places of its rows."""
+    kept = [c for c in narrow.columns if c not in ("doc_id", "size", "text_crc32")]
     narrow = written(narrow, "shard-rows")
     n = narrow.count()
-    ranked = global_rank(narrow, ["doc_id", "size", "text_crc32"], order_bounds(narrow, "doc_id", n), "row_number")
+    ranked = global_rank(narrow, ["doc_id", "size", "text_crc32", *kept], order_bounds(narrow, "doc_id", n), "row_number")
 
     @F.pandas_udf("long")
     def place(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -91,16 +100,19 @@ def assign(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shards:
         F.expr(f"place div {shards}").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
         "row_number",
+        *kept,
     )
 
 
 def write_shards(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", shards: int = SHARDS, seed: int = SEED) -> None:
     """Writes ``docs`` as Parquet folders shard=0, shard=1 and so on.
 
-    A shard's files hold consecutive ranges of slots in their order. doc_id must tell
-    rows apart. Columns named shard or slot are replaced.
+    A shard's files hold consecutive ranges of slots in their order. Rows that share a
+    doc_id, also repeated ones, each have a place of their own: for that ``docs`` are written once with a
+    number, which no result shows. Columns named shard or slot are replaced.
     """
-    places = assign(docs, doc_id, text, shards, seed).select(F.col("doc_id").alias("placed_id"), "shard", "slot")
-    own = docs.drop("shard", "slot")
-    placed = own.join(places, own[doc_id].cast("long").eqNullSafe(F.col("placed_id"))).drop("placed_id")
+    row = free_name(docs, "row")
+    numbered = written(docs.drop("shard", "slot").withColumn(row, F.monotonically_increasing_id()), "shard-documents")
+    places = _placed(numbered.select(*_measured(numbered, doc_id, text), F.col(row).alias("own_row")), shards, seed)
+    placed = numbered.join(places.select(F.col("own_row").alias(row), "shard", "slot"), row).drop(row)
     placed.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

@@ -1,7 +1,9 @@
 import hashlib
 import random
 import re
+import struct
 
+import xxhash
 from helpers import clashing, collected, frame, texts
 
 from ledgermart.llm import fingerprint
@@ -83,3 +85,62 @@ def test_equal_texts_have_equal_fingerprints_and_single_rows_follow_themselves(s
 def test_main_path_has_no_python(spark):
     plan = fingerprint.with_neighbours(frame(spark))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def chained(values, kind):
+    """Spark's hash of several values: each is hashed with the hash before it as seed."""
+    seed = 42
+    for v in values:
+        data = v.encode() if kind == "text" else struct.pack("<q", v)
+        seed = xxhash.xxh64_intdigest(data, seed)
+    return seed
+
+
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def plain_print(text, slots=64, lanes=2):
+    """Order MinHash by its definition: numbered k-mers, the least of each lane of a slot, hashed in text order."""
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
+    grams = [signed(chained(words[i : i + 3], "text")) for i in range(len(words) - 2)]
+    if 0 < len(words) < 3:
+        grams = [signed(chained([" ".join(words)], "text"))]
+    seen, least = {}, {}
+    for place, g in enumerate(grams):
+        seen[g] = seen.get(g, 0) + 1
+        h = signed(xxhash.xxh64_intdigest(struct.pack("<i", seen[g]), xxhash.xxh64_intdigest(struct.pack("<q", g), 42)))
+        at = (h % slots, (h >> 8) % lanes)
+        least[at] = min(least.get(at, (1 << 64, 0)), (h, place))
+    out = []
+    for slot in sorted({s for s, _ in least}):
+        own = sorted((place, h) for (s, _), (h, place) in least.items() if s == slot)
+        out.append(f"{slot:02x}{chained([h for _, h in own], 'long') & 0xFFFFFFFF:08x}")
+    return "".join(out)
+
+
+def test_tuples_equal_the_definition(spark):
+    rng = random.Random(15)
+    made = ["", "one", "one two", "a b c", "é 日本 😀 é 日本 😀", "loop " * 400] + [" ".join(rng.choice(["x", "y", "z", f"w{rng.randrange(90)}"]) for _ in range(n)) for n in (3, 10, 70, 300, 2_000)]
+    got = dict(collected(fingerprint.with_neighbours(texts(spark, enumerate(made))), "doc_id", "fingerprint"))
+    assert got == {i: plain_print(t) for i, t in enumerate(made)}
+
+
+def test_likeness_follows_edit_distance(spark):
+    """The estimator's error: likeness beside the share of k-mers that edits leave, over texts of several lengths."""
+    rng = random.Random(16)
+    rows, kept = [], []
+    for i in range(240):
+        n = rng.choice([60, 200, 800])
+        words = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+        share = rng.choice([0, 0.02, 0.05, 0.1, 0.2])
+        changed = [w if rng.random() >= share else f"e{rng.randrange(10**6)}" for w in words]
+        same = sum(words[j : j + 3] == changed[j : j + 3] for j in range(n - 2)) / (n - 2)
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(changed))]
+        kept.append(same)
+    near = dict(collected(fingerprint.with_neighbours(texts(spark, rows)), "doc_id", "near_next"))
+    got = [near[2 * i] for i in range(240)]
+    # two lanes' k-mers must both be left; a replaced one also takes places of others
+    expected = [((k / (2 - k)) ** 2) for k in kept]
+    errors = [abs(a - b) for a, b in zip(got, expected)]
+    assert sum(errors) / len(errors) < 0.08 and sorted(errors)[int(0.95 * len(errors))] < 0.25

@@ -58,6 +58,15 @@ def test_written_shards(spark, tmp_path):
     assert sorted(collected(back, "doc_id", "text")) == sorted(collected(docs, "doc_id", "text"))
 
 
+def test_written_shards_keep_repeated_rows_and_ids(spark, tmp_path):
+    docs = clashing(texts(spark, [(1, "a")] * 5 + [(1, "b"), (None, "n"), (None, None), (2, "c")]))
+    sharding.write_shards(docs, str(tmp_path / "out"), shards=4)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    check(back.collect(), 4)
+    assert sorted(collected(back, "doc_id", "text"), key=repr) == sorted(collected(docs, "doc_id", "text"), key=repr)
+    assert set(back.columns) == {*docs.columns, "shard", "slot"}
+
+
 def test_few_rows(spark):
     assert sharding.assign(texts(spark, [])).count() == 0
     check(sharding.assign(texts(spark, [(1, None)])).collect())
