@@ -312,20 +312,23 @@ class Mart:
         self._write(name, fresh, batch_id(F.col(ts_col)), cluster=cluster)
         return self.table(name)
 
-    def append_feed(self, name: str, df: DataFrame, ts_col: str = "audit_ts") -> Delivery:
+    def append_feed(self, name: str, df: DataFrame, ts_col: str = "audit_ts", token: str | None = None) -> Delivery:
         """Appends a delivery that holds each row once; rows at or below the watermark are kept apart, not dropped.
 
         They go, in the same write, to parts that ``table`` leaves out and ``late`` shows, and
         both kinds are counted as they are written. It reads the whole delivery, unlike
-        ``append_new``, which is for input that repeats what was appended before.
+        ``append_new``, which is for input that repeats what was appended before. A delivery whose
+        ``token`` is that of the last one is a repetition, and adds nothing.
         """
         state = self.state(name)
         watermark, version = self.watermark(name), state.version + 1 if state else 1
+        if token is not None and state and state.high == token:
+            return Delivery(state.version, watermark, 0, 0)
         late = F.lit(False) if watermark is None else F.coalesce(F.col(ts_col) <= F.lit(watermark), F.lit(False))
         seen = Observation()
         counted = df.observe(seen, F.count_if(~late).alias("n_written"), F.count_if(late).alias("n_late"))
         batch = batch_id(F.col(ts_col))
-        self._write(name, counted, F.when(late, F.concat(F.lit(f"{LATE}{version}-"), batch)).otherwise(batch))
+        self._write(name, counted, F.when(late, F.concat(F.lit(f"{LATE}{version}-"), batch)).otherwise(batch), high=token)
         return Delivery(version, watermark, **seen.get)
 
     def upsert(

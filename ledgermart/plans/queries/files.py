@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgermart.functions.dates import month_start
 from ledgermart.operators import ledger as lg
 from ledgermart.operators.loader import load_files, purge_unaudited, raw_table
+from ledgermart.operators.replaced import ReplacedTable
 from ledgermart.plans.queries.registry import new_mart, query, read
 from ledgermart.session import new_work_dir
 from ledgermart.sources import adhoc, csv
@@ -342,13 +344,15 @@ def load_error_places(spark, sf_dir):
     return found.select(file, "rows_parsed", "errors_seen", "first_error_line", "first_error_character")
 
 
-@query("table_export", "select o_orderkey, o_custkey, o_totalprice, cast(year(o_orderdate) as integer) as year from orders")
+@query("table_export", "select o_orderkey, o_custkey, o_totalprice, date_trunc('month', o_orderdate) as batch from orders")
 def table_export(spark, sf_dir):
-    """The import scan of a dashboard over a stored table."""
-    mart = new_mart(spark, "export")
-    orders = read(spark, sf_dir, "orders")
-    mart.write_full("orders", orders.select("o_orderkey", "o_custkey", "o_totalprice", F.year("o_orderdate").alias("year")))
-    return mart.export("orders")
+    """The import scan of a dashboard: a plain partitioned Parquet folder, exported in two runs and read whole."""
+    table = ReplacedTable(spark, new_work_dir(spark, "export"))
+    orders = read(spark, sf_dir, "orders").withColumn("batch", month_start(F.col("o_orderdate")))
+    exported = orders.select("o_orderkey", "o_custkey", "o_totalprice", "batch")
+    table.append_new(exported.filter(F.col("batch") < F.lit("1999-01-01")), "batch")
+    table.append_new(exported, "batch")
+    return table.table()
 
 
 @query("adhoc_csv_json", "select c_custkey, c_name, c_acctbal, c_mktsegment from customer")

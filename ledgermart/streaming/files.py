@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgermart.operators.ledger import FAILED, LoadGateError
 from ledgermart.operators.loader import load_files
-from ledgermart.operators.store import Mart
+from ledgermart.operators.store import Delivery, Mart
 
 # The columns of Spark's binary file source.
 _BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
@@ -32,6 +32,23 @@ def stream_table(stream: DataFrame, mart: Mart, name: str, checkpoint: str) -> S
     return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def stream_feed(
+    stream: DataFrame, mart: Mart, name: str, checkpoint: str, ts_col: str = "audit_ts",
+    report: Callable[[Delivery], None] = lambda delivery: None,
+) -> StreamingQuery:
+    """Appends everything available by batch time; rows that come after their batch was done are kept apart.
+
+    A micro-batch is a delivery of ``Mart.append_feed``, and ``report`` is given its counts. A
+    replayed micro-batch adds nothing.
+    """
+
+    def add(batch: DataFrame, epoch: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        report(mart.append_feed(name, batch, ts_col, f"{query}-{epoch}"))
+
+    return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def stream_load(
     spark: SparkSession,
     landing: str,

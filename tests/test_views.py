@@ -13,7 +13,7 @@ from ledgermart.operators.calendar import calendar, calendar_for, date_drill, jo
 from ledgermart.operators.keys import latest_per_key
 from ledgermart.plans.pipeline import CertificateMart
 from ledgermart.plans.schemas import FILE_COLUMNS, file_schema
-from ledgermart.streaming.files import stream_load, stream_table
+from ledgermart.streaming.files import stream_feed, stream_load, stream_table
 
 
 def test_calendar(spark):
@@ -84,6 +84,23 @@ def test_new_checkpoint_stands_beside_the_old_rows(spark, mart, tmp_path):
     assert mart.watermark("t") == "1970-01-01 00:00:00"
 
 
+def test_streamed_feed_keeps_late_rows_apart(spark, mart, tmp_path):
+    schema = "k string, audit_ts timestamp"
+    days = [[("a", "2025-01-01"), ("b", "2025-01-02")], [("late", "2025-01-01"), ("c", "2025-01-03")], [("d", "2025-01-04")]]
+    told = []
+    for i, day in enumerate(days):
+        rows_ = spark.createDataFrame(day, "k string, t string").selectExpr("k", "cast(t as timestamp) as audit_ts")
+        rows_.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        stream_feed(stream, mart, "feed", str(tmp_path / "state"), report=told.append).awaitTermination()
+    assert [(d.n_written, d.n_late) for d in told] == [(2, 0), (1, 1), (1, 0)]
+    assert sorted(r["k"] for r in mart.table("feed").collect()) == ["a", "b", "c", "d"]
+    assert [r["k"] for r in mart.late("feed").collect()] == ["late"]
+    last = mart.state("feed")
+    again = mart.append_feed("feed", mart.table("feed"), token=last.high)  # the same micro-batch once more
+    assert (again.n_written, again.n_late) == (0, 0) and mart.state("feed") == last
+
+
 def test_streamed_load_tries_a_failed_file_again(spark, mart, tmp_path):
     landing, state = tmp_path / "landing", str(tmp_path / "state")
     schemas = {t: file_schema(t) for t in FILE_COLUMNS}
