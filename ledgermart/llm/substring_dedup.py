@@ -9,12 +9,14 @@ by minimiser and place, and each window's first start is found by comparing word
 Super-k-mers that occur again among those that a task sends at once don't travel: they
 are repeats of the first of them. What a task sends to one bucket is one compressed
 row. A bucket too large for a task's memory is opened into single windows, which
-Spark groups by content.
+Spark groups by content. Opening needs no rows to meet, so the rows of a bucket that a
+sample of the documents shows to be hot are dealt over all tasks.
 """
 
 from __future__ import annotations
 
 import pickle
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +36,9 @@ BUCKET_BYTES = 16 << 20
 SEND_BYTES = 16 << 20
 RESOLVE_BYTES = 48 << 20
 MAX_BUCKETS = 1 << 30
+#: Documents of the sample, and when a bucket is hot: from so many times RESOLVE_BYTES, and so much of the sample's bytes, on.
+SAMPLE_DOCS = 4000
+HOT_TIMES, HOT_SHARE = 4, 0.001
 #: Buckets are dealt over at most so many tasks, each of which takes its buckets one after another.
 MAX_TASKS = 20_000
 #: Packed words take about so many times the text's bytes.
@@ -69,6 +74,37 @@ def super_kmers(words: list[bytes], window: int = WINDOW, gram: int = GRAM) -> t
     return first, np.append(cuts, len(at)), grams[at[first]]
 
 
+def hot_buckets(docs: DataFrame, rows: int, size: int, buckets: int, window: int, gram: int, resolve_bytes: int) -> set[int]:
+    """Buckets that hold much more than a task resolves, by a bounded sample of the documents; at most 1 / HOT_SHARE of them.
+
+    They only decide where rows are dealt: results don't depend on the sample.
+    """
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes: dict[int, int] = {}
+        for batch in batches:
+            for text in batch.column(0):
+                words = utf8(text.as_py()).split()
+                if len(words) >= window:
+                    first, end, keys = super_kmers(words, window, gram)
+                    for a, b, key in zip(first.tolist(), end.tolist(), (keys % np.uint64(buckets)).tolist()):
+                        sizes[key] = sizes.get(key, 0) + sum(map(len, words[a : b + window - 1])) + b - a + window - 1
+        yield pa.RecordBatch.from_arrays([pa.array(list(sizes), pa.int64()), pa.array(list(sizes.values()), pa.int64())], names=["bucket", "bytes"])
+
+    drawn = docs.filter(F.pmod(F.xxhash64("did", "tie"), F.lit(max(1, rows))) < SAMPLE_DOCS).limit(2 * SAMPLE_DOCS)
+    found = {r["bucket"]: r["bytes"] for r in _heaviest(drawn.select("text").mapInArrow(measure, "bucket long, bytes long")).collect()}
+    total = found.pop(None, 0)
+    least = max(HOT_SHARE, HOT_TIMES * resolve_bytes / max(1, EXPANSION * size))
+    return {b for b, n in found.items() if n >= least * total}
+
+
+def _heaviest(sizes: DataFrame) -> DataFrame:
+    """The heaviest buckets, as many as can be hot, and the sum over all under no bucket."""
+    by_bucket = sizes.groupBy("bucket").agg(F.sum("bytes").alias("bytes"))
+    whole = by_bucket.agg(F.sum("bytes").alias("bytes")).select(F.lit(None).cast("long").alias("bucket"), F.coalesce("bytes", F.lit(0)).alias("bytes"))
+    return by_bucket.orderBy(F.desc("bytes")).limit(int(1 / HOT_SHARE)).unionByName(whole)
+
+
 class _Sender:
     """Super-k-mers of one task, given out as (bucket, blob) rows when enough have come together."""
 
@@ -184,16 +220,20 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, reso
 
     ``docs`` has did and tie (no nulls) and text. Spans may touch and come in any order.
     """
+    measured = docs.agg(F.sum(F.octet_length("text")).alias("size"), F.count(F.lit(1)).alias("rows")).first()
+    size = measured["size"] or 0
     if buckets is None:
-        size = docs.agg(F.sum(F.octet_length("text")).alias("size")).first()["size"] or 0
         buckets = max(1, min(MAX_BUCKETS, EXPANSION * size // BUCKET_BYTES + 1))
+    hot = hot_buckets(docs, measured["rows"], size, buckets, window, gram, resolve_bytes) if EXPANSION * size > HOT_TIMES * resolve_bytes else set()
+    tasks = min(buckets, MAX_TASKS)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sender = _Sender(buckets, window, gram)
 
         def rows() -> Iterator[pa.RecordBatch]:
             for bucket, blob in sender.send():
-                yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([blob], pa.binary())], names=["bucket", "blob"])
+                task = (zlib.crc32(blob) if bucket in hot else bucket) % tasks
+                yield pa.RecordBatch.from_arrays([pa.array([task], pa.int32()), pa.array([bucket], pa.int32()), pa.array([blob], pa.binary())], names=["task", "bucket", "blob"])
 
         for batch in batches:
             for did, tie, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
@@ -231,7 +271,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, reso
             for bucket, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
                 if bucket != current:
                     yield from close()
-                    current, size, opened = bucket, 0, False
+                    current, size, opened = bucket, 0, bucket in hot
                 body = pickle.loads(zstandard.decompress(blob.as_py()))
                 if len(body[5]):
                     yield _spans([tuple(r) for r in body[5].tolist()])
@@ -242,10 +282,9 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, reso
                     yield from open_held()
         yield from close()
 
-    sent = docs.select("did", "tie", "text").mapInArrow(send, "bucket int, blob binary")
-    tasks = min(buckets, MAX_TASKS)
-    dealt = sent.repartitionById(tasks, F.col("bucket") % tasks).sortWithinPartitions("bucket")
-    found = written(dealt.mapInArrow(resolve, SPANS), "repeated-spans")
+    sent = docs.select("did", "tie", "text").mapInArrow(send, "task int, bucket int, blob binary")
+    dealt = sent.repartitionById(tasks, F.col("task")).sortWithinPartitions("bucket")
+    found = written(dealt.select("bucket", "blob").mapInArrow(resolve, SPANS), "repeated-spans")
     single = found.filter("words is not null")
     place = F.struct("did", "tie", "start")
     firsts = single.groupBy("words").agg(F.min(place).alias("first"))

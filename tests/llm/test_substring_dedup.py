@@ -75,3 +75,28 @@ def test_super_kmers_cover_all_windows_once():
         first, end, _ = substring_dedup.super_kmers(words)
         assert first[0] == 0 and end[-1] == n - 19
         assert (first[1:] == end[:-1]).all() and (end > first).all()
+
+
+def test_a_passage_of_many_documents_is_dealt_over_all_tasks(spark, monkeypatch):
+    """A third of the documents share a passage between differing neighbours: its windows' bucket is hot."""
+    rng = random.Random(3)
+    pick = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    passage = pick(40)
+    rows = [f"{pick(30)} {passage} {pick(30)}" if i % 3 == 0 else pick(100) for i in range(300)]
+    docs = texts(spark, enumerate(rows)).repartition(6)
+    keyed = docs.selectExpr("doc_id as did", "xxhash64(text) as tie", "text")
+    size = sum(map(len, rows))
+    hot = substring_dedup.hot_buckets(keyed, 300, size, 64, 20, 4, 6_000)
+    assert 0 < len(hot) < 12
+    seen = []
+    spy = substring_dedup.hot_buckets
+    monkeypatch.setattr(substring_dedup, "hot_buckets", lambda *a: seen.append(spy(*a)) or seen[-1])
+    for sizes in ({"buckets": 64, "resolve_bytes": 6_000}, {"buckets": 64}):
+        got = sorted(collected(substring_dedup.measure(docs, **sizes), "doc_id", "n_words", "n_removed", "kept_sha256"))
+        assert got == [(i, *x) for i, x in enumerate(plain(rows))]
+    assert len(seen) == 1 and seen[0] == hot  # far below what a task resolves there is no sample
+
+
+def test_no_sample_of_no_documents(spark):
+    none = texts(spark, []).selectExpr("doc_id as did", "xxhash64(text) as tie", "text")
+    assert substring_dedup.hot_buckets(none, 0, 0, 5, 20, 4, 100) == set()
