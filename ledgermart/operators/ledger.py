@@ -117,14 +117,18 @@ def load_stats(tagged: DataFrame) -> DataFrame:
         F.max(F.when(leads, F.col("_first_bad"))).alias(SEQ),
     )
     per_file = broadcast_if_small(per_file)  # a row for each file
-    # the rows up to a file's first error are found by its place, and not moved
     firsts = per_file.filter("errors_seen > 0").select(FILE, BLOCK, F.col(SEQ).alias("_first_bad"))
-    rows = tagged.select(FILE, BLOCK, SEQ, BAD_COLUMN, BAD_VALUE).join(broadcast_if_small(firsts), [FILE, BLOCK])
-    at = F.col(SEQ) == F.col("_first_bad")
-    errors = rows.filter(F.col(SEQ) <= F.col("_first_bad")).groupBy(FILE).agg(
-        F.count_if(~at).alias("_above"), *[F.max(F.when(at, F.col(c))).alias(c) for c in (BAD_COLUMN, BAD_VALUE)]
-    )
-    found = per_file.join(errors, FILE, "left").withColumn("first_error_record", F.col("_before") + F.col("_above"))
+    if firsts.isEmpty():
+        none = {c: F.lit(None).cast("string") for c in (BAD_COLUMN, BAD_VALUE)}
+        found = per_file.withColumns({**none, "first_error_record": F.lit(None).cast("bigint")})
+    else:
+        # the rows up to a file's first error are found by its place, and not moved
+        rows = tagged.select(FILE, BLOCK, SEQ, BAD_COLUMN, BAD_VALUE).join(broadcast_if_small(firsts), [FILE, BLOCK])
+        at = F.col(SEQ) == F.col("_first_bad")
+        errors = rows.filter(F.col(SEQ) <= F.col("_first_bad")).groupBy(FILE).agg(
+            F.count_if(~at).alias("_above"), *[F.max(F.when(at, F.col(c))).alias(c) for c in (BAD_COLUMN, BAD_VALUE)]
+        )
+        found = per_file.join(errors, FILE, "left").withColumn("first_error_record", F.col("_before") + F.col("_above"))
     loaded = F.col("rows_parsed") - F.col("errors_seen")
     return found.select(
         FILE,
