@@ -19,12 +19,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgermart.llm.common import components, free_name, runs, utf8, written
+from ledgermart.operators.sizing import broadcast_if_small
 
 SHINGLE_WORDS = 3
 RADIUS = 3
 SEED = 42
 BITS = 64
-#: Buckets with more fingerprints are compared block by block, each pair of blocks on its own.
+#: Buckets with more fingerprints get a second key; what is still larger is compared block by block, each pair of blocks on its own.
 BLOCK = 2048
 
 #: For each byte value, its eight bits.
@@ -71,10 +72,26 @@ def covering_masks(radius: int = RADIUS, bits: int = BITS) -> list[int]:
     span too little to meet every mask's vector: some mask's is orthogonal to all of
     them, and that mask leaves their positions out.
     """
+    return [_signed(m) for m in _covering(list(range(bits)), radius)]
+
+
+def _covering(positions: list[int], radius: int) -> list[int]:
     size = 1 << (radius + 1)
-    own = [1 + i % (size - 1) for i in range(bits)]
-    masks = [sum(1 << i for i in range(bits) if (own[i] & v).bit_count() & 1) for v in range(1, size)]
-    return [m - (1 << 64) if m >> 63 else m for m in masks]
+    own = [1 + i % (size - 1) for i in range(len(positions))]
+    return [sum(1 << p for p, x in zip(positions, own) if (x & v).bit_count() & 1) for v in range(1, size)]
+
+
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def finer_masks(mask: int, radius: int = RADIUS, bits: int = BITS) -> list[int]:
+    """Masks that hold ``mask`` and cover the positions that it leaves out in the same way.
+
+    Two fingerprints within the radius that agree on ``mask`` agree on one of these.
+    """
+    free = [i for i in range(bits) if not mask >> i & 1]
+    return [_signed((mask & ((1 << 64) - 1)) | m) for m in _covering(free, radius)]
 
 
 def _forest(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
@@ -97,23 +114,32 @@ def _forest(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
 def near_links(fps: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
     """(a, b) links between the distinct longs of column fp, enough for the same components as all links.
 
-    A bucket with more than ``block`` fingerprints is cut into blocks by hash and each
-    pair of blocks is one cell, so no task holds more than about two blocks; each
-    cell gives at most one link for each of its fingerprints.
+    The fingerprints of a bucket of more than ``block`` are dealt again by the covering masks of
+    the positions that its mask leaves out. A bucket that is too large even then is cut into
+    blocks by hash and each pair of blocks is one cell, so no task holds more than about two
+    blocks; each cell gives at most one link for each of its fingerprints.
     """
-    tables = F.array(*[F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("k")) for i, m in enumerate(covering_masks(radius))])
+    masks = covering_masks(radius)
+    tables = F.array(*[F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("k")) for i, m in enumerate(masks)])
     keyed = fps.select("fp", F.explode(tables).alias("at")).select("fp", "at.t", "at.k")
-    large = keyed.groupBy("t", "k").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block)
-    blocks = large.select("t", "k", F.ceil(F.col("n") / (block // 2)).cast("long").alias("blocks"))
-    own = F.pmod(F.xxhash64(F.lit(radius), "fp"), F.col("blocks")).cast("long")
+    more = F.count(F.lit(1)) > block
+    large = keyed.groupBy("t", "k").agg(more.alias("large")).filter("large")
+    finer = F.element_at(F.lit([finer_masks(m, radius) for m in masks]), F.col("t") + 1)
+    again = F.transform(finer, lambda m, i: F.struct(i.alias("v"), F.col("fp").bitwiseAND(m).alias("own")))
+    once = F.array(F.struct(F.lit(-1).alias("v"), F.col("k").alias("own")))
+    dealt = keyed.join(broadcast_if_small(large), ["t", "k"], "left").select("fp", "t", F.inline(F.when(F.col("large"), again).otherwise(once)))
+
+    sizes = dealt.filter("v >= 0").groupBy("t", "v", "own").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block)
+    blocks = sizes.select("t", "v", "own", F.ceil(F.col("n") / (block // 2)).cast("long").alias("blocks"))
+    part = F.pmod(F.xxhash64(F.lit(radius), "fp"), F.col("blocks")).cast("long")
     cells = F.when(
         F.col("blocks").isNotNull(),
-        F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda c: F.least(c, own) * F.col("blocks") + F.greatest(c, own)),
+        F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda c: F.least(c, part) * F.col("blocks") + F.greatest(c, part)),
     ).otherwise(F.array(F.lit(-1).cast("long")))
     dealt = (
-        keyed.join(blocks, ["t", "k"], "left")
-        .select("fp", "t", "k", F.explode(cells).alias("cell"))
-        .withColumn("g", F.xxhash64("t", "k", "cell"))
+        dealt.join(broadcast_if_small(blocks), ["t", "v", "own"], "left")
+        .select("fp", "t", "v", "own", F.explode(cells).alias("cell"))
+        .withColumn("g", F.xxhash64("t", "v", "own", "cell"))
         .repartition("g")
         .sortWithinPartitions("g")
     )

@@ -50,6 +50,18 @@ def test_masks_cover_every_three_positions():
                 assert any(m & flips == 0 for m in masks)
 
 
+def test_finer_masks_cover_what_a_mask_leaves_out():
+    full = 2**64 - 1
+    rng = random.Random(2)
+    for m in (m & full for m in simhash.covering_masks()):
+        free = [i for i in range(64) if not m >> i & 1]
+        finer = [f & full for f in simhash.finer_masks(m)]
+        assert len(finer) == 15 and all(f & m == m for f in finer)
+        for _ in range(400):
+            flips = sum(1 << i for i in set(rng.choices(free, k=3)))
+            assert any(f & flips == 0 for f in finer)
+
+
 def test_awkward_documents_equal_brute_force(spark):
     docs = clashing(frame(spark))
     got = collected(simhash.near_duplicates(docs), "doc_id", "fingerprint", "component_id")
@@ -66,6 +78,8 @@ def test_spark_hash_is_the_fingerprints_hash(spark):
 def test_links_hold_components_together_in_hot_buckets(spark, block):
     rng = random.Random(3)
     seeds = [rng.getrandbits(64) for _ in range(40)]
+    base = rng.getrandbits(64)
+    seeds += [base ^ sum(1 << rng.randrange(64) for _ in range(5)) & (2**64 - 1) for _ in range(25)]  # share most masked bits
     fps = {s ^ sum(1 << rng.randrange(64) for _ in range(rng.randrange(4))) & (2**64 - 1) for s in seeds for _ in range(12)}
     signed = [int(np.uint64(f).astype(np.int64)) for f in fps]
     links = simhash.near_links(spark.createDataFrame([(f,) for f in signed], "fp long"), block=block).collect()
