@@ -37,7 +37,8 @@ PATTERNS = {
     "handle": r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{2,}+"
     r"(?:\x20?(?:\(at\)|\[at\])\x20?[a-z0-9-]{2,}+(?:(?:\.|\x20?(?:\(dot\)|\[dot\])\x20?)[a-z0-9-]{2,}+)++|\x20at\x20[a-z0-9-]{2,}+(?:\x20dot\x20[a-z0-9-]{2,}+)++)",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "person": rf"(?<=\b(?:{TITLES})\.?\x20|\b(?:{FIELDS})\x20?[:=]\x20?)\p{{Lu}}\p{{Ll}}++(?:[\x20-]\p{{Lu}}\p{{Ll}}++){{1,3}}+",
+    # what costs little is asked first: a capital after a blank or a colon
+    "person": rf"(?<=[\x20:=])(?=\p{{Lu}}\p{{Ll}})(?<=\b(?:{TITLES})\.?\x20|\b(?:{FIELDS})\x20?[:=]\x20?)\p{{Lu}}\p{{Ll}}++(?:[\x20-]\p{{Lu}}\p{{Ll}}++){{1,3}}+",
 }
 
 #: The gazetteers, and cue words by kind.
