@@ -294,6 +294,18 @@ def schema_sync(spark, sf_dir):
     return mart.append_new("t", fact.filter(~cut).select("o_orderkey", "batch", "o_orderstatus"), "batch", regroup=True)
 
 
+def _in_types(rows: DataFrame, wanted: dict[str, tuple[str, ...]]) -> DataFrame:
+    """Columns ``name``: (expression, types): in the first of the types that holds all its values, or else the last; without types as they are.
+
+    Their values are looked at once, in one aggregation, so that a larger table's keys do not overflow.
+    """
+    asked = [(n, e, t) for n, (e, *kinds) in wanted.items() for t in kinds[:-1]]
+    outside = [F.expr(f"coalesce(bool_or({e} is not null and try_cast({e} as {t}) is null), false)") for _, e, t in asked]
+    too_small = {(n, t) for (n, _, t), over in zip(asked, rows.agg(*outside).first() if asked else ()) if over}
+    kind = {n: next((t for t in kinds if (n, t) not in too_small), None) for n, (_, *kinds) in wanted.items()}
+    return rows.select(*[F.expr(f"cast({e} as {kind[n]})" if kind[n] else e).alias(n) for n, (e, *_) in wanted.items()])
+
+
 @query(
     "schema_widening",
     """
@@ -304,16 +316,20 @@ def schema_sync(spark, sf_dir):
     """,
 )
 def schema_widening(spark, sf_dir):
-    """Keys go from int to bigint to text, totals from whole numbers to fractions; what is stored follows."""
+    """Keys go from int to bigint to text, totals from whole numbers to fractions; what is stored follows.
+
+    The short types of the first two deliveries are those that hold their rows.
+    """
     mart, fact = new_mart(spark, "widening"), order_fact(spark, sf_dir)
+    total = ("floor(o_totalprice)", "int", "double")
     runs = (
-        ("batch < '1997-01-01'", "cast(o_orderkey as int)", "cast(o_custkey as int)", "cast(floor(o_totalprice) as int)"),
-        ("batch >= '1997-01-01' and batch < '1999-01-01'", "o_orderkey", "cast(o_custkey as smallint)", "cast(floor(o_totalprice) as int)"),
-        ("batch >= '1999-01-01'", "cast(o_orderkey as string)", "o_custkey", "o_totalprice"),
+        ("batch < '1997-01-01'", ("o_orderkey", "int", "bigint"), ("o_custkey", "int", "bigint"), total),
+        ("batch >= '1997-01-01' and batch < '1999-01-01'", ("o_orderkey",), ("o_custkey", "smallint", "int", "bigint"), total),
+        ("batch >= '1999-01-01'", ("o_orderkey", "string"), ("o_custkey",), ("o_totalprice",)),
     )
-    for when, key, customer, total in runs:
-        rows = fact.filter(when).selectExpr("batch", f"{key} as o_orderkey", f"{customer} as o_custkey", f"{total} as o_totalprice")
-        mart.append_new("t", rows, "batch", regroup=True)
+    for when, key, customer, paid in runs:
+        columns = {"batch": ("batch",), "o_orderkey": key, "o_custkey": customer, "o_totalprice": paid}
+        mart.append_new("t", _in_types(fact.filter(when), columns), "batch", regroup=True)
     return mart.table("t")
 
 
@@ -326,7 +342,8 @@ def schema_widening(spark, sf_dir):
 def upsert_growing(spark, sf_dir):
     """A table that begins with few rows and grows a hundredfold: its buckets grow with it, and a key's type widens."""
     mart, orders = new_mart(spark, "growing"), read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    first = orders.filter("o_orderkey % 100 = 0").withColumn("o_orderkey", F.col("o_orderkey").cast("int"))
+    whole = {"o_orderkey": ("o_orderkey", "int", "bigint"), "o_custkey": ("o_custkey",), "o_orderstatus": ("o_orderstatus",)}
+    first = _in_types(orders.filter("o_orderkey % 100 = 0"), whole)
     changed = orders.filter("o_orderkey % 50 = 0").withColumn("o_orderstatus", F.lit("new"))
     for step, rows in enumerate((first, orders, changed)):
         mart.upsert("t", rows.withColumn("step", F.lit(step)), "o_orderkey", ["step"], rows_per_bucket=300)
