@@ -43,6 +43,8 @@ LATE = "late-"
 #: Hash buckets of an upserted table or a history at its first load.
 MIN_BUCKETS = 16
 ROWS_PER_BUCKET = 1_000_000
+#: More buckets than this only where each has ROWS_PER_BUCKET rows: a bucket is a folder, a file and a task of its own.
+MOST_BUCKETS = 512
 _FROM_DELTA = "_from_delta"
 
 
@@ -124,7 +126,14 @@ def bucket_of(key: str | Sequence[str], buckets: int) -> Column:
 
 
 def _buckets_for(rows: int, rows_per_bucket: int) -> int:
-    return max(MIN_BUCKETS, -(-rows // rows_per_bucket))
+    """As many as ``rows_per_bucket`` asks for; beyond MOST_BUCKETS they get larger before there are more."""
+    most = max(MOST_BUCKETS, -(-rows // ROWS_PER_BUCKET))
+    return max(MIN_BUCKETS, min(most, -(-rows // rows_per_bucket)))
+
+
+def _too_few(buckets: int, rows: int, rows_per_bucket: int) -> bool:
+    """Whether buckets have grown to twice ``rows_per_bucket``, and there may be twice as many."""
+    return rows >= 2 * rows_per_bucket * buckets and _buckets_for(rows, rows_per_bucket) >= 2 * buckets
 
 
 def _open_part(key: str, buckets: int) -> Column:
@@ -347,8 +356,8 @@ class Mart:
         The delta is reduced to one row per key first, so a hot key cannot pile up;
         delta and stored rows then meet in one shuffle that is also the write layout.
         The number of buckets at first follows from the rows of the delta, unless it is
-        given. A table whose buckets have grown to twice ``rows_per_bucket`` gets more of them,
-        and one whose keys get a wider type, and with it other hashes, is dealt anew.
+        given. A table whose buckets have grown to twice ``rows_per_bucket`` gets more of them
+        (above MOST_BUCKETS only for ROWS_PER_BUCKET rows each), and one whose keys get a wider type, and with it other hashes, is dealt anew.
         """
         keys = [key] if isinstance(key, str) else list(key)
         state = self.state(name)
@@ -363,7 +372,7 @@ class Mart:
         had, buckets = state.struct(), state.buckets
         anew = any(had[k].dataType != committed[k].dataType for k in keys)
         rows = self.table(name).count()  # from the files' footers
-        if rows >= 2 * rows_per_bucket * buckets:
+        if _too_few(buckets, rows, rows_per_bucket):
             buckets, anew = _buckets_for(rows, rows_per_bucket), True
         bucket = bucket_of(keys, buckets).cast("string")
         touched = {r[0] for r in delta.select(bucket).distinct().collect()}  # at most ``buckets`` numbers
@@ -400,7 +409,7 @@ class Mart:
         found.write.parquet(work)
         changed = self.spark.read.schema(found.schema).parquet(work)
         rows, buckets = opened.count(), state.buckets  # the count is from the files' footers
-        anew = buckets is None or rows >= 2 * rows_per_bucket * buckets
+        anew = buckets is None or _too_few(buckets, rows, rows_per_bucket)
         if anew:
             buckets = _buckets_for(rows, rows_per_bucket)
             touched = {p for p in state.live if _is_open(p)}

@@ -3,6 +3,7 @@
 from datetime import datetime
 
 from conftest import rows
+from ledgermart.operators import store
 from ledgermart.plans.queries import QUERIES
 
 ORDERS = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
@@ -24,3 +25,17 @@ def test_keys_too_long_for_a_delivery_s_short_types(spark, tmp_path):
     assert [f.dataType.simpleString() for f in got[large].schema] == ["string", "bigint", "double"]
     long_key = orders(spark, tmp_path / "long", (100 << 40, 7, 1.0, 1996), (1, 8, 1.0, 1996))
     assert rows(QUERIES["upsert_growing"](spark, long_key)) == sorted([(100 << 40, 7, "new"), (1, 8, "F")], key=repr)
+
+
+def test_small_buckets_do_not_become_folders_without_number(spark, mart, monkeypatch):
+    assert store._buckets_for(54_000_000, 300) == store.MOST_BUCKETS and store._buckets_for(9_000, 300) == 30
+    assert store._buckets_for(10**10, 300) == store._buckets_for(10**10, store.ROWS_PER_BUCKET) == 10_000
+    monkeypatch.setattr(store, "MOST_BUCKETS", 20)
+    numbers = lambda n, v: spark.range(n).selectExpr("id", f"{v} as v")
+    for step, n in enumerate((10, 3000, 100)):
+        got = mart.upsert("u", numbers(n, step), "id", ["v"], buckets=2, rows_per_bucket=30)
+    assert mart.state("u").buckets == len(mart.state("u").live) == 20  # of 100
+    assert got.count() == 3000 and got.filter("v = 2").count() == 100
+    before = mart.state("u").live
+    got = mart.upsert("u", numbers(1, 3), "id", ["v"], rows_per_bucket=30)  # they are not dealt anew by every write
+    assert sum(mart.state("u").live[p] != before[p] for p in before) == 1 and got.filter("v = 3").count() == 1
