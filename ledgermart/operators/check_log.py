@@ -19,13 +19,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermart.operators import quality as q
-from ledgermart.operators.sizing import broadcast_if_small
+from ledgermart.operators.sizing import BROADCAST_ROWS, broadcast_if_small
 from ledgermart.operators.store import Mart
+from ledgermart.session import new_work_dir
 
 _KEYS = "source string, r1 bigint, r2 bigint, n bigint"
 _LIVE = "check int, table_name string, value string, r1 bigint, r2 bigint, n bigint"
 _RUNS = "check int, change bigint, table_name string, high string"
-_ROW = ["r1", "r2"]
+_ROW, _PARENT = ["r1", "r2"], ["p1", "p2"]
 
 
 def _hashes(columns: Sequence[str | Column]) -> list[Column]:
@@ -128,28 +129,36 @@ class CheckLog:
         unique = [(i, _source(c.table, q._keys(c)), c.table in self.keyed) for i, c in enumerate(self.checks) if c.test == q.UNIQUE]
         named = F.broadcast(self.mart.spark.createDataFrame(unique, "check int, source string, replaces boolean"))
         mine = new.join(named, "source")
-        # the older keys are only scanned, while the new ones are few enough to broadcast
-        known = old.join(broadcast_if_small(new.select(*on)), on).groupBy(*on).agg(F.sum("n").alias("had"))
+        # the older keys are only scanned, while the new ones are few enough to broadcast; those of keyed tables don't count
+        adding = F.col("source").isin([s for _, s, replaces in unique if not replaces])
+        known = old.filter(adding).join(broadcast_if_small(new.filter(adding).select(*on)), on).groupBy(*on).agg(F.sum("n").alias("had"))
         had = F.when(F.col("replaces"), 0).otherwise(F.coalesce("had", F.lit(0)))
         twice = mine.join(known, on, "left").filter((had <= 1) & (had + F.col("n") > 1))
         none = F.lit(None).cast("string")
         return twice.groupBy("check").agg(F.count(F.lit(1)).alias("change")).select("check", "change", none.alias("table_name"), none.alias("high"))
 
     def _now_failing(self, fresh: Mapping[str, DataFrame], new_keys: DataFrame, turn: int) -> DataFrame:
-        """Failing cells and children without a parent: those of before that still fail, and the new ones."""
+        """Failing cells and children without a parent: those of before that still fail, and the new ones.
+
+        The values that lack a parent are found first, as hashes, and written. Only rows that
+        have one of these, usually few, are then brought together by value.
+        """
         live = self._stored(self.live, _LIVE, lambda p: p == f"run-{turn - 1:08d}")
         replaced = [F.when(F.col("source") == _source(t, [k]), F.lit(t)) for t, k in self.keyed.items() if t in fresh]
-        if replaced:
+        if replaced and turn > 1:
             gone = new_keys.select(F.coalesce(*replaced, F.lit(None)).alias("table_name"), *_ROW).filter("table_name is not null")
-            live = live.join(broadcast_if_small(gone), ["table_name", *_ROW], "left_anti")
-        frames = [live.select(*_LIVE_NAMES)]
+            live = self._written(live.join(broadcast_if_small(gone), ["table_name", *_ROW], "left_anti").select(*_LIVE_NAMES), "live")
+        orphans = self._orphans(live, fresh)
+        lost = self._few_and_many(orphans)
+        children = F.col("check").isin([i for i, c in enumerate(self.checks) if c.test == q.RELATIONSHIPS])
+        frames = [live.filter(~children), *self._with_orphans(live.filter(children), orphans, lost)]
         for table in fresh:
-            frames += self._failing_cells(table, fresh[table])
-        return self._without_found(reduce(DataFrame.unionByName, frames))
+            frames += self._failing_cells(table, fresh[table], orphans, lost)
+        return reduce(DataFrame.unionByName, [f.select(*_LIVE_NAMES) for f in frames])
 
-    def _failing_cells(self, table: str, rows: DataFrame) -> list[DataFrame]:
-        """Cells of the new rows that fail, and all values that need a parent; of keyed tables with their row's key."""
-        cells = []
+    def _failing_cells(self, table: str, rows: DataFrame, orphans: DataFrame, lost: tuple[list[str], list[str]]) -> list[DataFrame]:
+        """Cells of the new rows that fail, or have a value without a parent; of keyed tables with their row's key."""
+        cells, children = [], []
         for i, c in enumerate(self.checks):
             if c.table != table or c.test == q.UNIQUE:
                 continue
@@ -159,28 +168,72 @@ class CheckLog:
                 fails, value = q._value_fails(c), F.col(c.column).cast("string")
             else:
                 fails, value = q._row_fails(c), F.lit(None).cast("string")
-            cells.append(F.when(fails, F.struct(F.lit(i).alias("check"), value.alias("value"))))
-        if not cells:
-            return []
+            cell = F.when(fails, F.struct(F.lit(i).alias("check"), value.alias("value")))
+            if c.test != q.RELATIONSHIPS:
+                cells.append(cell)
+            elif any(_source(c.parent, [c.parent_column]) in some for some in lost):
+                children.append(cell)
         none = F.lit(None).cast("bigint")
         row = _hashes([self.keyed[table]]) if table in self.keyed else [none.alias("r1"), none.alias("r2")]
-        found = rows.select(*row, F.inline(F.array_compact(F.array(*cells)))).withColumn("table_name", F.lit(table))
-        return [found.groupBy("check", "table_name", "value", *_ROW).agg(F.count(F.lit(1)).alias("n")).select(*_LIVE_NAMES)]
 
-    def _without_found(self, live: DataFrame) -> DataFrame:
-        """``live`` without the children whose parent is known by now."""
+        def exploded(some: list[Column]) -> DataFrame:
+            return rows.select(*row, F.inline(F.array_compact(F.array(*some)))).withColumn("table_name", F.lit(table))
+
+        frames = [_counted(exploded(cells).withColumn("n", F.lit(1)))] if cells else []
+        return frames + (self._with_orphans(exploded(children).withColumn("n", F.lit(1)), orphans, lost, count=True) if children else [])
+
+    def _relationships(self) -> DataFrame:
         named = [(i, _source(c.parent, [c.parent_column])) for i, c in enumerate(self.checks) if c.test == q.RELATIONSHIPS]
-        if not named:
-            return live
-        spark = self.mart.spark
-        sources = F.broadcast(spark.createDataFrame(named, "check int, source string"))
-        h1, h2 = (c.alias(n) for c, n in zip(_hashes(["value"]), ("p1", "p2")))
-        wanted = live.join(sources, "check").select("source", h1, h2).distinct()
-        parents = self._stored(self.keys, _KEYS).select("source", F.col("r1").alias("p1"), F.col("r2").alias("p2"))
-        on = ["source", "p1", "p2"]
-        found = parents.join(broadcast_if_small(wanted), on, "left_semi").distinct()
-        marked = live.withColumns({"p1": h1, "p2": h2}).join(sources, "check", "left")
-        return marked.join(broadcast_if_small(found), on, "left_anti").select(*_LIVE_NAMES)
+        return F.broadcast(self.mart.spark.createDataFrame(named, "check int, source string"))
+
+    def _orphans(self, live: DataFrame, fresh: Mapping[str, DataFrame]) -> DataFrame:
+        """The hashes, each once, of values without a parent in the new rows and in what failed before."""
+        values = [live.join(self._relationships(), "check").select("source", *_parent_hashes(F.col("value")))]
+        for table, rows in fresh.items():
+            wanted = {(c.column, _source(c.parent, [c.parent_column])) for c in self.checks if c.test == q.RELATIONSHIPS and c.table == table}
+            cells = [F.when(F.col(k).isNotNull(), F.struct(F.lit(s).alias("source"), *_parent_hashes(F.col(k)))) for k, s in sorted(wanted)]
+            if cells:
+                values.append(rows.select(F.inline(F.array_compact(F.array(*cells)))))
+        wanted = self._written(reduce(DataFrame.unionByName, values).distinct(), "wanted")
+        parents = self._stored(self.keys, _KEYS).select("source", *[F.col(r).alias(p) for r, p in zip(_ROW, _PARENT)])
+        found = parents.join(broadcast_if_small(wanted), ["source", *_PARENT], "left_semi")
+        return self._written(wanted.join(found, ["source", *_PARENT], "left_anti"), "orphans")
+
+    def _few_and_many(self, orphans: DataFrame) -> tuple[list[str], list[str]]:
+        """The parents that lack values: those whose orphans can be broadcast together, and the others."""
+        few, many, total = [], [], 0
+        for r in sorted(orphans.groupBy("source").count().collect(), key=lambda r: r["count"]):  # a row for each parent at most
+            total += r["count"]
+            (few if total <= BROADCAST_ROWS else many).append(r["source"])
+        return few, many
+
+    def _with_orphans(self, cells: DataFrame, orphans: DataFrame, lost: tuple[list[str], list[str]], count: bool = False) -> list[DataFrame]:
+        """The cells whose value has no parent. With ``count`` they are counted by value, before they travel to many orphans."""
+        few, many = (orphans.filter(F.col("source").isin(some)) if some else None for some in lost)
+        sourced, frames = cells.join(self._relationships(), "check"), []
+        for some, names in ((few, lost[0]), (many, lost[1])):
+            if some is None:
+                continue
+            mine = sourced.filter(F.col("source").isin(names))
+            late = count and some is many
+            hashed = (_counted(mine, "source") if late else mine).withColumns(dict(zip(_PARENT, _parent_hashes(F.col("value")))))
+            kept = hashed.join(F.broadcast(some) if some is few else some, ["source", *_PARENT], "left_semi")
+            frames.append(_counted(kept) if count and not late else kept)
+        return frames
+
+    def _written(self, df: DataFrame, label: str) -> DataFrame:
+        """A copy in the shared folder, for what is read more than once."""
+        folder = new_work_dir(df.sparkSession, f"checks-{label}")
+        df.write.parquet(folder)
+        return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def _parent_hashes(value: Column) -> list[Column]:
+    return [h.alias(p) for h, p in zip(_hashes([value]), _PARENT)]
+
+
+def _counted(cells: DataFrame, *more: str) -> DataFrame:
+    return cells.groupBy(*_LIVE_NAMES[:-1], *more).agg(F.sum("n").alias("n"))
 
 
 _LIVE_NAMES = [f.split()[0] for f in _LIVE.split(", ")]
