@@ -329,12 +329,17 @@ def _in_three_runs(log: CheckLog, runs) -> DataFrame:
     return log.results()
 
 
+def _ledger_copy(spark, sf_dir) -> DataFrame:
+    """The ledger, written once: every run asks for its files, table by table."""
+    columns = ("audit_id", "filepath", "status", "audit_ts", "target_table")
+    ledger = sample.ledger(spark, sf_dir).select(*columns)
+    return quality.checked_copies({lg.LEDGER: ledger}, quality.not_null(lg.LEDGER, *columns))[lg.LEDGER]
+
+
 @query("checks_raw_by_batch", _checks_sql(spec.RAW_CHECKS, _RAW_BODIES))
 def checks_raw_by_batch(spark, sf_dir):
     """The checks of the raw layer after three loads, each looking at its own files' rows only."""
-    mart, ledger = new_mart(spark, "check-log"), sample.ledger(spark, sf_dir)
-    ledger = quality.checked_copies({lg.LEDGER: ledger.select("audit_id", "filepath", "status", "audit_ts", "target_table")}, [
-        *quality.not_null(lg.LEDGER, "audit_id", "filepath", "status", "audit_ts", "target_table")])[lg.LEDGER]
+    mart, ledger = new_mart(spark, "check-log"), _ledger_copy(spark, sf_dir)
 
     def new_rows(when: str) -> dict[str, DataFrame]:
         mine = ledger.filter(when)
@@ -347,7 +352,7 @@ def checks_raw_by_batch(spark, sf_dir):
 @query("checks_staging_by_batch", _checks_sql(spec.STAGING_CHECKS, _STAGED_BODIES))
 def checks_staging_by_batch(spark, sf_dir):
     """The checks of the staging layer after three loads; newer certificates take the place of older ones."""
-    mart, ledger = new_mart(spark, "check-log"), sample.ledger(spark, sf_dir)
+    mart, ledger = new_mart(spark, "check-log"), _ledger_copy(spark, sf_dir)
 
     def new_rows(when: str) -> dict[str, DataFrame]:
         fresh = {lg.LEDGER: ledger.filter(when)}

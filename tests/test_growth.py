@@ -2,9 +2,12 @@
 
 from datetime import datetime
 
+from pyspark.sql import functions as F
+
 from conftest import rows
-from ledgermart.operators import store
+from ledgermart.operators import check_log, quality, store
 from ledgermart.plans.queries import QUERIES
+from test_check_log import CHECKS, SCHEMA, made
 
 ORDERS = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
 
@@ -39,3 +42,18 @@ def test_small_buckets_do_not_become_folders_without_number(spark, mart, monkeyp
     before = mart.state("u").live
     got = mart.upsert("u", numbers(1, 3), "id", ["v"], rows_per_bucket=30)  # they are not dealt anew by every write
     assert sum(mart.state("u").live[p] != before[p] for p in before) == 1 and got.filter("v = 3").count() == 1
+
+
+def test_values_without_a_parent_are_found_once(spark, mart, monkeypatch):
+    """What is asked for its size is stored, not computed again; orphans too many to broadcast are joined."""
+    plans, asked = [], check_log.broadcast_if_small
+    monkeypatch.setattr(check_log, "broadcast_if_small", lambda d: plans.append(d._jdf.queryExecution().optimizedPlan().toString()) or asked(d))
+    monkeypatch.setattr(check_log, "BROADCAST_ROWS", 1)
+    data = {t: spark.createDataFrame(d, SCHEMA[t]) for t, d in made(7, runs=2).items()}
+    data["parent"] = data["parent"].filter("p > 'u'")
+    log = check_log.CheckLog(mart, "c", CHECKS)
+    for turn in range(2):
+        got = log.run({t: d.filter(F.col("at") == turn) for t, d in data.items()})
+    assert rows(got) == rows(quality.run_checks(data, CHECKS))
+    assert got.filter("test = 'relationships' and failures > 1").count() == 1
+    assert plans and not any("Aggregate" in p or "Generate" in p for p in plans)
