@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgermart.functions.text import hash_key, identity_key
 from ledgermart.operators.incremental import newer_than
 
-_RANK = "_rank"
+_RANK, _PLACE, _HASH = "_rank", "_place", "_hash"
 
 
 def latest_per_key(
@@ -34,6 +34,25 @@ def latest_per_key(
     return df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == 1).drop(_RANK)
 
 
+def latest_whole_rows(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
+    """As ``latest_per_key`` by ``order_by``, all descending with NULLs last, for readers of wide rows.
+
+    The newest place of every key is found among narrow rows, and the whole rows are
+    moved once, unsorted, to meet them; ``latest_per_key`` would sort them before that,
+    which spills as soon as an input split outgrows a task's memory. Rows are dealt by
+    key and place, so the older rows of a hot key go to all tasks. A place is a struct:
+    its NULLs equal each other. Rows of one place are brought down to one at the end.
+    ``df`` is read twice and has to give the same rows both times.
+    """
+    names = [key, *order_by]
+    newest = latest_per_key(df.select(*names), key, order_by[0], [F.desc_nulls_last(c) for c in order_by[1:]])
+    rows = df.select(F.struct(*names).alias(_PLACE), *[c for c in df.columns if c not in names])
+    kept = rows.join(newest.select(F.struct(*names).alias(_PLACE)).hint("shuffle_hash"), _PLACE, "left_semi")
+    # a hash before the place: rows already lie together by place, and numbers sort faster than structs
+    one = latest_per_key(kept.withColumn(_HASH, F.xxhash64(_PLACE)), [_HASH, _PLACE], _HASH)
+    return one.select(*[F.col(_PLACE)[c].alias(c) if c in names else F.col(c) for c in df.columns])
+
+
 def conform(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """Exactly ``columns`` (name -> type), missing ones as typed NULLs."""
     have = set(df.columns)

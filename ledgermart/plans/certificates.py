@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgermart.functions.text import identity_key
 from ledgermart.operators import kpi, quality
 from ledgermart.operators.incremental import newer_than
-from ledgermart.operators.keys import entity_delta, latest_per_key, union_conformed
+from ledgermart.operators.keys import entity_delta, latest_per_key, latest_whole_rows, union_conformed
 from ledgermart.operators.ledger import LEDGER
 from ledgermart.sources.csv import BLOCK, SEQ
 
@@ -163,17 +163,21 @@ def fact_name(domain: str, kind: str) -> str:
     return f"fact_{SHORT[domain]}_{'energy' if kind == 'certificates' else 'recom'}"
 
 
-def latest_certificates(staged: DataFrame, after: str | None = None) -> DataFrame:
+def latest_certificates(staged: DataFrame, after: str | None = None, narrow: bool = False) -> DataFrame:
     """Staged certificates as an upsert by key would leave them, newer than ``after``.
 
     The newest row of a key is newer than the watermark exactly if any of its rows
     is, so the filter may run first and old batches are never read. Inside a batch
     the later lodgement wins, then the row that stands later in the file: narrow
     columns, so a reader of two columns does not make Spark sort and move ninety.
+    Readers of a few columns say ``narrow``: those are sorted and moved with the
+    places. For all others the rows follow once their places are known.
     """
     fresh = staged.filter(newer_than(BATCH, after))
-    ties = [F.desc_nulls_last(c) for c in ("lodgement_datetime", BLOCK, SEQ)]
-    return latest_per_key(fresh, KEY, BATCH, ties).drop(BLOCK, SEQ)
+    ties = ("lodgement_datetime", BLOCK, SEQ)
+    if narrow:
+        return latest_per_key(fresh, KEY, BATCH, [F.desc_nulls_last(c) for c in ties]).drop(BLOCK, SEQ)
+    return latest_whole_rows(fresh, KEY, [BATCH, *ties]).drop(BLOCK, SEQ)
 
 
 def property_delta(staged: Sequence[DataFrame], after: str | None = None) -> DataFrame:

@@ -129,18 +129,18 @@ class CertificateMart:
 
         run_together(self.spark, [partial(add, d, k) for d in spec.DOMAINS for k in KINDS])
 
-    def staged(self, domain: str, kind: str, after: str | None = None) -> DataFrame:
-        """A staging table as readers see it, optionally only its newer batches."""
+    def staged(self, domain: str, kind: str, after: str | None = None, narrow: bool = False) -> DataFrame:
+        """A staging table as readers see it, optionally only its newer batches; ``narrow`` to read few columns."""
         rows = self.mart.table(spec.staging_name(domain, kind), after)
-        return spec.latest_certificates(rows) if kind == "certificates" else rows
+        return spec.latest_certificates(rows, narrow=narrow) if kind == "certificates" else rows
 
     def check_staging(self) -> DataFrame:
         if self.checks_by_batch:
             seen, (ledger, high) = self.staging_log.highs(), self._new_ledger(self.staging_log)
             names = {spec.staging_name(d, k): (d, k) for d in spec.DOMAINS for k in KINDS}
-            fresh = {n: self.staged(*names[n], seen.get(n)) for n in names}
+            fresh = {n: self.staged(*names[n], seen.get(n), narrow=True) for n in names}
             return self.staging_log.run({LEDGER: ledger, **fresh}, high | {n: self.mart.watermark(n) for n in names})
-        tables = {spec.staging_name(d, k): self.staged(d, k) for d in spec.DOMAINS for k in KINDS}
+        tables = {spec.staging_name(d, k): self.staged(d, k, narrow=True) for d in spec.DOMAINS for k in KINDS}
         tables = quality.checked_copies(tables, spec.STAGING_CHECKS)
         return quality.run_checks({LEDGER: read_ledger(self.mart), **tables}, spec.STAGING_CHECKS)
 
@@ -150,7 +150,7 @@ class CertificateMart:
         """Delta of the properties since the last snapshot, then one history step."""
         done = self.mart.high(DIMENSION)
         high = max((self.mart.watermark(spec.staging_name(d, "certificates")) for d in spec.DOMAINS))
-        staged = [self.staged(d, "certificates", done) for d in spec.DOMAINS]
+        staged = [self.staged(d, "certificates", done, narrow=True) for d in spec.DOMAINS]
         delta = self.mart.write_full(DELTA, spec.property_delta(staged))
         return self.mart.write_snapshot(DIMENSION, delta, spec.PROPERTY_KEY, [spec.PROPERTY_STATE], run_ts, high)
 

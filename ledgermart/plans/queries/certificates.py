@@ -18,15 +18,15 @@ from ledgermart.plans.schemas import FILE_COLUMNS
 # -- Spark side ---------------------------------------------------------------------
 
 
-def staged(spark, sf_dir, domain: str, kind: str, after: str | None = None) -> DataFrame:
+def staged(spark, sf_dir, domain: str, kind: str, after: str | None = None, narrow: bool = False) -> DataFrame:
     table, keyed = spec.raw_name(domain, kind), kind == "certificates"
     raw = sample.raw(spark, sf_dir, table, position=keyed)
     rows = lg.join_audit(raw, sample.ledger(spark, sf_dir, table), table, after)
-    return spec.latest_certificates(rows) if keyed else rows
+    return spec.latest_certificates(rows, narrow=narrow) if keyed else rows
 
 
-def fact(spark, sf_dir, domain: str, kind: str) -> DataFrame:
-    rows = staged(spark, sf_dir, domain, kind)
+def fact(spark, sf_dir, domain: str, kind: str, narrow: bool = False) -> DataFrame:
+    rows = staged(spark, sf_dir, domain, kind, narrow=narrow)
     return spec.fact_energy(rows, domain) if kind == "certificates" else spec.fact_recommendations(rows)
 
 
@@ -189,7 +189,7 @@ def _fact_query(domain, kind, spark, sf_dir):
 def _kpi_query(name, spark, sf_dir):
     domain = {v: k for k, v in spec.SHORT.items()}[spec.FACT_OF_KPI[name].removeprefix("fact_").rsplit("_", 1)[0]]
     kind = "certificates" if spec.FACT_OF_KPI[name].endswith("energy") else "recommendations"
-    return naive(spec.kpi_table(name, fact(spark, sf_dir, domain, kind)))
+    return naive(spec.kpi_table(name, fact(spark, sf_dir, domain, kind, narrow=True)))
 
 
 for _domain in spec.DOMAINS:
@@ -214,7 +214,7 @@ for _table in sample.DERIVED:
 
 
 def _certificates(spark, sf_dir, after=None) -> list[DataFrame]:
-    return [staged(spark, sf_dir, d, "certificates", after) for d in spec.DOMAINS]
+    return [staged(spark, sf_dir, d, "certificates", after, narrow=True) for d in spec.DOMAINS]
 
 
 @query("delta_property", _latest_property_sql(f"select * from ({_property_rows_sql()}) where audit_ts > timestamp '1996-06-15'"))
@@ -314,7 +314,7 @@ def checks_raw(spark, sf_dir):
 
 @query("checks_staging", _checks_sql(spec.STAGING_CHECKS, _STAGED_BODIES))
 def checks_staging(spark, sf_dir):
-    tables = {spec.staging_name(d, k): staged(spark, sf_dir, d, k) for d in spec.DOMAINS for k in _KINDS}
+    tables = {spec.staging_name(d, k): staged(spark, sf_dir, d, k, narrow=True) for d in spec.DOMAINS for k in _KINDS}
     tables[lg.LEDGER] = sample.ledger(spark, sf_dir)
     return quality.run_checks(quality.checked_copies(tables, spec.STAGING_CHECKS), spec.STAGING_CHECKS)
 
@@ -360,7 +360,7 @@ def checks_staging_by_batch(spark, sf_dir):
             for k in _KINDS:
                 raw = sample.raw(spark, sf_dir, spec.raw_name(d, k), position=k == "certificates")
                 rows = lg.join_audit(raw, ledger.filter(when), spec.raw_name(d, k))
-                fresh[spec.staging_name(d, k)] = spec.latest_certificates(rows) if k == "certificates" else rows
+                fresh[spec.staging_name(d, k)] = spec.latest_certificates(rows, narrow=True) if k == "certificates" else rows
         return fresh
 
     keyed = {spec.staging_name(d, "certificates"): spec.KEY for d in spec.DOMAINS}

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from ledgermart.operators import check_log, quality, store
+from ledgermart.operators.keys import latest_per_key, latest_whole_rows
 from ledgermart.plans.queries import QUERIES
 from test_check_log import CHECKS, SCHEMA, made
 
@@ -57,3 +58,23 @@ def test_values_without_a_parent_are_found_once(spark, mart, monkeypatch):
     assert rows(got) == rows(quality.run_checks(data, CHECKS))
     assert got.filter("test = 'relationships' and failures > 1").count() == 1
     assert plans and not any("Aggregate" in p or "Generate" in p for p in plans)
+
+
+def test_whole_rows_of_the_newest_places(spark):
+    made = [(f"v{t}", "hot", t % 97, t % 5, t) for t in range(400)]  # one key with most rows
+    made += [("n1", None, 1, None, None), ("n2", None, 2, None, None), ("n3", None, 2, 0, None)]  # NULL is a key
+    made += [("m1", "m", None, None, None), ("m2", "n", None, 9, 9), ("m3", "n", 1, None, None)]  # NULLs are last
+    made += [("c", "copies", 3, 3, None)] * 4 + [("d", "copies", 2, 9, 9)]
+    df = spark.createDataFrame(made, "v string, k string, t int, d int, s int").repartition(7, "s")
+    got, place = latest_whole_rows(df, "k", ["t", "d", "s"]), lambda r: [(x is not None, x) for x in r[2:]]
+    newest = {k: max((r for r in made if r[1] == k), key=place) for k in {r[1] for r in made}}
+    assert got.columns == df.columns and rows(got) == sorted(newest.values(), key=repr)
+    assert rows(got) == rows(latest_per_key(df, "k", "t", [F.desc_nulls_last("d"), F.desc_nulls_last("s")]))
+
+
+def test_whole_certificates_are_not_sorted_before_they_are_moved(spark):
+    for name, measure in (("stg_non_domestic_certificates", "primary_energy_value"), ("fact_dom_energy", "mains_gas_flag")):
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        moved = plan.split("Exchange hashpartitioning")[1:]
+        assert any(measure in m for m in moved) and any("WindowGroupLimit" in m for m in moved), name
+        assert not any(measure in m and "WindowGroupLimit" in m for m in moved), name
